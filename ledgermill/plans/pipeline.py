@@ -1,0 +1,39 @@
+"""Extracts to bronze to silver to report sources, as lazy tables."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+
+from ledgermill.plans import bronze, silver
+from ledgermill.plans.metrics import Relations, Sources
+from ledgermill.schemas import BILLING, CHURN, CRM
+
+
+def bronze_tables(extracts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        CRM: bronze.crm(extracts[CRM]),
+        BILLING: bronze.billing(extracts[BILLING]),
+        CHURN: bronze.churn(extracts[CHURN]),
+    }
+
+
+def silver_tables(bronze_: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        CRM: silver.customers(bronze_[BILLING], bronze_[CRM]),
+        BILLING: silver.transactions(bronze_[BILLING]),
+        CHURN: silver.churn(bronze_[CHURN]),
+    }
+
+
+def raw_relations(extracts: Mapping[str, DataFrame]) -> Relations:
+    return Relations(bronze.raw_billing(extracts[BILLING]), extracts[CRM], extracts[CHURN])
+
+
+def clean_relations(silver_: Mapping[str, DataFrame]) -> Relations:
+    return Relations(silver_[BILLING], silver_[CRM], silver_[CHURN])
+
+
+def sources(extracts: Mapping[str, DataFrame], silver_: Mapping[str, DataFrame]) -> Sources:
+    return Sources(raw=raw_relations(extracts), clean=clean_relations(silver_))

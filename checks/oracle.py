@@ -3,7 +3,7 @@ the library uses rollups, joins and minimums."""
 
 from __future__ import annotations
 
-from checks.registry import FILTERS, KPI_FILTERS, REPORT_FILTERS, SERIES_FILTERS
+from checks.registry import FILTERS, KPI_FILTERS, REPORT_FILTERS, SERIES_FILTERS, STORED_FILTERS
 from ledgermill.plans.filters import MetricFilter
 
 _ID = "lpad({0}::VARCHAR, greatest(6, length({0}::VARCHAR))::INT, '0')"
@@ -333,6 +333,8 @@ def _report_sql() -> dict[str, str]:
         found[f"revenue_by_plan_{name}"] = _revenue_by_plan(f)
         found[f"new_customers_{name}"] = _new_customers(f)
         found[f"pipeline_distribution_{name}"] = _pipeline(f)
+    for name in STORED_FILTERS:
+        found[f"stored_pipeline_distribution_{name}"] = _pipeline(FILTERS[name])
     for name in REPORT_FILTERS:
         found[f"report_{name}"] = _report(FILTERS[name])
     return found

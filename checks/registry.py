@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,16 +58,41 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """All lazy tables of one scale folder."""
+    """The tables of one scale folder, each built when a query first asks for it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.raw = harness.extracts(spark, sf_dir)
-        self.bronze = pipeline.bronze_tables(self.raw)
-        self.silver = pipeline.silver_tables(self.bronze)
-        self.sources = pipeline.sources(self.raw, self.silver)
+
+    @cached_property
+    def bronze(self) -> dict[str, DataFrame]:
+        return pipeline.bronze_tables(self.raw)
+
+    @cached_property
+    def silver(self) -> dict[str, DataFrame]:
+        return pipeline.silver_tables(self.bronze)
+
+    def relations(self, name: str) -> metrics.Relations:
+        if FILTERS[name].mode == "raw":
+            return pipeline.raw_relations(self.raw)
+        return pipeline.clean_relations(self.bronze)
 
     def activity(self, name: str, *by: str) -> DataFrame:
-        return metrics.activity(self.sources.of(FILTERS[name]), FILTERS[name], by)
+        return metrics.activity(self.relations(name), FILTERS[name], by)
+
+    def cohorts(self, name: str) -> DataFrame:
+        return metrics.cohorts(self.activity(name))
+
+    def pipeline_distribution(self, name: str) -> DataFrame:
+        relations, f = self.relations(name), FILTERS[name]
+        return metrics.pipeline_distribution(relations, f, metrics.activity(relations, f))
+
+    def stored_pipeline_distribution(self, name: str) -> DataFrame:
+        """The same as someone with silver tables at hand gets it."""
+        relations, f = pipeline.stored_relations(self.silver), FILTERS[name]
+        return metrics.pipeline_distribution(relations, f, metrics.activity(relations, f))
+
+    def report(self, name: str) -> DataFrame:
+        return metrics.report(self.relations(name), FILTERS[name])
 
 
 _TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -115,20 +141,21 @@ _TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "sample_churn": lambda t: quality.churn_sample(t.raw[CHURN]),
     "sample_refunds": lambda t: quality.refund_sample(t.raw[BILLING]),
     # Report
-    "kpi_labels": lambda t: metrics.kpi_labels(metrics.kpis(t.activity("clean"))),
-    "filter_options": lambda t: metrics.filter_options(t.sources.clean),
+    "kpi_labels": lambda t: metrics.kpi_labels(metrics.kpis(t.cohorts("clean"))),
+    "filter_options": lambda t: metrics.filter_options(t.silver[BILLING], t.silver[CRM]),
 }
 
 #: Filters each part of the report is registered with.
 KPI_FILTERS = tuple(FILTERS)
 SERIES_FILTERS = ("clean", "clean_filtered", "raw", "raw_dates")
-REPORT_FILTERS = ("clean", "clean_filtered", "raw")
+STORED_FILTERS = ("clean", "clean_filtered")
+REPORT_FILTERS = ("clean", "clean_filtered", "clean_churned", "clean_empty", "raw")
 
 
 def _report_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     found: dict[str, Callable[[Tables], DataFrame]] = {}
     for name in KPI_FILTERS:
-        found[f"kpi_{name}"] = lambda t, n=name: metrics.kpis(t.activity(n))
+        found[f"kpi_{name}"] = lambda t, n=name: metrics.kpis(t.cohorts(n))
     for name in SERIES_FILTERS:
         found[f"monthly_revenue_{name}"] = lambda t, n=name: metrics.monthly_revenue(
             t.activity(n, "month")
@@ -136,12 +163,14 @@ def _report_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         found[f"revenue_by_plan_{name}"] = lambda t, n=name: metrics.revenue_by_plan(
             t.activity(n, "plan")
         )
-        found[f"new_customers_{name}"] = lambda t, n=name: metrics.new_customers(t.activity(n))
-        found[f"pipeline_distribution_{name}"] = lambda t, n=name: metrics.pipeline_distribution(
-            t.sources.of(FILTERS[n]), FILTERS[n]
+        found[f"new_customers_{name}"] = lambda t, n=name: metrics.new_customers(t.cohorts(n))
+        found[f"pipeline_distribution_{name}"] = lambda t, n=name: t.pipeline_distribution(n)
+    for name in STORED_FILTERS:
+        found[f"stored_pipeline_distribution_{name}"] = (
+            lambda t, n=name: t.stored_pipeline_distribution(n)
         )
     for name in REPORT_FILTERS:
-        found[f"report_{name}"] = lambda t, n=name: metrics.report(t.sources, FILTERS[n]).rows()
+        found[f"report_{name}"] = lambda t, n=name: t.report(n)
     return found
 
 

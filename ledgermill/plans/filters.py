@@ -58,7 +58,17 @@ def transactions_in_scope(transactions: DataFrame, f: MetricFilter) -> DataFrame
     return kept
 
 
-def customers_in_scope(customers: DataFrame, f: MetricFilter) -> DataFrame:
-    """Ids of silver customers of the industries; billing-only ones have none and always pass."""
-    passes = _in_list(F.col("industry"), f.industries) | F.col("billing_only_flag")
-    return customers.where(passes).select("customer_id").distinct()
+def accounts_out_of_scope(accounts: DataFrame, f: MetricFilter) -> DataFrame:
+    """Ids of CRM customers with no row in the industries.
+
+    Leaving these out keeps the same customers as keeping those in the industries and those only
+    billing knows, and does not need the customers that were billed.
+    """
+    in_scope = F.coalesce(_in_list(F.col("industry"), f.industries), F.lit(False))
+    return (
+        accounts.where(F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
+        .agg(F.bool_or(in_scope).alias("in_scope"))
+        .where(~F.col("in_scope"))
+        .select("customer_id")
+    )

@@ -4,59 +4,73 @@ Everything is computed from the *activity*: transactions summed per customer and
 figure is broken down by. Industry, churn and CRM stage are properties of customers, so they are
 joined to the activity and never to transactions: the join input is combined on the map side first,
 and a customer with a third of all transactions is a handful of rows by then.
-
-Customer ids are matched with NULL equal to NULL: transactions without a customer are part of the
-revenue and pass the industry filter like other customers the CRM does not know.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgermill.functions import dates, labels, rates
 from ledgermill.plans import filters
 from ledgermill.plans.filters import MetricFilter
 
+#: Stands for "no customer". Transactions without one count as revenue and pass the industry filter
+#: like any customer the CRM does not know, so they must survive joins; as a value they do, and the
+#: joins stay plain equalities that use the partitioning of the grouping.
+NO_CUSTOMER = "\0"
+
 
 @dataclass(frozen=True)
 class Relations:
-    """Tables of one mode. ``customers`` are CRM rows in raw mode, silver customers in clean mode."""
+    """What the report of one mode reads.
+
+    transactions: billing rows, cleaned or not
+    churn: one row or more per churned customer_id
+    accounts: (customer_id, industry) of customers the CRM knows; not read in raw mode
+    stages: (customer_id, stage, n) rows of the pipeline chart; in raw mode without customer_id
+    """
 
     transactions: DataFrame
-    customers: DataFrame
     churn: DataFrame
+    accounts: DataFrame
+    stages: DataFrame
 
 
-@dataclass(frozen=True)
-class Sources:
-    raw: Relations
-    clean: Relations
+def raw_relations(billing: DataFrame, crm: DataFrame, churn: DataFrame) -> Relations:
+    """Extracts as they came."""
+    stages = crm.groupBy(F.col("pipeline_stage").alias("stage")).agg(F.count("*").alias("n"))
+    return Relations(billing, churn, crm, stages)
+
 
-    def of(self, f: MetricFilter) -> Relations:
-        return self.raw if f.mode == filters.RAW else self.clean
+def clean_relations(
+    transactions: DataFrame, silver_customers: DataFrame, churn: DataFrame
+) -> Relations:
+    """Silver tables."""
+    accounts = silver_customers.where(~F.col("billing_only_flag"))
+    stages = silver_customers.groupBy("customer_id", F.col("pipeline_stage").alias("stage")).agg(
+        F.count("*").alias("n")
+    )
+    return Relations(transactions, churn, accounts, stages)
 
 
-def _match_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    return df.join(ids, F.col("customer_id").eqNullSafe(F.col("matched_id")), how)
+def _key() -> Column:
+    return F.coalesce(F.col("customer_id"), F.lit(NO_CUSTOMER)).alias("customer_id")
 
 
 def activity(relations: Relations, f: MetricFilter, by: tuple[str, ...] = ()) -> DataFrame:
     """Filtered transactions per customer and ``by`` ("plan", "month"), with churn flag.
 
     Columns: customer_id, by..., amount, first_date, n_transactions, churned. With no ``by`` the
-    grouping already partitions by customer, and the joins below need no further shuffle of it.
+    grouping already partitions by customer, and the joins need no further shuffle of it.
     """
-    breakdown = {
-        "plan": F.col("plan"),
-        "month": dates.month_start(F.col("transaction_date")),
-    }
+    breakdown = {"plan": F.col("plan"), "month": dates.month_start(F.col("transaction_date"))}
     summed = (
         filters.transactions_in_scope(relations.transactions, f)
-        .groupBy("customer_id", *(breakdown[name].alias(name) for name in by))
+        .groupBy(_key(), *(breakdown[name].alias(name) for name in by))
         .agg(
             F.sum("amount").alias("amount"),
             F.min("transaction_date").alias("first_date"),
@@ -64,17 +78,15 @@ def activity(relations: Relations, f: MetricFilter, by: tuple[str, ...] = ()) ->
         )
     )
     if f.mode == filters.CLEAN:
-        in_scope = filters.customers_in_scope(relations.customers, f)
-        summed = _match_ids(
-            summed, in_scope.withColumnRenamed("customer_id", "matched_id"), "left_semi"
-        )
-    left = relations.churn.select(F.col("customer_id").alias("matched_id")).distinct()
+        outside = filters.accounts_out_of_scope(relations.accounts, f)
+        summed = summed.join(outside, "customer_id", "left_anti")
+    left = relations.churn.select(_key()).distinct()
     if f.status == filters.ACTIVE:
-        return _match_ids(summed, left, "left_anti").withColumn("churned", F.lit(False))
+        return summed.join(left, "customer_id", "left_anti").withColumn("churned", F.lit(False))
     if f.status == filters.CHURNED:
-        return _match_ids(summed, left, "left_semi").withColumn("churned", F.lit(True))
-    marked = _match_ids(summed, left.withColumn("mark", F.lit(True)), "left")
-    return marked.withColumn("churned", F.coalesce("mark", F.lit(False))).drop("matched_id", "mark")
+        return summed.join(left, "customer_id", "left_semi").withColumn("churned", F.lit(True))
+    marked = summed.join(left.withColumn("mark", F.lit(True)), "customer_id", "left")
+    return marked.withColumn("churned", F.coalesce("mark", F.lit(False))).drop("mark")
 
 
 def per_customer(activity_: DataFrame) -> DataFrame:
@@ -87,17 +99,35 @@ def per_customer(activity_: DataFrame) -> DataFrame:
     )
 
 
-def kpis(customer_activity: DataFrame) -> DataFrame:
-    """One row: revenue, active customers, churn rate, and what they are computed from.
+def cohorts(customer_activity: DataFrame) -> DataFrame:
+    """Customers by month of their first transaction and by churn, with what they paid.
 
-    Input is one row per customer, so counting customers is plain counting.
+    Input is one row per customer, so counting customers is plain counting. The result is small, and
+    both the key figures and the new customers per month follow from it.
     """
-    known = F.col("customer_id").isNotNull()
-    counted = customer_activity.agg(
+    return customer_activity.groupBy(
+        dates.month_start(F.col("first_date")).alias("month"),
+        (F.col("customer_id") != NO_CUSTOMER).alias("known"),
+        "churned",
+    ).agg(
+        F.count("*").alias("customers"),
+        F.sum("amount").alias("amount"),
+        F.sum("n_transactions").alias("n_transactions"),
+    )
+
+
+def _count_where(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("customers"))), F.lit(0))
+
+
+def kpis(cohorts_: DataFrame) -> DataFrame:
+    """One row: revenue, active customers, churn rate, and what they are computed from."""
+    known, churned = F.col("known"), F.col("churned")
+    counted = cohorts_.agg(
         F.coalesce(F.sum("amount"), F.lit(0)).alias("total_revenue"),
-        F.count_if(known & ~F.col("churned")).alias("active_customers"),
-        F.count_if(known).alias("unique_customers"),
-        F.count_if("churned").alias("churned_customers"),
+        _count_where(known & ~churned).alias("active_customers"),
+        _count_where(known).alias("unique_customers"),
+        _count_where(churned).alias("churned_customers"),
         F.coalesce(F.sum("n_transactions"), F.lit(0)).alias("n_transactions"),
     )
     return counted.withColumn(
@@ -113,12 +143,12 @@ def kpi_labels(kpis_: DataFrame) -> DataFrame:
     )
 
 
+def _revenue(activity_: DataFrame, by: str) -> DataFrame:
+    return activity_.groupBy(by).agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("revenue"))
+
+
 def _monthly_revenue(activity_: DataFrame) -> DataFrame:
-    return (
-        activity_.groupBy("month")
-        .agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("revenue"))
-        .select(dates.month_label(F.col("month")).alias("month"), "revenue")
-    )
+    return _revenue(activity_, "month").withColumn("month", dates.month_label(F.col("month")))
 
 
 def monthly_revenue(activity_: DataFrame) -> DataFrame:
@@ -127,11 +157,7 @@ def monthly_revenue(activity_: DataFrame) -> DataFrame:
 
 
 def _revenue_by_plan(activity_: DataFrame) -> DataFrame:
-    return (
-        activity_.where(F.col("plan").isNotNull())
-        .groupBy("plan")
-        .agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("revenue"))
-    )
+    return _revenue(activity_.where(F.col("plan").isNotNull()), "plan")
 
 
 def revenue_by_plan(activity_: DataFrame) -> DataFrame:
@@ -139,135 +165,177 @@ def revenue_by_plan(activity_: DataFrame) -> DataFrame:
     return _revenue_by_plan(activity_).orderBy(F.desc("revenue"), "plan")
 
 
-def _new_customers(customer_activity: DataFrame) -> DataFrame:
+def _new_customers(cohorts_: DataFrame) -> DataFrame:
     return (
-        customer_activity.where(F.col("customer_id").isNotNull())
-        .groupBy(dates.month_start(F.col("first_date")).alias("month"))
-        .agg(F.count("*").alias("new_customers"))
-        .select(dates.month_label(F.col("month")).alias("month"), "new_customers")
+        cohorts_.where("known")
+        .groupBy("month")
+        .agg(F.sum("customers").alias("new_customers"))
+        .withColumn("month", dates.month_label(F.col("month")))
     )
 
 
-def new_customers(customer_activity: DataFrame) -> DataFrame:
+def new_customers(cohorts_: DataFrame) -> DataFrame:
     """Customers by the month of their first transaction among the filtered ones."""
-    return _new_customers(customer_activity).orderBy("month")
+    return _new_customers(cohorts_).orderBy("month")
 
 
-def _stage_counts(
-    relations: Relations, f: MetricFilter, customer_activity: DataFrame | None
-) -> DataFrame:
-    staged = relations.customers.where(F.col("pipeline_stage").isNotNull()).withColumnRenamed(
-        "pipeline_stage", "stage"
-    )
-    if f.mode == filters.RAW:
-        return staged.groupBy("stage").agg(F.count("*").alias("customers"))
-    if customer_activity is None:
-        customer_activity = activity(relations, f)
-    seen = customer_activity.select(F.col("customer_id").alias("matched_id"))
-    combined = staged.groupBy("customer_id", "stage").agg(F.count("*").alias("n"))
-    return (
-        _match_ids(combined, seen, "left_semi")
-        .groupBy("stage")
-        .agg(F.sum("n").alias("customers"))
-    )
+def _stage_counts(relations: Relations, f: MetricFilter, customers: DataFrame) -> DataFrame:
+    staged = relations.stages.where(F.col("stage").isNotNull())
+    if f.mode == filters.CLEAN:
+        seen = customers.select("customer_id")
+        staged = staged.withColumn("customer_id", _key()).join(seen, "customer_id", "left_semi")
+    return staged.groupBy("stage").agg(F.sum("n").alias("customers"))
 
 
 def pipeline_distribution(
-    relations: Relations, f: MetricFilter, customer_activity: DataFrame | None = None
+    relations: Relations, f: MetricFilter, customers: DataFrame
 ) -> DataFrame:
-    """CRM rows per stage, with their share. Clean mode counts the silver rows of customers with
-    filtered transactions; raw mode counts the whole CRM whatever the filter says."""
-    counted = _stage_counts(relations, f, customer_activity)
-    total = counted.agg(F.sum("customers")).scalar()
-    return counted.withColumn("share", F.col("customers") / total).orderBy(
-        F.desc("customers"), "stage"
+    """CRM rows per stage, with their share. Clean mode counts the silver rows of the given
+    customers; raw mode counts the whole CRM whatever the filter says."""
+    # One row per stage by now. A scalar subquery for the total would compute them twice.
+    total = F.sum("customers").over(Window.partitionBy())
+    return (
+        _stage_counts(relations, f, customers)
+        .withColumn("share", F.col("customers") / total)
+        .orderBy(F.desc("customers"), "stage")
     )
 
 
-def filter_options(clean: Relations) -> DataFrame:
+def filter_options(transactions: DataFrame, silver_customers: DataFrame) -> DataFrame:
     """The choices a report offers, as (field, value): plans, industries and the date range."""
-    tx = clean.transactions
-    span = tx.agg(
-        F.min("transaction_date").cast("string").alias("date_min"),
-        F.max("transaction_date").cast("string").alias("date_max"),
+    by_plan = transactions.groupBy("plan").agg(
+        F.min("transaction_date").alias("date_min"), F.max("transaction_date").alias("date_max")
+    )
+    span = by_plan.agg(
+        F.min("date_min").cast("string").alias("date_min"),
+        F.max("date_max").cast("string").alias("date_max"),
     )
-    plans = tx.select(F.lit("plan").alias("field"), F.col("plan").alias("value"))
-    industries = clean.customers.select(
+    industries = silver_customers.where(F.col("industry").isNotNull()).select(
         F.lit("industry").alias("field"), F.col("industry").alias("value")
     )
-    ends = span.unpivot([], ["date_min", "date_max"], "field", "value")
     return (
-        plans.distinct()
-        .unionByName(industries.where(F.col("value").isNotNull()).distinct())
-        .unionByName(ends)
+        by_plan.select(F.lit("plan").alias("field"), F.col("plan").alias("value"))
+        .unionByName(industries.distinct())
+        .unionByName(span.unpivot([], ["date_min", "date_max"], "field", "value"))
         .orderBy("field", "value")
     )
 
 
-@dataclass(frozen=True)
-class Report:
-    """All parts of a report over one shared activity."""
-
-    relations: Relations
-    filter: MetricFilter
-    shared: DataFrame
-
-    @property
-    def customers(self) -> DataFrame:
-        return per_customer(self.shared)
-
-    @property
-    def kpis(self) -> DataFrame:
-        return kpis(self.customers)
-
-    @property
-    def monthly_revenue(self) -> DataFrame:
-        return monthly_revenue(self.shared)
-
-    @property
-    def revenue_by_plan(self) -> DataFrame:
-        return revenue_by_plan(self.shared)
-
-    @property
-    def pipeline_distribution(self) -> DataFrame:
-        return pipeline_distribution(self.relations, self.filter, self.customers)
-
-    @property
-    def new_customers(self) -> DataFrame:
-        return new_customers(self.customers)
-
-    def unpersist(self) -> None:
-        self.shared.unpersist()
-
-    def rows(self) -> DataFrame:
-        """The whole report as one table (part, label, value). The parts meet again in the shuffle
-        of the activity, which Spark runs once for all of them."""
-        figures = ["total_revenue", "active_customers", "churn_rate"]
-        whole = self.kpis.select(
-            F.lit("kpi").alias("part"),
-            *(F.col(name).cast("double").alias(name) for name in figures),
-        ).unpivot(["part"], figures, "label", "value")
-        for part, df in (
-            ("monthly_revenue", _monthly_revenue(self.shared)),
-            ("revenue_by_plan", _revenue_by_plan(self.shared)),
-            ("pipeline_distribution", _stage_counts(self.relations, self.filter, self.customers)),
-            ("new_customers", _new_customers(self.customers)),
-        ):
-            label, measure = df.columns
-            whole = whole.unionByName(
-                df.select(
-                    F.lit(part).alias("part"),
-                    F.col(label).alias("label"),
-                    F.col(measure).cast("double").alias("value"),
-                )
-            )
-        return whole
-
-
-def report(sources: Sources, f: MetricFilter, *, persist: bool = False) -> Report:
-    """The report for a filter. ``persist`` keeps the activity for several collects."""
-    relations = sources.of(f)
-    shared = activity(relations, f, by=("plan", "month"))
-    if persist:
-        shared = shared.persist(StorageLevel.MEMORY_AND_DISK)
-    return Report(relations, f, shared)
+#: Parts of the whole report.
+KPI = "kpi"
+MONTHLY_REVENUE = "monthly_revenue"
+REVENUE_BY_PLAN = "revenue_by_plan"
+PIPELINE_DISTRIBUTION = "pipeline_distribution"
+NEW_CUSTOMERS = "new_customers"
+
+_VALUE = "decimal(32,2)"
+
+
+def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
+    """Revenue and customers by everything the report is broken down by: a small table.
+
+    The stage rows of a customer travel with its activity instead of being joined to it, so one
+    window per customer settles all: which row stands for the customer, when it came, and whether
+    its stages count. Both kinds of rows are combined per customer before, so windows are short.
+    """
+    paid = activity(relations, f, by=("plan", "month")).select(
+        "customer_id", "plan", "month", "amount", "first_date", "churned", F.lit(True).alias("paid")
+    )
+    staged = relations.stages.where(F.col("stage").isNotNull())
+    if f.mode == filters.CLEAN:
+        together = paid.unionByName(
+            staged.select(_key(), "stage", "n", F.lit(False).alias("paid")),
+            allowMissingColumns=True,
+        )
+    else:
+        together = paid.withColumns(
+            {"stage": F.lit(None).cast("string"), "n": F.lit(None).cast("bigint")}
+        )
+    order = [F.desc("paid"), "plan", "month", "stage"]
+    customer = Window.partitionBy("customer_id").orderBy(*order)
+    whole = customer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    digest = (
+        together.withColumns(
+            {
+                "first_month": dates.month_start(F.min("first_date").over(whole)),
+                "seen": F.max("paid").over(whole),
+                "stands": (F.row_number().over(customer) == 1).cast("int"),
+            }
+        )
+        .where("seen")
+        .groupBy(
+            "paid",
+            "plan",
+            "month",
+            "first_month",
+            (F.col("customer_id") != NO_CUSTOMER).alias("known"),
+            "churned",
+            "stage",
+        )
+        .agg(
+            F.sum("amount").alias("amount"),
+            F.sum("stands").alias("customers"),
+            F.sum("n").alias("n"),
+        )
+    )
+    if f.mode == filters.CLEAN:
+        return digest
+    return digest.unionByName(
+        staged.select("stage", "n", F.lit(False).alias("paid")), allowMissingColumns=True
+    )
+
+
+def report(relations: Relations, f: MetricFilter) -> DataFrame:
+    """The whole report as (part, label, value), from one pass over the transactions.
+
+    The functions for single parts each make their own pass. Spark does not share them: every part
+    needs other columns, so their plans differ from the scan on.
+    """
+    known, churned = F.col("known"), F.col("churned")
+    amount = F.coalesce("amount", F.lit(0)).cast(_VALUE)
+    nothing = F.lit(0).cast(_VALUE)
+
+    def customers(condition: Column | None = None) -> Column:
+        n = F.col("customers") if condition is None else F.when(condition, F.col("customers"))
+        return F.coalesce(n, F.lit(0)).cast(_VALUE)
+
+    def entry(part: str, label: Column, value: Column, base: Column = nothing) -> Column:
+        return F.struct(
+            F.lit(part).alias("part"),
+            label.alias("label"),
+            value.alias("value"),
+            base.alias("base"),
+        )
+
+    figures = {
+        "total_revenue": (amount, nothing),
+        "active_customers": (customers(known & ~churned), nothing),
+        "churn_rate": (customers(churned), customers(known)),
+    }
+    paid_entries = F.array(
+        *(entry(KPI, F.lit(name), *values) for name, values in figures.items()),
+        entry(MONTHLY_REVENUE, dates.month_label(F.col("month")), amount),
+        entry(REVENUE_BY_PLAN, F.col("plan"), amount),
+        entry(NEW_CUSTOMERS, dates.month_label(F.col("first_month")), customers(known)),
+    )
+    stage_entries = F.array(entry(PIPELINE_DISTRIBUTION, F.col("stage"), F.col("n").cast(_VALUE)))
+    entries = _digest(relations, f).select(
+        F.inline(F.when(F.col("paid"), paid_entries).otherwise(stage_entries))
+    )
+    # The figures are there even if nothing passes the filter.
+    zeros = F.array(*(entry(KPI, F.lit(name), nothing) for name in figures))
+    entries = entries.unionByName(
+        relations.transactions.sparkSession.range(1).select(F.inline(zeros))
+    )
+    summed = (
+        entries.where(F.col("label").isNotNull())
+        .groupBy("part", "label")
+        .agg(F.sum("value").alias("value"), F.sum("base").alias("base"))
+        # A month without a known newcomer is not in the series.
+        .where((F.col("part") != NEW_CUSTOMERS) | (F.col("value") > 0))
+    )
+    value, base = F.col("value").cast("double"), F.col("base").cast("double")
+    is_rate = (F.col("part") == KPI) & (F.col("label") == "churn_rate")
+    return summed.select(
+        "part", "label", F.when(is_rate, rates.percentage(value, base)).otherwise(value).alias("value")
+    )

@@ -6,8 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from ledgermill.plans import bronze, silver
-from ledgermill.plans.metrics import Relations, Sources
+from ledgermill.plans import bronze, metrics, silver
+from ledgermill.plans.metrics import Relations
 from ledgermill.schemas import BILLING, CHURN, CRM
 
 
@@ -28,12 +28,24 @@ def silver_tables(bronze_: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def raw_relations(extracts: Mapping[str, DataFrame]) -> Relations:
-    return Relations(bronze.raw_billing(extracts[BILLING]), extracts[CRM], extracts[CHURN])
-
-
-def clean_relations(silver_: Mapping[str, DataFrame]) -> Relations:
-    return Relations(silver_[BILLING], silver_[CRM], silver_[CHURN])
-
-
-def sources(extracts: Mapping[str, DataFrame], silver_: Mapping[str, DataFrame]) -> Sources:
-    return Sources(raw=raw_relations(extracts), clean=clean_relations(silver_))
+    return metrics.raw_relations(
+        bronze.raw_billing(extracts[BILLING]), extracts[CRM], extracts[CHURN]
+    )
+
+
+def clean_relations(bronze_: Mapping[str, DataFrame]) -> Relations:
+    """Clean-mode relations straight from bronze, for when silver is not written: billing is read
+    for the transactions, and once more, two columns of it, only if the pipeline chart is asked for.
+    """
+    billing, crm = bronze_[BILLING], bronze_[CRM]
+    return Relations(
+        transactions=silver.transactions(billing),
+        churn=bronze_[CHURN],
+        accounts=crm,
+        stages=silver.stage_counts(billing, crm),
+    )
+
+
+def stored_relations(silver_: Mapping[str, DataFrame]) -> Relations:
+    """Clean-mode relations from written silver tables."""
+    return metrics.clean_relations(silver_[BILLING], silver_[CRM], silver_[CHURN])

@@ -16,6 +16,14 @@ COPY_ORDER = ("transaction_date", "status", "amount", "customer_id", "plan")
 PAID = "paid"
 
 
+def _payers(billing: DataFrame) -> DataFrame:
+    """Billed (customer, plan) pairs. Ids are rewritten on the pairs, not on every transaction."""
+    pairs = billing.select("customer_id", "plan").distinct()
+    return pairs.select(
+        ids.to_crm_id(F.col("customer_id")).alias("customer_id"), F.col("plan").alias("billed_plan")
+    )
+
+
 def customers(billing: DataFrame, crm: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per billed (customer, plan) and CRM row of that customer; CRM columns are NULL and
     ``billing_only_flag`` is set where the CRM does not know the customer.
@@ -23,11 +31,7 @@ def customers(billing: DataFrame, crm: DataFrame, hot_rows: int = HOT_ROWS) -> D
     Billing drives: CRM customers that were never billed are not in the result. The plan is the
     CRM's, the billed one only stands in for a missing one.
     """
-    payers = (
-        billing.select("customer_id", "plan")
-        .distinct()
-        .select(ids.to_crm_id(F.col("customer_id")).alias("customer_id"), F.col("plan").alias("billed_plan"))
-    )
+    payers = _payers(billing)
     accounts = crm.withColumn("pipeline_stage", stages.standard_stage(F.col("pipeline_stage")))
     return left_join_spread(payers, accounts, "customer_id", hot_rows).select(
         "customer_id",
@@ -42,6 +46,19 @@ def customers(billing: DataFrame, crm: DataFrame, hot_rows: int = HOT_ROWS) -> D
     )
 
 
+def stage_counts(billing: DataFrame, crm: DataFrame) -> DataFrame:
+    """(customer_id, stage, n): rows that `customers` has per customer and stage, where it has one.
+
+    Both sides are counted before the join, so it never meets a customer with many CRM rows.
+    """
+    plans = _payers(billing).groupBy("customer_id").agg(F.count("*").alias("plans"))
+    stage = stages.standard_stage(F.col("pipeline_stage")).alias("stage")
+    accounts = crm.groupBy("customer_id", stage).agg(F.count("*").alias("accounts"))
+    return accounts.join(plans, "customer_id").select(
+        "customer_id", "stage", (F.col("plans") * F.col("accounts")).alias("n")
+    )
+
+
 def transactions(billing: DataFrame) -> DataFrame:
     """Paid transactions, one per transaction id.
 

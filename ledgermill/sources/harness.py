@@ -24,8 +24,18 @@ CHURN_REASONS = (
 )
 
 
+#: Columns in use. With a given schema, reading starts no job to look into a file.
+COLUMNS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double,"
+    " l_returnflag string, l_shipdate timestamp_ntz",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(COLUMNS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _pick(values: tuple[str | None, ...], key: Column) -> Column:

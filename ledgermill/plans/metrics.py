@@ -8,6 +8,7 @@ and a customer with a third of all transactions is a handful of rows by then.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,35 +27,28 @@ NO_CUSTOMER = "\0"
 
 @dataclass(frozen=True)
 class Relations:
-    """What the report of one mode reads.
+    """What the report of one mode reads; `pipeline` puts them together.
 
     transactions: billing rows, cleaned or not
     churn: one row or more per churned customer_id
     accounts: (customer_id, industry) of customers the CRM knows; not read in raw mode
-    stages: (customer_id, stage, n) rows of the pipeline chart; in raw mode without customer_id
+    stages: gives (customer_id, stage, n), the rows of the pipeline chart, to those parts that show
+        it; in raw mode without customer_id
     """
 
     transactions: DataFrame
     churn: DataFrame
-    accounts: DataFrame
-    stages: DataFrame
+    accounts: DataFrame | None
+    stages: Callable[[], DataFrame]
 
 
-def raw_relations(billing: DataFrame, crm: DataFrame, churn: DataFrame) -> Relations:
-    """Extracts as they came."""
-    stages = crm.groupBy(F.col("pipeline_stage").alias("stage")).agg(F.count("*").alias("n"))
-    return Relations(billing, churn, crm, stages)
+def raw_stages(crm: DataFrame) -> DataFrame:
+    return crm.groupBy(F.col("pipeline_stage").alias("stage")).agg(F.count("*").alias("n"))
 
 
-def clean_relations(
-    transactions: DataFrame, silver_customers: DataFrame, churn: DataFrame
-) -> Relations:
-    """Silver tables."""
-    accounts = silver_customers.where(~F.col("billing_only_flag"))
-    stages = silver_customers.groupBy("customer_id", F.col("pipeline_stage").alias("stage")).agg(
-        F.count("*").alias("n")
-    )
-    return Relations(transactions, churn, accounts, stages)
+def silver_stages(silver_customers: DataFrame) -> DataFrame:
+    stage = F.col("pipeline_stage").alias("stage")
+    return silver_customers.groupBy("customer_id", stage).agg(F.count("*").alias("n"))
 
 
 def _key() -> Column:
@@ -180,7 +174,7 @@ def new_customers(cohorts_: DataFrame) -> DataFrame:
 
 
 def _stage_counts(relations: Relations, f: MetricFilter, customers: DataFrame) -> DataFrame:
-    staged = relations.stages.where(F.col("stage").isNotNull())
+    staged = relations.stages().where(F.col("stage").isNotNull())
     if f.mode == filters.CLEAN:
         seen = customers.select("customer_id")
         staged = staged.withColumn("customer_id", _key()).join(seen, "customer_id", "left_semi")
@@ -241,7 +235,7 @@ def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
     paid = activity(relations, f, by=("plan", "month")).select(
         "customer_id", "plan", "month", "amount", "first_date", "churned", F.lit(True).alias("paid")
     )
-    staged = relations.stages.where(F.col("stage").isNotNull())
+    staged = relations.stages().where(F.col("stage").isNotNull())
     if f.mode == filters.CLEAN:
         together = paid.unionByName(
             staged.select(_key(), "stage", "n", F.lit(False).alias("paid")),

@@ -1,4 +1,4 @@
-"""Extracts to bronze to silver to report sources, as lazy tables."""
+"""Extracts to bronze to silver to what the report reads, as lazy tables."""
 
 from __future__ import annotations
 
@@ -9,27 +9,36 @@ from pyspark.sql import DataFrame
 from ledgermill.plans import bronze, metrics, silver
 from ledgermill.plans.metrics import Relations
 from ledgermill.schemas import BILLING, CHURN, CRM
+from ledgermill.sources.lazy import LazyTables
 
 
-def bronze_tables(extracts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        CRM: bronze.crm(extracts[CRM]),
-        BILLING: bronze.billing(extracts[BILLING]),
-        CHURN: bronze.churn(extracts[CHURN]),
-    }
+def bronze_tables(extracts: Mapping[str, DataFrame]) -> LazyTables:
+    return LazyTables(
+        {
+            CRM: lambda: bronze.crm(extracts[CRM]),
+            BILLING: lambda: bronze.billing(extracts[BILLING]),
+            CHURN: lambda: bronze.churn(extracts[CHURN]),
+        }
+    )
 
 
-def silver_tables(bronze_: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        CRM: silver.customers(bronze_[BILLING], bronze_[CRM]),
-        BILLING: silver.transactions(bronze_[BILLING]),
-        CHURN: silver.churn(bronze_[CHURN]),
-    }
+def silver_tables(bronze_: Mapping[str, DataFrame]) -> LazyTables:
+    return LazyTables(
+        {
+            CRM: lambda: silver.customers(bronze_[BILLING], bronze_[CRM]),
+            BILLING: lambda: silver.transactions(bronze_[BILLING]),
+            CHURN: lambda: silver.churn(bronze_[CHURN]),
+        }
+    )
 
 
 def raw_relations(extracts: Mapping[str, DataFrame]) -> Relations:
-    return metrics.raw_relations(
-        bronze.raw_billing(extracts[BILLING]), extracts[CRM], extracts[CHURN]
+    """Raw-mode relations: extracts as they came."""
+    return Relations(
+        transactions=bronze.raw_billing(extracts[BILLING]),
+        churn=extracts[CHURN],
+        accounts=None,
+        stages=lambda: metrics.raw_stages(extracts[CRM]),
     )
 
 
@@ -42,10 +51,16 @@ def clean_relations(bronze_: Mapping[str, DataFrame]) -> Relations:
         transactions=silver.transactions(billing),
         churn=bronze_[CHURN],
         accounts=crm,
-        stages=silver.stage_counts(billing, crm),
+        stages=lambda: silver.stage_counts(billing, crm),
     )
 
 
 def stored_relations(silver_: Mapping[str, DataFrame]) -> Relations:
     """Clean-mode relations from written silver tables."""
-    return metrics.clean_relations(silver_[BILLING], silver_[CRM], silver_[CHURN])
+    customers = silver_[CRM]
+    return Relations(
+        transactions=silver_[BILLING],
+        churn=silver_[CHURN],
+        accounts=customers.where("NOT billing_only_flag"),
+        stages=lambda: metrics.silver_stages(customers),
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill import schemas
+from ledgermill.sources.lazy import LazyTables
 
 # Fixed values of the mapping.
 PLANS = ("Starter", "Growth", "Enterprise")
@@ -100,9 +101,11 @@ def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        schemas.CRM: crm(spark, sf_dir),
-        schemas.BILLING: billing(spark, sf_dir),
-        schemas.CHURN: churn(spark, sf_dir),
-    }
+def extracts(spark: SparkSession, sf_dir: str) -> LazyTables:
+    return LazyTables(
+        {
+            schemas.CRM: lambda: crm(spark, sf_dir),
+            schemas.BILLING: lambda: billing(spark, sf_dir),
+            schemas.CHURN: lambda: churn(spark, sf_dir),
+        }
+    )

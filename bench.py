@@ -34,7 +34,8 @@ HEADLINE = (
     "bronze_billing_validation",
     "dq_report",
 )
-RUNS = 3
+WARM_UP_RUNS = 2
+RUNS = 5
 
 
 def main() -> None:
@@ -64,7 +65,8 @@ def main() -> None:
 
     seconds = {}
     for name in names:
-        run(name)
+        for _ in range(WARM_UP_RUNS):
+            run(name)
         seconds[name] = round(statistics.median(run(name) for _ in range(RUNS)), 3)
     spark.stop()
     print(

@@ -7,12 +7,12 @@ import datetime
 
 from ledgermill.jobs import bronze, quality, report, silver
 from ledgermill.plans.filters import ALL, ACTIVE, CHURNED, CLEAN, RAW, MetricFilter
-from ledgermill.session import build_session
+from ledgermill.session import build_session, fit_partitions
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="ledgermill")
-    parser.add_argument("--shuffle-partitions", type=int)
+    parser.add_argument("--shuffle-partitions", type=int, help="default: from the input size")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("bronze", help="extracts to bronze tables")
@@ -46,7 +46,13 @@ def _print_report(written: dict[str, dict[str, object]]) -> None:
 
 def main() -> None:
     args = _parser().parse_args()
-    spark = build_session(f"ledgermill-{args.job}", args.shuffle_partitions)
+    spark = build_session(f"ledgermill-{args.job}")
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", args.shuffle_partitions)
+    else:
+        inputs = {"bronze": "extracts", "silver": "bronze", "quality": "extracts"}
+        names = [inputs[args.job]] if args.job in inputs else ["extracts", "silver"]
+        fit_partitions(spark, *(vars(args)[name] for name in names if vars(args)[name]))
     if args.job == "bronze":
         _print_report(bronze.run(spark, args.extracts, args.bronze))
         _print_report(bronze.validate(spark, args.bronze))

@@ -140,7 +140,7 @@ def _new_customers(f: MetricFilter) -> str:
         GROUP BY ALL ORDER BY month"""
 
 
-def _pipeline(f: MetricFilter) -> str:
+def _stage_distribution(f: MetricFilter) -> str:
     table, where = "crm", ""
     if f.mode == "clean":
         table = "silver_customers"
@@ -161,7 +161,7 @@ def _report(f: MetricFilter) -> str:
     for part, sql, label, value in (
         ("monthly_revenue", _monthly_revenue(f), "month", "revenue"),
         ("revenue_by_plan", _revenue_by_plan(f), "plan", "revenue"),
-        ("pipeline_distribution", _pipeline(f), "stage", "customers"),
+        ("stage_distribution", _stage_distribution(f), "stage", "customers"),
         ("new_customers", _new_customers(f), "month", "new_customers"),
     ):
         parts.append(f"SELECT '{part}', {label}, {value}::DOUBLE FROM ({sql})")
@@ -332,9 +332,9 @@ def _report_sql() -> dict[str, str]:
         found[f"monthly_revenue_{name}"] = _monthly_revenue(f)
         found[f"revenue_by_plan_{name}"] = _revenue_by_plan(f)
         found[f"new_customers_{name}"] = _new_customers(f)
-        found[f"pipeline_distribution_{name}"] = _pipeline(f)
+        found[f"stage_distribution_{name}"] = _stage_distribution(f)
     for name in STORED_FILTERS:
-        found[f"stored_pipeline_distribution_{name}"] = _pipeline(FILTERS[name])
+        found[f"stored_stage_distribution_{name}"] = _stage_distribution(FILTERS[name])
     for name in REPORT_FILTERS:
         found[f"report_{name}"] = _report(FILTERS[name])
     return found

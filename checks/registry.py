@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ledgermill.plans import metrics, pipeline, quality
+from ledgermill.plans import metrics, quality, tables
 from ledgermill.plans.filters import MetricFilter
 from ledgermill.schemas import BILLING, CHURN, CRM
 from ledgermill.sources import harness
@@ -65,16 +65,16 @@ class Tables:
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return pipeline.bronze_tables(self.raw)
+        return tables.bronze_tables(self.raw)
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return pipeline.silver_tables(self.bronze)
+        return tables.silver_tables(self.bronze)
 
     def relations(self, name: str) -> metrics.Relations:
         if FILTERS[name].mode == "raw":
-            return pipeline.raw_relations(self.raw)
-        return pipeline.clean_relations(self.bronze)
+            return tables.raw_relations(self.raw)
+        return tables.clean_relations(self.bronze)
 
     def activity(self, name: str, *by: str) -> DataFrame:
         return metrics.activity(self.relations(name), FILTERS[name], by)
@@ -82,14 +82,14 @@ class Tables:
     def cohorts(self, name: str) -> DataFrame:
         return metrics.cohorts(self.activity(name))
 
-    def pipeline_distribution(self, name: str) -> DataFrame:
+    def stage_distribution(self, name: str) -> DataFrame:
         relations, f = self.relations(name), FILTERS[name]
-        return metrics.pipeline_distribution(relations, f, metrics.activity(relations, f))
+        return metrics.stage_distribution(relations, f, metrics.activity(relations, f))
 
-    def stored_pipeline_distribution(self, name: str) -> DataFrame:
+    def stored_stage_distribution(self, name: str) -> DataFrame:
         """The same as someone with silver tables at hand gets it."""
-        relations, f = pipeline.stored_relations(self.silver), FILTERS[name]
-        return metrics.pipeline_distribution(relations, f, metrics.activity(relations, f))
+        relations, f = tables.stored_relations(self.silver), FILTERS[name]
+        return metrics.stage_distribution(relations, f, metrics.activity(relations, f))
 
     def report(self, name: str) -> DataFrame:
         return metrics.report(self.relations(name), FILTERS[name])
@@ -164,10 +164,10 @@ def _report_queries() -> dict[str, Callable[[Tables], DataFrame]]:
             t.activity(n, "plan")
         )
         found[f"new_customers_{name}"] = lambda t, n=name: metrics.new_customers(t.cohorts(n))
-        found[f"pipeline_distribution_{name}"] = lambda t, n=name: t.pipeline_distribution(n)
+        found[f"stage_distribution_{name}"] = lambda t, n=name: t.stage_distribution(n)
     for name in STORED_FILTERS:
-        found[f"stored_pipeline_distribution_{name}"] = (
-            lambda t, n=name: t.stored_pipeline_distribution(n)
+        found[f"stored_stage_distribution_{name}"] = (
+            lambda t, n=name: t.stored_stage_distribution(n)
         )
     for name in REPORT_FILTERS:
         found[f"report_{name}"] = lambda t, n=name: t.report(n)

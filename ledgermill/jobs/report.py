@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.jobs import silver as silver_job
-from ledgermill.plans import filters, metrics, pipeline
+from ledgermill.plans import filters, metrics, tables
 from ledgermill.plans.filters import MetricFilter
 from ledgermill.sources.extracts import null_missing, read_extracts
 
@@ -17,10 +17,10 @@ def relations(
         if extracts_dir is None:
             raise ValueError("raw mode reads the extracts: give their folder")
         extracts = read_extracts(spark, extracts_dir)
-        return pipeline.raw_relations({name: null_missing(df) for name, df in extracts.items()})
+        return tables.raw_relations({name: null_missing(df) for name, df in extracts.items()})
     if silver_dir is None:
         raise ValueError("clean mode reads silver tables: give their folder")
-    return pipeline.stored_relations(silver_job.read(spark, silver_dir))
+    return tables.stored_relations(silver_job.read(spark, silver_dir))
 
 
 def run(

@@ -1 +1 @@
-"""The pipelines: bronze, silver, metrics and data quality. All lazy; nothing here runs a job."""
+"""What is computed: bronze, silver, metrics and data quality. All lazy; nothing here runs a job."""

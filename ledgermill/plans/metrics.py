@@ -27,7 +27,7 @@ NO_CUSTOMER = "\0"
 
 @dataclass(frozen=True)
 class Relations:
-    """What the report of one mode reads; `pipeline` puts them together.
+    """What the report of one mode reads; `tables` puts them together.
 
     transactions: billing rows, cleaned or not
     churn: one row or more per churned customer_id
@@ -181,7 +181,7 @@ def _stage_counts(relations: Relations, f: MetricFilter, customers: DataFrame) -
     return staged.groupBy("stage").agg(F.sum("n").alias("customers"))
 
 
-def pipeline_distribution(
+def stage_distribution(
     relations: Relations, f: MetricFilter, customers: DataFrame
 ) -> DataFrame:
     """CRM rows per stage, with their share. Clean mode counts the silver rows of the given
@@ -219,7 +219,7 @@ def filter_options(transactions: DataFrame, silver_customers: DataFrame) -> Data
 KPI = "kpi"
 MONTHLY_REVENUE = "monthly_revenue"
 REVENUE_BY_PLAN = "revenue_by_plan"
-PIPELINE_DISTRIBUTION = "pipeline_distribution"
+STAGE_DISTRIBUTION = "stage_distribution"
 NEW_CUSTOMERS = "new_customers"
 
 _VALUE = "decimal(32,2)"
@@ -312,7 +312,7 @@ def report(relations: Relations, f: MetricFilter) -> DataFrame:
         entry(REVENUE_BY_PLAN, F.col("plan"), amount),
         entry(NEW_CUSTOMERS, dates.month_label(F.col("first_month")), customers(known)),
     )
-    stage_entries = F.array(entry(PIPELINE_DISTRIBUTION, F.col("stage"), F.col("n").cast(_VALUE)))
+    stage_entries = F.array(entry(STAGE_DISTRIBUTION, F.col("stage"), F.col("n").cast(_VALUE)))
     entries = _digest(relations, f).select(
         F.inline(F.when(F.col("paid"), paid_entries).otherwise(stage_entries))
     )

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from ledgermill.plans import bronze, metrics, pipeline, quality
+from ledgermill.plans import bronze, metrics, quality, tables
 from ledgermill.plans.filters import MetricFilter
 from ledgermill.schemas import BILLING, CHURN, CRM
 from ledgermill.sources.extracts import null_missing, read_extracts
@@ -66,11 +66,11 @@ STAGES = {
 def relations(spark):
     extracts = read_extracts(spark, FOLDER)
     raw = {name: null_missing(df) for name, df in extracts.items()}
-    bronze_ = pipeline.bronze_tables(extracts)
+    bronze_ = tables.bronze_tables(extracts)
     return {
-        "raw": pipeline.raw_relations(raw),
-        "clean": pipeline.clean_relations(bronze_),
-        "stored": pipeline.stored_relations(pipeline.silver_tables(bronze_)),
+        "raw": tables.raw_relations(raw),
+        "clean": tables.clean_relations(bronze_),
+        "stored": tables.stored_relations(tables.silver_tables(bronze_)),
     }
 
 
@@ -93,7 +93,7 @@ def test_report(relations, mode):
     assert parts["monthly_revenue"] == dict(zip(MONTHS, MONTHLY[mode]))
     assert parts["new_customers"] == dict(zip(MONTHS, NEW_CUSTOMERS))
     assert parts["revenue_by_plan"] == BY_PLAN[mode]
-    assert parts["pipeline_distribution"] == STAGES[mode]
+    assert parts["stage_distribution"] == STAGES[mode]
 
 
 def test_quality(spark):

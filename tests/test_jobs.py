@@ -8,7 +8,7 @@ import pytest
 
 from ledgermill import schemas
 from ledgermill.jobs import bronze, quality, report, silver
-from ledgermill.plans import metrics, pipeline
+from ledgermill.plans import metrics, tables
 from ledgermill.plans.filters import MetricFilter
 from ledgermill.sources.extracts import null_missing, read_extract, read_extracts
 from tests.tables import BILLING_ROWS, CHURN_ROWS, CRM_ROWS, rows
@@ -59,11 +59,11 @@ def test_validation(spark, folders, written):
 
 
 def test_round_trip(spark, folders, written):
-    lazy = pipeline.bronze_tables(read_extracts(spark, folders["extracts"]))
+    lazy = tables.bronze_tables(read_extracts(spark, folders["extracts"]))
     stored = bronze.read(spark, folders["bronze"])
     for name in schemas.BRONZE:
         assert rows(stored[name]) == rows(lazy[name])
-    lazy = pipeline.silver_tables(stored)
+    lazy = tables.silver_tables(stored)
     stored = silver.read(spark, folders["silver"])
     for name in schemas.SILVER:
         assert rows(stored[name].select(lazy[name].columns)) == rows(lazy[name])
@@ -90,7 +90,7 @@ def test_date_bounds_skip_months(spark, folders, written):
         end_date=datetime.date(2024, 2, 29),
         plans=("Enterprise",),
     )
-    df = metrics.activity(pipeline.stored_relations(stored), f)
+    df = metrics.activity(tables.stored_relations(stored), f)
     plan = df._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "month" in line)
     assert "2024-02" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]

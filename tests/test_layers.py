@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from ledgermill.plans import bronze, metrics, pipeline, quality, silver
+from ledgermill.plans import bronze, metrics, quality, silver, tables
 from ledgermill.plans.filters import MetricFilter
 from ledgermill.schemas import BILLING, BRONZE, CHURN, CRM
 from tests.tables import extracts, rows
@@ -20,12 +20,12 @@ def raw(spark):
 
 @pytest.fixture(scope="module")
 def bronze_(raw):
-    return pipeline.bronze_tables(raw)
+    return tables.bronze_tables(raw)
 
 
 @pytest.fixture(scope="module")
 def silver_(bronze_):
-    return pipeline.silver_tables(bronze_)
+    return tables.silver_tables(bronze_)
 
 
 def test_bronze_types(bronze_):
@@ -88,8 +88,8 @@ def kpi(relations, **filter_):
 @pytest.fixture(scope="module", params=["bronze", "silver"])
 def clean(request, bronze_, silver_):
     if request.param == "bronze":
-        return pipeline.clean_relations(bronze_)
-    return pipeline.stored_relations(silver_)
+        return tables.clean_relations(bronze_)
+    return tables.stored_relations(silver_)
 
 
 def test_clean_kpis(clean):
@@ -130,9 +130,9 @@ def test_start_date_makes_old_customers_new(clean):
     assert [tuple(r) for r in new.collect()] == [("2024-02", 2), ("2024-03", 2)]
 
 
-def test_clean_pipeline(clean):
+def test_clean_stages(clean):
     f = MetricFilter(mode="clean")
-    got = metrics.pipeline_distribution(clean, f, metrics.activity(clean, f))
+    got = metrics.stage_distribution(clean, f, metrics.activity(clean, f))
     # Two billed plans count twice; customers without a stage are not in the chart.
     assert [tuple(r) for r in got.collect()] == [
         ("Closed Won", 2, 0.4), ("Qualified", 2, 0.4), ("Lead", 1, 0.2),
@@ -140,7 +140,7 @@ def test_clean_pipeline(clean):
 
 
 def test_raw(raw):
-    relations = pipeline.raw_relations(raw)
+    relations = tables.raw_relations(raw)
     assert kpi(relations, mode="raw") == (3299, 6, 6, 0, 0.0)
     # Ids of billing and churn differ in format, so nobody has churned, unless an id is in CRM
     # format by mistake (and not churned here).
@@ -148,7 +148,7 @@ def test_raw(raw):
     assert kpi(relations, mode="raw", status="churned") == (0, 0, 0, 0, 0.0)
     assert kpi(relations, mode="raw", industries=()) == kpi(relations, mode="raw")
     f = MetricFilter(mode="raw", plans=())
-    got = metrics.pipeline_distribution(relations, f, metrics.activity(relations, f))
+    got = metrics.stage_distribution(relations, f, metrics.activity(relations, f))
     assert [(r.stage, r.customers) for r in got.collect()] == [
         ("Demo", 1), ("QUALIFIED", 1), ("closed lost", 1), ("closed_won", 1),
     ]
@@ -169,7 +169,7 @@ def test_raw(raw):
 def test_report_is_its_parts(raw, bronze_, filter_):
     f = MetricFilter(**filter_)
     relations = (
-        pipeline.raw_relations(raw) if f.mode == "raw" else pipeline.clean_relations(bronze_)
+        tables.raw_relations(raw) if f.mode == "raw" else tables.clean_relations(bronze_)
     )
     parts = {}
     for row in metrics.report(relations, f).collect():
@@ -183,7 +183,7 @@ def test_report_is_its_parts(raw, bronze_, filter_):
     series = {
         "monthly_revenue": metrics.monthly_revenue(metrics.activity(relations, f, ("month",))),
         "revenue_by_plan": metrics.revenue_by_plan(metrics.activity(relations, f, ("plan",))),
-        "pipeline_distribution": metrics.pipeline_distribution(relations, f, customers),
+        "stage_distribution": metrics.stage_distribution(relations, f, customers),
         "new_customers": metrics.new_customers(cohorts),
     }
     for part, df in series.items():
@@ -201,7 +201,7 @@ def test_revenue_adds_up(clean):
 def test_missing_id_matches_missing_id(spark, raw):
     """A churn list with an empty id marks the transactions without a customer."""
     churn = spark.createDataFrame([(None, None, None)], raw[CHURN].schema)
-    relations = pipeline.raw_relations({**raw, CHURN: churn})
+    relations = tables.raw_relations({**raw, CHURN: churn})
     assert kpi(relations, mode="raw", status="churned") == (10, 0, 0, 1, 0.0)
 
 

@@ -13,12 +13,12 @@ CRM_PREFIX = "CUST-"
 
 
 def to_crm_id(billing_id: Column) -> Column:
-    """Leading ``C`` becomes ``CUST-``. Distinct ids stay distinct, so this can run after grouping."""
+    """Leading ``C`` becomes ``CUST-``. Distinct ids stay distinct, so grouping can come first."""
     return F.regexp_replace(billing_id, f"^{BILLING_PREFIX}", CRM_PREFIX)
 
 
 def to_crm_id_everywhere(billing_id: Column) -> Column:
-    """Every ``C`` becomes ``CUST-``, as the quality checks do; equal to `to_crm_id` on clean ids."""
+    """Every ``C`` becomes ``CUST-``, for the quality checks; equal to `to_crm_id` on clean ids."""
     return F.replace(billing_id, F.lit(BILLING_PREFIX), F.lit(CRM_PREFIX))
 
 

@@ -22,7 +22,7 @@ _RIGHT_SLICE = "_right_slice"
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key, NULL included; combined on the map side, so a hot key costs one row per task."""
+    """Rows per key, NULL included. Combined on the map side: a hot key costs one row per task."""
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 

@@ -33,7 +33,7 @@ class Relations:
     churn: one row or more per churned customer_id
     accounts: (customer_id, industry) of customers the CRM knows; not read in raw mode
     stages: gives (customer_id, stage, n), the rows of the pipeline chart, to those parts that show
-        it; in raw mode without customer_id
+        it; in raw mode without customer_id. Rows with a stage have a customer: they are the CRM's.
     """
 
     transactions: DataFrame
@@ -176,8 +176,7 @@ def new_customers(cohorts_: DataFrame) -> DataFrame:
 def _stage_counts(relations: Relations, f: MetricFilter, customers: DataFrame) -> DataFrame:
     staged = relations.stages().where(F.col("stage").isNotNull())
     if f.mode == filters.CLEAN:
-        seen = customers.select("customer_id")
-        staged = staged.withColumn("customer_id", _key()).join(seen, "customer_id", "left_semi")
+        staged = staged.join(customers.select("customer_id"), "customer_id", "left_semi")
     return staged.groupBy("stage").agg(F.sum("n").alias("customers"))
 
 
@@ -238,7 +237,7 @@ def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
     staged = relations.stages().where(F.col("stage").isNotNull())
     if f.mode == filters.CLEAN:
         together = paid.unionByName(
-            staged.select(_key(), "stage", "n", F.lit(False).alias("paid")),
+            staged.select("customer_id", "stage", "n", F.lit(False).alias("paid")),
             allowMissingColumns=True,
         )
     else:
@@ -330,6 +329,5 @@ def report(relations: Relations, f: MetricFilter) -> DataFrame:
     )
     value, base = F.col("value").cast("double"), F.col("base").cast("double")
     is_rate = (F.col("part") == KPI) & (F.col("label") == "churn_rate")
-    return summed.select(
-        "part", "label", F.when(is_rate, rates.percentage(value, base)).otherwise(value).alias("value")
-    )
+    shown = F.when(is_rate, rates.percentage(value, base)).otherwise(value)
+    return summed.select("part", "label", shown.alias("value"))

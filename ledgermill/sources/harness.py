@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill import schemas
@@ -39,36 +39,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _pick(values: tuple[str | None, ...], key: Column) -> Column:
-    return F.array(*map(F.lit, values))[(key % len(values)).cast("int")]
+def _pick(values: tuple[str | None, ...], key: str) -> str:
+    texts = ", ".join("NULL" if value is None else f"'{value}'" for value in values)
+    return f"array({texts})[int({key} % {len(values)})]"
 
 
-def _customer_id(prefix: str, key: Column) -> Column:
-    digits = key.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(6), F.length(digits)), F.lit("0")))
+def _customer_id(prefix: str, key: str) -> str:
+    return f"concat('{prefix}', lpad({key}, greatest(6, length({key})), '0')) AS customer_id"
 
 
 def crm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    signup = F.date_add(F.lit("2024-01-01").cast("date"), (key % 366).cast("int"))
-    form = (
-        F.when(key % 97 == 0, F.date_format(signup, "yyyy.MM.dd"))
-        .when(key % 9 == 0, F.date_format(signup, "dd/MM/yyyy"))
-        .otherwise(F.date_format(signup, "yyyy-MM-dd"))
-    )
+    signup = "date_add(DATE '2024-01-01', int(c_custkey % 366))"
     customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
     return (
-        customer.where(key % 10 != 9)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            _customer_id("CUST-", key).alias("customer_id"),
-            F.col("c_name").alias("company_name"),
-            F.col("c_mktsegment").alias("industry"),
-            F.col("n_name").alias("city"),
-            _pick(PLANS, key).alias("plan"),
-            _pick(STAGES, key).alias("pipeline_stage"),
-            form.alias("signup_date"),
-            F.concat(F.lit("AM-"), (key % 5 + 1).cast("string")).alias("account_manager"),
+        customer.where("c_custkey % 10 <> 9")
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            _customer_id("CUST-", "c_custkey"),
+            "c_name AS company_name",
+            "c_mktsegment AS industry",
+            "n_name AS city",
+            f"{_pick(PLANS, 'c_custkey')} AS plan",
+            f"{_pick(STAGES, 'c_custkey')} AS pipeline_stage",
+            f"""CASE WHEN c_custkey % 97 = 0 THEN date_format({signup}, 'yyyy.MM.dd')
+                WHEN c_custkey % 9 = 0 THEN date_format({signup}, 'dd/MM/yyyy')
+                ELSE date_format({signup}, 'yyyy-MM-dd') END AS signup_date""",
+            "concat('AM-', c_custkey % 5 + 1) AS account_manager",
         )
     )
 
@@ -76,27 +72,25 @@ def crm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "lineitem")
     # Both sides grow with the data, so neither is to be broadcast, however small it is in a test.
-    joined = lineitem.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.select(
-        F.concat_ws("-", F.lit("TX"), "l_orderkey", "l_linenumber").alias("transaction_id"),
-        _customer_id("C", F.col("o_custkey")).alias("customer_id"),
-        F.col("l_extendedprice").cast(schemas.MONEY).alias("amount"),
-        F.col("l_shipdate").cast("date").alias("transaction_date"),
-        F.when(F.col("l_returnflag") == "R", "refunded").otherwise("paid").alias("status"),
-        _pick(PLANS, F.col("o_orderkey")).alias("plan"),
+    return lineitem.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "concat_ws('-', 'TX', l_orderkey, l_linenumber) AS transaction_id",
+        _customer_id("C", "o_custkey"),
+        f"CAST(l_extendedprice AS {schemas.MONEY.simpleString()}) AS amount",
+        "CAST(l_shipdate AS date) AS transaction_date",
+        "if(l_returnflag = 'R', 'refunded', 'paid') AS status",
+        f"{_pick(PLANS, 'o_orderkey')} AS plan",
     )
 
 
 def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    day = F.date_add(F.lit("1998-01-01").cast("date"), (key % 900).cast("int"))
+    day = "date_add(DATE '1998-01-01', int(c_custkey % 900))"
     return (
         _table(spark, sf_dir, "customer")
-        .where(key % 6 == 0)
-        .select(
-            _customer_id("CUST-", key).alias("customer_id"),
-            F.date_format(day, "yyyy-MM-dd").alias("churn_date"),
-            _pick(CHURN_REASONS, key).alias("churn_reason"),
+        .where("c_custkey % 6 = 0")
+        .selectExpr(
+            _customer_id("CUST-", "c_custkey"),
+            f"date_format({day}, 'yyyy-MM-dd') AS churn_date",
+            f"{_pick(CHURN_REASONS, 'c_custkey')} AS churn_reason",
         )
     )
 

@@ -128,6 +128,24 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", component_id).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that stay: of each group the document with the smallest doc_id, once.
+
+    All columns stay as they are. Rows with a null doc_id stay; of equal rows with that doc_id one stays.
+    """
+    found = near_duplicates(docs, **options)
+    gone = stored(found.where("not kept").select("doc_id").distinct())
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("key"), docs["text"].alias("text"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("d"))
+    repeated = stored(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("key")))
+    rows = rows.join(gone, rows["key"] == gone["doc_id"], "left_anti")
+    if repeated.limit(1).count():
+        again = rows.join(repeated, "key", "left_semi")
+        first = Window.partitionBy("key", F.xxhash64("text")).orderBy("text")
+        again = again.withColumn("rank", F.row_number().over(first)).where("rank = 1")
+        rows = rows.join(repeated, "key", "left_anti").select("d").unionByName(again.select("d"))
+    return rows.select("d.*")
+
+
 def _links(docs: DataFrame, profile: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes that together join whatever is similar.
 

@@ -7,17 +7,57 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import minmax, rules
+from ledgermill.llm import lsa, minmax, mixture, rules, secrets, shards, simple8b, suffix_tree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    """The vocabulary file that the cluster's machines have."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+#: Target weights of the sources: the largest one is held back, five are stressed, all others share the rest.
+WEIGHTS = {"src0": 0.20, "src1": 0.08, "src2": 0.08, "src3": 0.08, "src4": 0.06, "src5": 0.06}
+REST = 0.44
+
+
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scores(table(spark, sf_dir, "documents"))
+
+
+def op3_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.read_digests(simple8b.write_ids(table(spark, sf_dir, "documents"), tokenizer()))
+
+
 def op4_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op5_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixture.mix(table(spark, sf_dir, "documents"), WEIGHTS, REST)
+    return rows.select("d.*", "rate", "n_copies", "copy", "place")
+
+
+def op6_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsa.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("secrets")
+    base = F.filter(found, lambda s: s.kind.isin("assign", "access", "hex"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    count = lambda kind: F.size(F.filter(found, lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+    return secrets.secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(found).alias("spans"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rules.judged(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -27,8 +67,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shards.balanced(table(spark, sf_dir, "documents"))
+    return rows.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op4_minmax_near_dedup": op4_minmax_near_dedup,
-        "op9_quality_rules": op9_quality_rules,
-    }
+    found = [op2_suffix_tree, op3_simple8b_ids, op4_minmax_near_dedup, op5_poisson_mixture, op6_latent_leaks]
+    found += [op8_secret_scan, op9_quality_rules, op10_longest_first_shards]
+    return {f.__name__: f for f in found}

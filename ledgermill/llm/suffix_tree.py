@@ -1,25 +1,29 @@
-"""Language-model scores by a probabilistic suffix tree, beside a word-unigram base.
+"""Language-model scores by a probabilistic suffix tree over words, beside a word-unigram base.
 
-Tokens are the lower-cased words of a text and one end token. The tree reads them as symbols: the bytes of a
-word, then one symbol that closes it (0x20), or that closes the text after its last word (0x0A). Neither can
-stand in a word, so the symbols and the tokens say the same and the product of the symbols' probabilities is
-the probability of the text. The context before the first symbol is one 0x0A.
+Tokens are the lower-cased words of a text and one end token; words that training did not see are one unknown
+token. A context is a run of up to `DEPTH` tokens before a token, within the text; before the first token
+stands one start token.
 
-Gathered over all training texts: how often each run of up to `DEPTH` symbols and the next one occurs, and how
-often each word occurs. Contexts of at least `SHARE` of all symbols are candidates: at most 1 / SHARE of each
-length, which bounds the model whatever the corpus. A candidate is retained if its next-symbol distribution
-diverges from that of its own suffix: Kullback-Leibler divergence of at least `DIVERGENCE` nats, and at least
-log(all symbols) nats over all its occurrences. Distributions are smoothed towards the longest retained suffix
-by Witten-Bell weights, at the root towards the uniform distribution of 256 bytes. For scoring, the contexts
-become an automaton whose state is the longest suffix of the text so far that can still grow into a context;
-each symbol has the probability that the longest retained suffix gives.
+Contexts and their next-symbol distributions are built from the runs (context, next token) that make up at least
+`SHARE` of all training tokens. So the model has at most 1 / SHARE entries of each length, whatever the corpus,
+while what is counted grows with it. Finding these runs exactly takes two passes: tasks keep lossy counts with an
+error of SHARE / 4 of what they read, so every frequent run is among at most 4 / (3 SHARE) survivors, and the
+second pass counts the survivors exactly. The outcome does not depend on how the input is split.
 
-Base scores need the count of every word. Words with at least `HEAVY` of all tokens, at most 1 / HEAVY of them,
-are broadcast; tokens of all other words meet their counts in a join, in which no key is hot.
+A context is retained if its distribution diverges from that of its longest retained suffix: Kullback-Leibler
+divergence of at least `DIVERGENCE` nats, and at least log(training tokens) nats over all its occurrences. The
+rest of the symbols is one class in this test. Distributions are smoothed towards the suffix: a listed symbol has
+(n + k p) / (all + k), with p its probability after the suffix and k the number of listed symbols; the other
+symbols share what is left in proportion to the suffix's distribution. At the root stands the base. A token is
+scored in the state of the longest retained context before it.
+
+Base scores need the count of every word. Words with at least `HEAVY` of all tokens or `SHARE` of the training tokens, at
+most 1 / HEAVY + 1 / SHARE of them, are broadcast; tokens of all other words meet their counts in a join, in which no key is hot. No such word is a
+listed symbol, so for these tokens the model differs from the base by a known factor.
 
 Defined results: null and empty texts are the end token alone; a null doc_id counts as empty text for the split;
-repeated rows are scored one by one; with no training text c, N and V are 0 and the tree is the root alone. Words
-and contexts are compared by 64 bits.
+repeated rows are scored one by one; with no training text c, N and V are 0. Words and runs are compared by 64
+bits.
 """
 
 from __future__ import annotations
@@ -32,12 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.shared import stored
-from ledgermill.llm.words import Words, slices, words
+from ledgermill.llm.words import Words, mix, one_hash, slices, words
 
-DEPTH, SHARE, DIVERGENCE, HEAVY = 5, 1e-4, 0.005, 1e-6
-CLOSE, END = 0x20, 0x0A
-_BITS = 9  # a symbol in a packed run is its byte + 1; 0 is no symbol
-_LANE = 512  # symbols that one lane of the automaton reads
+DEPTH, SHARE, DIVERGENCE, HEAVY = 3, 4e-6, 0.02, 1e-6
+#: The start and the end token; no word has a line feed.
+EDGE = np.uint64(one_hash(b"\n"))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def held_out(doc_id: Column, modulus: int = 7, remainder: int = 2) -> Column:
@@ -45,241 +49,323 @@ def held_out(doc_id: Column, modulus: int = 7, remainder: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
-def symbols(found: Words, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols of a slice, one row after the other; how many each row has)."""
-    counts = np.diff(found.first_of)
-    empty = np.flatnonzero(counts == 0)
-    lengths = np.insert(found.end - found.start, found.first_of[empty], 0)  # an empty text is one empty word
-    rows = np.insert(found.row, found.first_of[empty], empty)
-    ends = np.cumsum(lengths + 1)
-    out = np.full(int(ends[-1]) if len(ends) else 0, CLOSE, np.uint8)
-    last = np.r_[rows[1:] != rows[:-1], True] if len(rows) else np.zeros(0, bool)
-    out[ends[last] - 1] = END
-    some = lengths > 0
-    begin, size = (ends - lengths - 1)[some], lengths[some]
-    shift = np.repeat(found.start - begin, size)
-    target = np.ones(len(out), bool)
-    target[ends - 1] = False
-    at = np.flatnonzero(target)
-    out[at] = found.data[at + shift]
-    return out, np.bincount(rows, lengths + 1, n_rows).astype(np.int64)
-
-
-def runs(stream: np.ndarray, sizes: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """For each symbol the packed run of up to `depth` symbols before it and itself, itself lowest."""
-    place = np.arange(len(stream)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    shifted = stream.astype(np.uint64) + np.uint64(1)
-    packed = shifted.copy()
-    for back in range(1, depth + 1):
-        before = np.zeros(len(stream), np.uint64)
-        before[back:] = shifted[:-back]
-        before[place + 1 == back] = END + 1
-        before[place + 1 < back] = 0
-        packed |= before << np.uint64(_BITS * back)
-    return packed
-
-
-def _merge(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Sums of the further columns by the first one."""
-    keys = np.concatenate([p[0] for p in parts])
+def sequence(found: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, row, place in the row) of a slice; each row has a start token at place 0 and an end token."""
+    n = np.diff(found.first_of)
+    sizes = n + 2
+    first = np.cumsum(sizes) - sizes
+    row = np.repeat(np.arange(len(n)), sizes)
+    place = np.arange(len(row)) - first[row]
+    tokens = np.full(len(row), EDGE)
+    tokens[(place > 0) & (place <= n[row])] = hashes
+    return tokens, row, place
+
+
+def contexts(tokens: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, places that have k tokens before them, fingerprints of these contexts) for k = 1 .. depth."""
+    before = np.zeros(len(tokens), np.uint64)
+    for k in range(1, depth + 1):
+        at = np.flatnonzero(place >= k)
+        wider = np.zeros(len(tokens), np.uint64)
+        wider[at] = mix(before[at] * _STEP + tokens[at - k] + np.uint64(k))
+        before = wider
+        yield k, at, before[at]
+
+
+def run_of(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Fingerprints of contexts with a next token."""
+    return mix(context ^ mix(token + _STEP))
+
+
+def _tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, how often, where each is found)."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    sums = [np.add.reduceat(np.concatenate([p[i] for p in parts])[order], first) if len(keys) else np.zeros(0, np.int64) for i in range(1, len(parts[0]))]
-    return keys[first], *sums
+    return keys[first], np.diff(np.r_[first, len(keys)]), order[first]
+
+
+class Lossy:
+    """Counts of frequent keys of a stream, too small by at most `error` times what was read; with a note for each."""
+
+    def __init__(self, error: float) -> None:
+        self.error, self.read = error, 0
+        self.keys, self.notes = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.counts, self.missed = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, keys: np.ndarray, notes: np.ndarray) -> None:
+        self.waiting.append((keys, notes))
+        self.held += len(keys)
+        if self.held * self.error >= 1:
+            self.settle()
+
+    def settle(self) -> None:
+        """Count what waits and forget what cannot be frequent."""
+        if not self.held:
+            return
+        keys, notes = (np.concatenate(x) for x in zip(*self.waiting, strict=True))
+        new, n, where = _tally(keys)
+        missed = np.full(len(new), int(self.read * self.error), np.int64)
+        self.read, self.waiting, self.held = self.read + self.held, [], 0
+        keys, counts = np.concatenate([self.keys, new]), np.concatenate([self.counts, n])
+        notes, missed = np.concatenate([self.notes, notes[where]]), np.concatenate([self.missed, missed])
+        order = np.argsort(keys, kind="stable")  # of equal keys the older one first, which has missed less
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        counts, missed, notes = np.add.reduceat(counts[order], first), missed[order][first], notes[order][first]
+        keep = counts + missed > self.read * self.error
+        self.keys, self.counts, self.missed, self.notes = keys[first][keep], counts[keep], missed[keep], notes[keep]
+
+
+class Lookup:
+    """Places of keys in a sorted set; most keys that are not in it are turned away by one bit."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = np.unique(keys)
+        bits = max(16, int(np.ceil(np.log2(len(self.keys) + 1))) + 4)
+        self.mask = np.uint64((1 << bits) - 1)
+        self.some = np.zeros(1 << bits, bool)
+        self.some[self.keys & self.mask] = True
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(indexes of keys that are in the set, their places there)."""
+        hits = np.flatnonzero(self.some[keys & self.mask])
+        if not len(hits):
+            return hits, hits
+        place = np.minimum(np.searchsorted(self.keys, keys[hits]), len(self.keys) - 1)
+        real = self.keys[place] == keys[hits]
+        return hits[real], place[real]
+
+
+_COUNTED = "kind tinyint, key bigint, note bigint, train bigint, n bigint"
+#: Distinct words that a task sums up before it sends them on.
+_HELD = 1 << 20
+
+
+def _rows(kind: int, keys: np.ndarray, notes: np.ndarray, train: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(notes.view(np.int64)), pa.array(train), pa.array(n)]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "note", "train", "n"])
+
+
+def _counted(depth: int, error: float):
+    """Rows of kind 0: words; 1: the end token; 2: runs that may be frequent, with their contexts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ends, lossy = [], np.zeros(2, np.int64), [Lossy(error) for _ in range(depth)]
+
+        def summed() -> pa.RecordBatch:
+            nonlocal held
+            hashes, learns = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(hashes)
+            hashes, learns = hashes[order], learns[order]
+            first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, np.int64)
+            n = np.diff(np.r_[first, len(hashes)])
+            train = np.add.reduceat(learns.astype(np.int64), first) if len(first) else n
+            held = []
+            return _rows(0, hashes[first], np.zeros(len(first), np.uint64), train, n)
 
-def _tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.sort(keys)
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.diff(np.r_[first, len(keys)])
-
-
-#: Distinct entries that a task sums up before it sends them on.
-_HELD = 1 << 21
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, key, train, n): 0 words, 1 runs (training texts only), 2 the end token."""
-    held: dict[int, list] = {0: [], 1: []}
-    size = {0: 0, 1: 0}
-
-    def rows(kind: int) -> pa.RecordBatch:
-        keys, train, n = _merge(held[kind])
-        held[kind], size[kind] = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(train), pa.array(n)], names=["kind", "key", "train", "n"])
-
-    ends = np.zeros(2, np.int64)
-    for batch in batches:
-        train = ~np.array(batch.column("held_out").to_pylist(), bool)
-        ends += (int(train.sum()), len(train))
-        for part in slices(batch.column("text")):
-            found, own = words(part), train[part.first : part.first + len(part)]
-            hashes, learns = found.hashes(), own[found.row]
-            keys, n = _tally(hashes[learns])
-            held[0].append((keys, n, n))
-            keys, n = _tally(hashes[~learns])
-            held[0].append((keys, np.zeros(len(n), np.int64), n))
-            stream, sizes = symbols(found, len(part))
-            keys, n = _tally(runs(stream, sizes)[np.repeat(own, sizes)])
-            held[1].append((keys, n, n))
-            for kind in (0, 1):
-                size[kind] += sum(len(p[0]) for p in held[kind][-2:])
-                if size[kind] > _HELD:
-                    merged = _merge(held[kind])
-                    held[kind], size[kind] = [merged], len(merged[0])
-                    if size[kind] > _HELD // 2:
-                        yield rows(kind)
-    for kind in (0, 1):
-        if held[kind]:
-            yield rows(kind)
-    yield pa.RecordBatch.from_arrays([pa.array([2], pa.int8()), pa.array([0], pa.int64()), pa.array(ends[:1]), pa.array(ends[1:])], names=["kind", "key", "train", "n"])
-
-
-def contexts(counts: DataFrame, depth: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(length, context, symbol, n) of the candidate contexts, from the counted runs (key, n)."""
-    symbol = F.col("key").bitwiseAND(F.lit((1 << _BITS) - 1))
-    cut = [F.struct(F.lit(d).alias("length"), F.shiftrightunsigned("key", _BITS).bitwiseAND(F.lit((1 << _BITS * d) - 1)).alias("context")) for d in range(depth + 1)]
-    level = F.col("level")
-    rows = counts.select("key", "n", F.explode(F.array(*cut)).alias("level"))
-    whole = (level["length"] == 0) | (F.expr(f"shiftrightunsigned(level.context, {_BITS} * (level.length - 1))") > 0)
-    rows = stored(rows.where(whole).groupBy(level["length"].alias("length"), level["context"].alias("context"), symbol.alias("symbol")).agg(F.sum("n").alias("n")))
-    sums = rows.groupBy("length", "context").agg(F.sum("n").alias("all"))
-    total = rows.where("length = 0").agg(F.sum("n")).first()[0] or 0
-    frequent = sums.where(F.col("all") >= share * total).drop("all")
-    table = rows.join(frequent, ["length", "context"]).toPandas().sort_values(["length", "context", "symbol"])
-    return tuple(table[c].to_numpy(np.int64) for c in ("length", "context", "symbol", "n"))
+        for batch in batches:
+            train = ~np.array(batch.column("held_out").to_pylist(), bool)
+            ends += (int(train.sum()), len(train))
+            for part in slices(batch.column("text")):
+                found, own = words(part), train[part.first : part.first + len(part)]
+                hashes = found.hashes()
+                held.append((hashes, own[found.row]))
+                if sum(len(h[0]) for h in held) > 4 * _HELD:
+                    yield summed()
+                tokens, row, place = sequence(found, hashes)
+                learns = own[row]
+                for k, at, context in contexts(tokens, place, depth):
+                    use = learns[at]
+                    lossy[k - 1].add(run_of(context[use], tokens[at][use]), context[use])
+        if held:
+            yield summed()
+        yield _rows(1, np.zeros(1, np.uint64), np.zeros(1, np.uint64), ends[:1], ends[1:])
+        for counts in lossy:
+            counts.settle()
+            yield _rows(2, counts.keys, counts.notes, counts.counts, counts.counts)
 
+    return run
 
-class Tree:
-    """The retained contexts as an automaton over the symbols that were seen, and one for all others.
 
-    `code[byte]` is a byte's column; `goto[state, column]` the next state; `logs[state, column]` the log10
-    probability of the symbol in that state.
-    """
+def _exact(model, depth: int):
+    """(key, k, suffix, token, n): occurrences of the surviving runs, and with token null of their contexts."""
 
-    def __init__(self, length, context, symbol, n, divergence: float = DIVERGENCE) -> None:
-        total = int(n[length == 0].sum())
-        seen = np.unique(symbol[length == 0]) - 1
-        self.code = np.full(256, len(seen), np.int64)
-        self.code[seen] = np.arange(len(seen))
-        width = len(seen) + 1
-        root = np.full(width, 1 / 256)
-        if total:
-            own = np.zeros(width)
-            own[self.code[symbol[length == 0] - 1]] = n[length == 0]
-            root = (own + len(seen) / 256) / (total + len(seen))
-        smooth, raw = {(): root}, {(): root}
-        starts = np.flatnonzero(np.r_[True, (np.diff(length) != 0) | (np.diff(context) != 0)]) if len(length) else np.zeros(0, np.int64)
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(length)], strict=True):
-            depth = int(length[a])
-            if not depth:
-                continue
-            path = tuple(int(self.code[(int(context[a]) >> _BITS * i & (1 << _BITS) - 1) - 1]) for i in range(depth - 1, -1, -1))
-            counts = np.zeros(width)
-            counts[self.code[symbol[a:b] - 1]] = n[a:b]
-            size = counts.sum()
-            raw[path] = counts / size
-            wide = raw.get(path[1:], root)
-            some = counts > 0
-            apart = float((raw[path][some] * np.log(raw[path][some] / np.maximum(wide[some], 1e-300))).sum())
-            if apart >= divergence and size * apart >= np.log(total):
-                back = next(smooth[path[i:]] for i in range(1, depth + 1) if path[i:] in smooth)
-                kinds = int(some.sum())
-                smooth[path] = (counts + kinds * back) / (size + kinds)
-        self.retained = len(smooth)
-        nodes = sorted({path[:i] for path in smooth for i in range(len(path) + 1)}, key=lambda p: (len(p), p))
-        place = {path: i for i, path in enumerate(nodes)}
-        grows: dict[tuple, list[tuple]] = {}
-        for path in nodes[1:]:
-            grows.setdefault(path[:-1], []).append(path)
-        self.goto = np.zeros((len(nodes), width), np.int32)
-        self.logs = np.zeros((len(nodes), width), np.float32)
-        for path, i in place.items():  # shorter ones first, so the state of a suffix is complete
-            if path:
-                suffix = next(place[path[k:]] for k in range(1, len(path) + 1) if path[k:] in place)
-                self.goto[i] = self.goto[suffix]
-                self.logs[i] = np.log10(smooth[path]) if path in smooth else self.logs[suffix]
-            else:
-                self.logs[i] = np.log10(root)
-            for longer in grows.get(path, ()):
-                self.goto[i, longer[-1]] = place[longer]
-
-    def log10(self, stream: np.ndarray) -> np.ndarray:
-        """The log10 probability of each symbol of a stream that begins with a text."""
-        n, width = len(stream), self.goto.shape[1]
-        lanes = max(1, -(-n // _LANE))
-        codes = np.full(DEPTH + lanes * _LANE, self.code[END], np.int64)
-        codes[DEPTH : DEPTH + n] = self.code[stream]
-        # Each lane first reads the symbols before it: a state depends on the last DEPTH symbols only.
-        steps = np.lib.stride_tricks.sliding_window_view(codes, DEPTH + _LANE)[::_LANE].T.copy()
-        goto, logs = self.goto.ravel(), self.logs.ravel()
-        state = np.zeros(lanes, np.int64)
-        out = np.empty((_LANE, lanes), np.float32)
-        for i in range(DEPTH + _LANE):
-            cell = state * width + steps[i]
-            if i >= DEPTH:
-                out[i - DEPTH] = logs[cell]
-            state = goto[cell].astype(np.int64)
-        return out.T.ravel()[:n]
-
-
-def _scorer(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, heavy, counts, rest = model.value
+        runs, known = model.value
+        n_run, n_context = np.zeros(len(runs.keys), np.int64), np.zeros(len(known.keys), np.int64)
+        what = np.zeros((4, len(runs.keys)), np.uint64)  # context, suffix, token and length of a run
         for batch in batches:
             for part in slices(batch.column("text")):
                 found = words(part)
-                hashes = found.hashes()
-                stream, sizes = symbols(found, len(part))
-                score = np.add.reduceat(tree.log10(stream).astype(np.float64), np.cumsum(sizes) - sizes)
-                place = np.minimum(np.searchsorted(heavy, hashes), max(len(heavy) - 1, 0))
-                known = heavy[place] == hashes if len(heavy) else np.zeros(len(hashes), bool)
-                c = counts[place[known]].astype(np.float64)
-                n_rows = len(part)
-                logs = np.bincount(found.row[known], np.log10((c + 1) / rest["total"]), n_rows) + np.log10((rest["end"] + 1) / rest["total"])
-                n_known = np.bincount(found.row[known], c > 0, n_rows).astype(np.int64) + (rest["end"] > 0)
-                light = hashes[~known].view(np.int64)
-                ends = np.cumsum(np.bincount(found.row[~known], minlength=n_rows))
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(light))
+                tokens, _, place = sequence(found, found.hashes())
+                suffix = np.zeros(len(tokens), np.uint64)
+                for k, at, context in contexts(tokens, place, depth):
+                    hit, where = known(context)
+                    n_context += np.bincount(where, minlength=len(n_context))
+                    at_hit = at[hit]
+                    of, which = runs(run_of(context[hit], tokens[at_hit]))
+                    n_run += np.bincount(which, minlength=len(n_run))
+                    for i, value in enumerate((context[hit][of], suffix[at_hit[of]], tokens[at_hit[of]], k)):
+                        what[i, which] = value
+                    suffix[at] = context
+        of = np.flatnonzero(n_run)
+        names = ["key", "context", "suffix", "token", "k", "n"]
+        columns = [runs.keys[of], *what[:3, of]]
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns), pa.array(what[3, of].astype(np.int32)), pa.array(n_run[of])], names=names)
+        of = np.flatnonzero(n_context)
+        key, none = pa.array(known.keys[of].view(np.int64)), pa.nulls(len(of), pa.int64())
+        yield pa.RecordBatch.from_arrays([key, key, none, none, pa.array(np.zeros(len(of), np.int32)), pa.array(n_context[of])], names=names)
+
+    return run
+
+
+_EXACT = "key bigint, context bigint, suffix bigint, token bigint, k int, n bigint"
+
+
+class Tree:
+    """Retained contexts with the log10 factor of their unlisted symbols, and log10 probabilities of listed runs."""
+
+    def __init__(self, runs: list[tuple], sizes: dict[int, int], root: dict[int, float], tokens: int, divergence: float) -> None:
+        listed: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
+        for context, suffix, token, k, n in runs:
+            listed.setdefault((k, context, suffix), []).append((token, n))
+        back: dict[int, float] = {}  # of a retained context: the factor of unlisted symbols
+        after: dict[tuple[int, int], float] = {}
+        longest: dict[int, int | None] = {}  # of a context: its longest retained suffix, itself included
+        above: dict[int, int | None] = {}
+
+        def probability(context: int | None, token: int) -> float:
+            factor = 1.0
+            while context is not None:
+                if (context, token) in after:
+                    return factor * after[context, token]
+                factor *= back[context]
+                context = above[context]
+            return factor * root[token]
+
+        for (_, context, suffix), nexts in sorted(listed.items()):
+            up = longest.get(suffix)
+            total = sizes[context]
+            wide = [probability(up, t) for t, _ in nexts]
+            own = [n / total for _, n in nexts]
+            rest, wide_rest = max(1 - sum(own), 0.0), max(1 - sum(wide), 1e-12)
+            apart = sum(p * np.log(p / q) for p, q in zip(own, wide, strict=True)) + (rest * np.log(rest / wide_rest) if rest > 1e-12 else 0.0)
+            if apart < divergence or total * apart < np.log(tokens):
+                longest[context] = up
+                continue
+            k = len(nexts)
+            smooth = [(n + k * q) / (total + k) for (_, n), q in zip(nexts, wide, strict=True)]
+            above[context], longest[context] = up, context
+            back[context] = max(1 - sum(smooth), 1e-12) / wide_rest
+            after |= {(context, t): p for (t, _), p in zip(nexts, smooth, strict=True)}
+        self.retained = len(back)
+        unsigned = lambda x: np.array(list(x), np.int64).view(np.uint64)
+        self.contexts, self.runs = Lookup(unsigned(back)), Lookup(run_of(unsigned(c for c, _ in after), unsigned(t for _, t in after)))
+        self.back, self.after = np.zeros(len(back)), np.zeros(len(after))
+        self.back[self.contexts(unsigned(back))[1]] = np.log10(list(back.values())) if back else 0
+        self.after[self.runs(run_of(unsigned(c for c, _ in after), unsigned(t for _, t in after)))[1]] = np.log10(list(after.values())) if after else 0
+
+    def log10(self, tokens: np.ndarray, place: np.ndarray, base: np.ndarray, depth: int) -> np.ndarray:
+        """The log10 probability of each token from that of the root; places 0 have no meaning."""
+        out = base.copy()
+        for _, at, context in contexts(tokens, place, depth):
+            hit, where = self.contexts(context)
+            at = at[hit]
+            out[at] += self.back[where]
+            of, which = self.runs(run_of(context[hit], tokens[at]))
+            out[at[of]] = self.after[which]
+        return out
+
+
+def _scorer(model, depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, heavy, counts, end, total = model.value
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                found, n_rows = words(part), len(part)
+                tokens, row, place = sequence(found, found.hashes())
+                c = np.zeros(len(tokens))
+                hit, where = heavy(tokens)
+                c[hit] = counts[where]
+                known = np.zeros(len(tokens), bool)
+                known[hit] = True
+                edge = tokens == EDGE
+                c[edge], known[edge] = end, True
+                base = np.where(known, np.log10((c + 1) / total), 0.0)  # of light words it is added later
+                score = tree.log10(tokens, place, base, depth)
+                real = place > 0
+                add = lambda x: np.bincount(row[real], x[real], n_rows)  # noqa: E731, B023
+                light = tokens[~known]
+                ends = np.cumsum(np.bincount(row[~known], minlength=n_rows))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(light.view(np.int64)))
                 cut = lambda name: batch.column(name).slice(part.first, n_rows)  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays(
-                    [cut("row"), cut("doc_id"), cut("held_out"), pa.array(np.diff(found.first_of) + 1), pa.array(n_known), pa.array(logs), pa.array(score), lists],
+                    [cut("row"), cut("doc_id"), cut("held_out"), pa.array(np.diff(found.first_of) + 1), pa.array(add(known & (c > 0)).astype(np.int64)), pa.array(add(base)), pa.array(add(score)), lists],
                     names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "light"],
                 )
 
     return run
 
 
-def scores(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, heavy: float = HEAVY) -> DataFrame:
+def _grown(spark, rows: DataFrame, survivors: DataFrame, root, tokens: int, depth: int, share: float, divergence: float) -> Tree:
+    """The tree from the surviving runs (key, note): counts them exactly, then tests their contexts."""
+    table = survivors.toArrow()
+    unsigned = lambda name: table[name].to_numpy().astype(np.int64).view(np.uint64)
+    wanted = spark.sparkContext.broadcast((Lookup(unsigned("key")), Lookup(unsigned("note"))))
+    exact = rows.where("not held_out").select("text").mapInArrow(_exact(wanted, depth), _EXACT)
+    exact = exact.groupBy("key", "context", "suffix", "token", "k").agg(F.sum("n").alias("n"))
+    exact = exact.where(F.col("token").isNull() | (F.col("n") >= max(2, share * tokens))).drop("key").toArrow()
+    rows_ = list(zip(*(exact[c].to_pylist() for c in ("context", "suffix", "token", "k", "n")), strict=True))
+    sizes = {r[0]: r[4] for r in rows_ if r[2] is None}
+    runs = [r for r in rows_ if r[2] is not None]
+    return Tree(runs, sizes, {t: root(t) for _, _, t, _, _ in runs}, tokens, divergence)
+
+
+def scores(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, heavy: float = HEAVY, divergence: float = DIVERGENCE) -> DataFrame:
     """Scores of each row of docs (doc_id, text), trained on the rows that are not held out.
 
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_contexts)
     """
     spark = docs.sparkSession
+    error = share / 4
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), held_out(docs["doc_id"]).alias("held_out"))
-    counted = rows.select("text", "held_out").mapInArrow(_counted, "kind tinyint, key bigint, train bigint, n bigint")
-    counted = stored(counted.groupBy("kind", "key").agg(F.sum("train").alias("train"), F.sum("n").alias("n")))
-    kinds = {r["kind"]: r for r in counted.groupBy("kind").agg(F.sum("train").alias("train"), F.sum("n").alias("n"), F.count_if("train > 0").alias("v")).collect()}
-    sums = lambda kind, what: int(kinds[kind][what]) if kind in kinds else 0
-    train, every = sums(0, "train") + sums(2, "train"), sums(0, "n") + sums(2, "n")
-    total = float(train + sums(0, "v") + sums(2, "v") + 1)
-    common = counted.where((F.col("kind") == 0) & (F.col("n") >= heavy * every)).select("key", "train").toPandas()
-    keys = common["key"].to_numpy(np.int64).view(np.uint64)
+    counted = rows.select("text", "held_out").mapInArrow(_counted(depth, error), _COUNTED)
+    counted = stored(counted.groupBy("kind", "key", "note").agg(F.sum("train").alias("train"), F.sum("n").alias("n")))
+    sums = counted.where("kind < 2").groupBy("kind").agg(F.sum("train").alias("train"), F.sum("n").alias("n"), F.count_if(F.col("train") > 0).alias("v"))
+    sums = {r["kind"]: r for r in sums.collect()}
+    of = lambda kind, what: int(sums[kind][what]) if kind in sums else 0
+    train, every, end = of(0, "train") + of(1, "train"), of(0, "n") + of(1, "n"), of(1, "train")
+    total = float(train + of(0, "v") + of(1, "v") + 1)
+    is_heavy = (F.col("n") >= heavy * every) | (F.col("train") >= share * train)
+    common = counted.where((F.col("kind") == 0) & is_heavy).select("key", "train").toArrow()
+    keys, n = common["key"].to_numpy().astype(np.int64).view(np.uint64), common["train"].to_numpy().astype(np.int64)
     order = np.argsort(keys)
-    tree = Tree(*contexts(counted.where("kind = 1"), depth, share))
-    model = spark.sparkContext.broadcast((tree, keys[order], common["train"].to_numpy(np.int64)[order], {"end": sums(2, "train"), "total": total}))
+    lookup, n = Lookup(keys), n[order]
+
+    def root(token: int) -> float:
+        token = np.array([token], np.int64).view(np.uint64)
+        if token[0] == EDGE:
+            return (end + 1) / total
+        _, where = lookup(token)
+        return (n[where[0]] + 1) / total
+
+    survivors = counted.where((F.col("kind") == 2) & (F.col("train") >= (share - error) * train)).select("key", "note")
+    tree = _grown(spark, rows, survivors, root, train, depth, share, divergence)
+    model = spark.sparkContext.broadcast((tree, lookup, n, end, total))
     spec = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, light array<bigint>"
-    scored = stored(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text").mapInArrow(_scorer(model), spec))
-    words_ = counted.where((F.col("kind") == 0) & (F.col("n") < heavy * every)).select("key", F.col("train").alias("c"))
-    light = scored.select("row", F.explode("light").alias("key")).join(words_, "key")
-    light = light.groupBy("row").agg(F.sum(F.log10((F.col("c") + 1) / F.lit(total))).alias("more"), F.count_if("c > 0").alias("more_known"))
-    out = scored.drop("light").join(light, "row", "left")
+    scored = stored(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text").mapInArrow(_scorer(model, depth), spec))
+    rare = counted.where((F.col("kind") == 0) & ~is_heavy).select("key", F.col("train").alias("c"))
+    light = scored.select("row", F.explode("light").alias("key")).join(rare, "key")
+    light = light.groupBy("row").agg(F.sum(F.log10((F.col("c") + 1) / F.lit(total))).alias("more"), F.count_if(F.col("c") > 0).alias("more_known"))
+    out, more = scored.drop("light").join(light, "row", "left"), F.coalesce("more", F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(train).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("base") + more).alias("base_score"),
+        (F.col("score") + more).alias("score"),
         F.lit(tree.retained).cast("bigint").alias("n_contexts"),
     )

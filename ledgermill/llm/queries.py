@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import lsa, minmax, mixture, rules, secrets, shards, simple8b, suffix_tree
+from ledgermill.llm import licenses, lsa, minmax, mixture, rules, secrets, shards, simple8b, suffix_tree, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,18 @@ WEIGHTS = {"src0": 0.20, "src1": 0.08, "src2": 0.08, "src3": 0.08, "src4": 0.06,
 REST = 0.44
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("matches")
+    best = F.array_max(F.transform(found, lambda m: m["dice"]))
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_segments",
+        F.size(found).cast("bigint").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda m: m["name"]))), ",").alias("licenses"),
+        best.alias("best_dice"),
+        F.array_join(F.transform(found, lambda m: F.concat_ws(":", m["first"], m["last"], m["name"])), ",").alias("spans"),
+    )
+
+
 def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.scores(table(spark, sf_dir, "documents"))
 
@@ -47,6 +59,14 @@ def op6_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsa.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = suffix_tree.held_out(F.col("doc_id"), 3, 1)
+    model = toxicity.fit(docs, labels.where(~held_out).select("doc_id", F.col("toxic").alias("label")))
+    score = F.col("score")
+    return model.score(docs).select("doc_id", held_out.alias("held_out"), score, F.when(score >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.col("secrets")
     base = F.filter(found, lambda s: s.kind.isin("assign", "access", "hex"))
@@ -73,6 +93,6 @@ def op10_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_suffix_tree, op3_simple8b_ids, op4_minmax_near_dedup, op5_poisson_mixture, op6_latent_leaks]
-    found += [op8_secret_scan, op9_quality_rules, op10_longest_first_shards]
+    found = [op1_license_scan, op2_suffix_tree, op3_simple8b_ids, op4_minmax_near_dedup, op5_poisson_mixture, op6_latent_leaks]
+    found += [op7_boosted_toxicity, op8_secret_scan, op9_quality_rules, op10_longest_first_shards]
     return {f.__name__: f for f in found}

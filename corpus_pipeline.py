@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgermill.llm import minmax, rules
+from ledgermill.llm import lsa, minmax, mixture, rules, simple8b
+from ledgermill.llm.queries import REST, WEIGHTS, table, tokenizer
 from ledgermill.llm.shared import stored
 
 
@@ -19,7 +19,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minmax.without_near_duplicates(docs)
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, nor a paraphrase of one."""
+    return lsa.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of documents by the target weights of their sources, in shuffled order."""
+    return mixture.mix(docs, WEIGHTS, REST).select("d.*")
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the token files hold of each document: doc_id, start, n_tokens, ids_crc32."""
+    return simple8b.read_digests(simple8b.write_ids(docs, tokenizer()))
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix), ("token_files", token_files)]
 
 #: Near duplicates, latent semantic retrieval and token files are not expressible in SQL.
 ORACLE_SQL = None

@@ -104,8 +104,8 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     found = F.flatten(F.array(*[_passages(F.col("likely"), name, bigrams, threshold) for name, bigrams in known]))
     kind = "array<struct<first: int, last: int, name: string, dice: double, n_bigrams: int>>"
-    # A segment with one pair cannot match anything: the smallest template has two.
-    some = F.exists("likely", lambda s: F.size(s.bigrams) > 1)
+    # One pair alone cannot match anything: the smallest template has two.
+    some = (F.size("likely") > 1) | F.exists("likely", lambda s: F.size(s.bigrams) > 1)
     rows = rows.select("doc_id", "n_segments", F.when(some, found).otherwise(F.array().cast(kind)).alias("found"))
     return rows.select("doc_id", "n_segments", F.array_sort(_best(F.col("found"))).alias("matches"))
 

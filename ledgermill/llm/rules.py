@@ -27,7 +27,7 @@ BLANK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOL = r"[#*$%&|<>]"
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
-CLOSED = r"[.!?…:;。！？\"'”’»)\]][\x20\x09-\x0D]*$"
+CLOSED = r"[.!?…:;。！？\"'”’»)\]][\x20\x09-\x0D]*\z"
 MENU = (
     "home|log ?in|sign ?in|sign ?up|menu|skip to content|next page|previous page|read more|back to top"
     "|click here|share this|subscribe|site map|contact us|about us|follow us"
@@ -36,7 +36,7 @@ BOILERPLATE = (
     "all rights reserved|terms of (use|service)|privacy policy|cookie policy|we use cookies|enable javascript"
     "|lorem ipsum|copyright ©|powered by|unsubscribe"
 )
-MENU_LINE = rf"(?i)\b({MENU})\b"
+MENU_LINE = rf"(?i)(^|[^a-z0-9])({MENU})([^a-z0-9]|\z)"
 BOILERPLATE_LINE = rf"(?i)({BOILERPLATE})"
 MENU_WORDS, OPEN_WORDS, BOILERPLATE_WORDS = 8, 15, 30
 MIN_WORDS, MAX_REPEATED, MAX_LOST = 50, 50, 50

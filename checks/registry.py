@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from ledgermill.functions import ids
 from ledgermill.plans import metrics, quality, tables
 from ledgermill.plans.filters import MetricFilter
 from ledgermill.schemas import BILLING, CHURN, CRM
@@ -63,6 +64,14 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.raw = harness.extracts(spark, sf_dir)
 
+    @cached_property
+    def text(self) -> dict[str, DataFrame]:
+        """The extracts as a CSV file gives them: every column is text."""
+        return {
+            name: self.raw[name].select(*(F.col(c).cast("string") for c in self.raw[name].columns))
+            for name in (CRM, BILLING, CHURN)
+        }
+
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
         return tables.bronze_tables(self.raw)
@@ -71,6 +80,14 @@ class Tables:
     def silver(self) -> dict[str, DataFrame]:
         return tables.silver_tables(self.bronze)
 
+    @cached_property
+    def accounts(self) -> DataFrame:
+        """CRM customers that billing has."""
+        billed = quality.billed_ids(self.bronze[BILLING])
+        known = billed.select(ids.to_crm_id(F.col("customer_id")).alias("customer_id"))
+        crm = self.bronze[CRM].select("customer_id", "industry")
+        return crm.join(known, "customer_id", "left_semi")
+
     def relations(self, name: str) -> metrics.Relations:
         if FILTERS[name].mode == "raw":
             return tables.raw_relations(self.raw)
@@ -87,7 +104,7 @@ class Tables:
         return metrics.stage_distribution(relations, f, metrics.activity(relations, f))
 
     def stored_stage_distribution(self, name: str) -> DataFrame:
-        """The same as someone with silver tables at hand gets it."""
+        """The same through the relations of silver tables; these are built here, not stored."""
         relations, f = tables.stored_relations(self.silver), FILTERS[name]
         return metrics.stage_distribution(relations, f, metrics.activity(relations, f))
 
@@ -114,10 +131,10 @@ _TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         t.raw[BILLING], t.raw[CRM]
     ),
     # Data quality
-    "dq_report": lambda t: quality.dq_report(t.raw[CRM], t.raw[BILLING], t.raw[CHURN]),
+    "dq_report": lambda t: quality.dq_report(t.text[CRM], t.text[BILLING], t.text[CHURN]),
     "table_shapes": lambda t: quality.table_shapes(t.raw[CRM], t.raw[BILLING], t.raw[CHURN]),
     "column_profile": lambda t: quality.column_profiles(
-        t.raw[CRM], t.raw[BILLING], t.raw[CHURN]
+        t.text[CRM], t.text[BILLING], t.text[CHURN]
     ),
     "crm_value_counts": lambda t: quality.crm_value_counts(t.raw[CRM]),
     "billing_value_counts": lambda t: quality.billing_value_counts(t.raw[BILLING]),
@@ -142,7 +159,7 @@ _TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "sample_refunds": lambda t: quality.refund_sample(t.raw[BILLING]),
     # Report
     "kpi_labels": lambda t: metrics.kpi_labels(metrics.kpis(t.cohorts("clean"))),
-    "filter_options": lambda t: metrics.filter_options(t.silver[BILLING], t.silver[CRM]),
+    "filter_options": lambda t: metrics.filter_options(t.silver[BILLING], t.accounts),
 }
 
 #: Filters each part of the report is registered with.

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,21 +27,25 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def column_profile(df: DataFrame, table: str) -> DataFrame:
-    """Type and number of non-null values of every column, in one pass over the table."""
-    counted = df.agg(*(F.count(F.col(name)).alias(name) for name in df.columns))
-    entries = F.array(
+def profile_entries(types: Sequence[tuple[str, str]], count: Callable[[str], Column]) -> Column:
+    """An array of (position, column_name, data_type, non_null), one entry for each column."""
+    return F.array(
         *(
             F.struct(
                 F.lit(position).alias("position"),
                 F.lit(name).alias("column_name"),
                 F.lit(dtype).alias("data_type"),
-                F.col(name).alias("non_null"),
+                count(name).alias("non_null"),
             )
-            for position, (name, dtype) in enumerate(df.dtypes, start=1)
+            for position, (name, dtype) in enumerate(types, start=1)
         )
     )
-    return counted.select(F.lit(table).alias("table_name"), F.inline(entries))
+
+
+def column_profile(df: DataFrame, table: str) -> DataFrame:
+    """Type and number of non-null values of every column, in one pass over the table."""
+    counted = df.agg(*(F.count(F.col(name)).alias(name) for name in df.columns))
+    return counted.select(F.lit(table).alias("table_name"), F.inline(profile_entries(df.dtypes, F.col)))
 
 
 def shape(df: DataFrame, table: str) -> DataFrame:

@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key is hot above this many rows. One slice then has about as many.
+#: A key is hot above this many rows, and above one in MAX_HOT_KEYS of all rows. One slice then has
+#: about as many. The second bound keeps the list of hot keys short whatever the size of the data.
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 
 _SLICE = "_slice"
 _SLICES = "_slices"
@@ -26,15 +28,20 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
-def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys above ``hot_rows`` with their number of slices: fewer than total rows / hot_rows."""
-    return counts.where(F.col("n") > hot_rows).select(
-        F.col(key).alias(_HOT_KEY), F.ceil(F.col("n") / hot_rows).cast("int").alias(_SLICES)
+def hot_keys(
+    counts: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """Hot keys with their number of slices: fewer than ``max_keys``, since each has more than one
+    in ``max_keys`` of the rows that ``counts`` counts."""
+    share = F.ceil(F.coalesce(F.sum("n"), F.lit(0)) / max_keys).cast("bigint")
+    limit = counts.agg(F.greatest(F.lit(hot_rows).cast("bigint"), share)).scalar()
+    return counts.where(F.col("n") > limit).select(
+        F.col(key).alias(_HOT_KEY), F.ceil(F.col("n") / limit).cast("int").alias(_SLICES)
     )
 
 
 def _with_slices(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    # Safe to broadcast: `hot` has less than (total rows / HOT_ROWS) rows, a million for 10^12.
+    # Safe to broadcast: `hot` has less than MAX_HOT_KEYS rows at any size.
     return df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col(_HOT_KEY)), "left")
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill import schemas
-from ledgermill.functions import dates
+from ledgermill.functions import dates, money
 
 
 def crm(extract: DataFrame) -> DataFrame:
@@ -15,10 +14,10 @@ def crm(extract: DataFrame) -> DataFrame:
 
 
 def billing(extract: DataFrame) -> DataFrame:
-    """A bad date or amount fails the job."""
+    """A bad date fails the job, and so does an amount that the money type cannot hold exactly."""
     return extract.withColumns(
         {
-            "amount": F.col("amount").cast(schemas.MONEY),
+            "amount": money.strict_money(extract, "amount"),
             "transaction_date": dates.strict_date(extract, "transaction_date"),
         }
     )
@@ -29,10 +28,10 @@ def churn(extract: DataFrame) -> DataFrame:
 
 
 def raw_billing(extract: DataFrame) -> DataFrame:
-    """Billing as the raw mode shows it: no cleaning, a bad date is NULL instead of an error."""
+    """Billing as the raw mode shows it: no cleaning, a bad date or amount is NULL, not an error."""
     return extract.withColumns(
         {
-            "amount": F.col("amount").cast(schemas.MONEY),
+            "amount": money.coerced_money(extract, "amount"),
             "transaction_date": dates.coerced_date(extract, "transaction_date"),
         }
     )

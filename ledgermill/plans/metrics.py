@@ -34,12 +34,14 @@ class Relations:
     accounts: (customer_id, industry) of customers the CRM knows; not read in raw mode
     stages: gives (customer_id, stage, n), the rows of the pipeline chart, to those parts that show
         it; in raw mode without customer_id. Rows with a stage have a customer: they are the CRM's.
+    plans: (plan) that count if the filter names none; None for every plan there is
     """
 
     transactions: DataFrame
     churn: DataFrame
     accounts: DataFrame | None
     stages: Callable[[], DataFrame]
+    plans: DataFrame | None = None
 
 
 def raw_stages(crm: DataFrame) -> DataFrame:
@@ -62,9 +64,11 @@ def activity(relations: Relations, f: MetricFilter, by: tuple[str, ...] = ()) ->
     grouping already partitions by customer, and the joins need no further shuffle of it.
     """
     breakdown = {"plan": F.col("plan"), "month": dates.month_start(F.col("transaction_date"))}
+    scope = filters.transactions_in_scope(relations.transactions, f)
+    if f.plans is None and relations.plans is not None:
+        scope = scope.join(relations.plans, "plan", "left_semi")
     summed = (
-        filters.transactions_in_scope(relations.transactions, f)
-        .groupBy(_key(), *(breakdown[name].alias(name) for name in by))
+        scope.groupBy(_key(), *(breakdown[name].alias(name) for name in by))
         .agg(
             F.sum("amount").alias("amount"),
             F.min("transaction_date").alias("first_date"),
@@ -185,31 +189,40 @@ def stage_distribution(
 ) -> DataFrame:
     """CRM rows per stage, with their share. Clean mode counts the silver rows of the given
     customers; raw mode counts the whole CRM whatever the filter says."""
-    # One row per stage by now. A scalar subquery for the total would compute them twice.
-    total = F.sum("customers").over(Window.partitionBy())
-    return (
-        _stage_counts(relations, f, customers)
-        .withColumn("share", F.col("customers") / total)
-        .orderBy(F.desc("customers"), "stage")
+    counts = _stage_counts(relations, f, customers)
+    # A scalar subquery over the same counts: Spark reuses their shuffle, and no task has to hold
+    # all stages, which in raw mode are as many as the CRM has spellings.
+    total = counts.agg(F.sum("customers")).scalar()
+    return counts.withColumn("share", F.col("customers") / total).orderBy(
+        F.desc("customers"), "stage"
     )
 
 
-def filter_options(transactions: DataFrame, silver_customers: DataFrame) -> DataFrame:
-    """The choices a report offers, as (field, value): plans, industries and the date range."""
+def filter_options(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The choices a report offers, as (field, value): plans, industries and the date range.
+
+    ``accounts`` are the customers (customer_id, industry) whose industries count: those the CRM
+    knows and billing has, once or more. Transactions are read once: each plan's row carries its
+    dates, and what is left to sort is one row per plan and industry.
+    """
+    entry = lambda field, value: F.struct(F.lit(field).alias("field"), value.alias("value"))
+    date = F.col("transaction_date")
     by_plan = transactions.groupBy("plan").agg(
-        F.min("transaction_date").alias("date_min"), F.max("transaction_date").alias("date_max")
+        F.min(date).cast("string").alias("date_min"), F.max(date).cast("string").alias("date_max")
     )
-    span = by_plan.agg(
-        F.min("date_min").cast("string").alias("date_min"),
-        F.max("date_max").cast("string").alias("date_max"),
+    rows = by_plan.select(
+        F.inline(F.array(*(entry(c, F.col(c)) for c in ("plan", "date_min", "date_max"))))
     )
-    industries = silver_customers.where(F.col("industry").isNotNull()).select(
+    industries = accounts.where(F.col("industry").isNotNull()).select(
         F.lit("industry").alias("field"), F.col("industry").alias("value")
     )
+    # All plans and industries stay; of the dates the first and the last.
+    is_date, last = F.col("field").isin("date_min", "date_max"), F.col("field") == "date_max"
     return (
-        by_plan.select(F.lit("plan").alias("field"), F.col("plan").alias("value"))
-        .unionByName(industries.distinct())
-        .unionByName(span.unpivot([], ["date_min", "date_max"], "field", "value"))
+        rows.unionByName(industries)
+        .groupBy("field", F.when(~is_date, F.col("value")).alias("own"))
+        .agg(F.min("value").alias("least"), F.max("value").alias("most"))
+        .select("field", F.when(last, F.col("most")).otherwise(F.col("least")).alias("value"))
         .orderBy("field", "value")
     )
 
@@ -224,6 +237,28 @@ NEW_CUSTOMERS = "new_customers"
 _VALUE = "decimal(32,2)"
 
 
+def shares_of(report_: DataFrame) -> DataFrame:
+    """Stages of a written report with their share of all: (stage, customers, share)."""
+    rows = report_.where(F.col("part") == STAGE_DISTRIBUTION)
+    total = rows.agg(F.sum("value")).scalar()
+    return rows.select(
+        F.col("label").alias("stage"),
+        F.col("value").cast("bigint").alias("customers"),
+        (F.col("value") / total).alias("share"),
+    )
+
+
+def texts_of(report_: DataFrame) -> DataFrame:
+    """Key figures of a written report as the cards show them: (figure, text)."""
+    value, figure = F.col("value"), F.col("label")
+    text = F.when(figure == "total_revenue", labels.money(value)).when(
+        figure == "churn_rate", labels.percent(value)
+    )
+    return report_.where(F.col("part") == KPI).select(
+        figure.alias("figure"), text.otherwise(labels.count(value)).alias("text")
+    )
+
+
 def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
     """Revenue and customers by everything the report is broken down by: a small table.
 

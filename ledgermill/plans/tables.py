@@ -32,10 +32,14 @@ def silver_tables(bronze_: Mapping[str, DataFrame]) -> LazyTables:
     )
 
 
-def raw_relations(extracts: Mapping[str, DataFrame]) -> Relations:
-    """Raw-mode relations: extracts as they came."""
+def raw_relations(extracts: Mapping[str, DataFrame], every_plan: bool = False) -> Relations:
+    """Raw-mode relations: extracts as they came. A filter without plans then takes those that
+    cleaned transactions have, as it does in clean mode, or with ``every_plan`` any."""
+    billing = bronze.raw_billing(extracts[BILLING])
+    plans = None if every_plan else silver.transactions(billing).select("plan").distinct()
     return Relations(
-        transactions=bronze.raw_billing(extracts[BILLING]),
+        transactions=billing,
+        plans=plans,
         churn=extracts[CHURN],
         accounts=None,
         stages=lambda: metrics.raw_stages(extracts[CRM]),

@@ -43,7 +43,8 @@ def _struct(columns: tuple[str, ...], **typed) -> StructType:
     return StructType([StructField(name, typed.get(name, StringType())) for name in columns])
 
 
-#: Extracts arrive as text; the bronze plans type them, so a bad value is never lost silently.
+#: Extracts arrive as text; the bronze plans type them and fail on what they cannot hold, the quality
+#: checks count it, so a bad value is never lost silently.
 EXTRACTS = {
     CRM: _struct(_CRM_COLUMNS),
     BILLING: _struct(_BILLING_COLUMNS),

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Size of the files that a table partitioned by month is written in.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Call sites of expressions only serve debugging; noting them takes longer than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # The dedup prunes each map task to one row per id through this rule.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }

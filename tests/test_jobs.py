@@ -113,7 +113,7 @@ def test_report_jobs(spark, folders, written):
 
 def test_quality_job(spark, folders):
     found = quality.run(spark, folders["extracts"], folders["quality"])
-    assert found["dq_report"] == {"n_rows": 13}
+    assert found["dq_report"] == {"n_rows": 20}
     assert found["duplicate_transactions"] == {"n_rows": 8}
     stored = spark.read.parquet(os.path.join(folders["quality"], "billing_only_customers"))
     assert rows(stored) == [("CUST-009",), ("CUST-UST-001",)]

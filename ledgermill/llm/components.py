@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from ledgermill.llm.shared import stored
 
 
+def extended(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels of `connected` after more edges: only the components that these meet are joined anew."""
+    ends = labels.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")))
+    ends = stored(ends.groupBy("node").agg(F.min("label").alias("label")))
+    met = edges.join(ends.select(F.col("node").alias("a"), F.col("label").alias("label_a")), "a")
+    met = met.join(ends.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b")
+    up = connected(met.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    up = up.select(F.col("node").alias("label"), F.col("label").alias("least"))
+    return stored(ends.join(up, "label", "left").select("node", F.coalesce("least", "label").alias("label")))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of `edges` (a, b): the smallest node that it reaches.
 

@@ -5,11 +5,15 @@ signature values: half the hash evaluations of plain MinHash. Both ends estimate
 without bias, and being nearly independent they have the lower variance of 200 samples. Forty bands of
 five values make candidates: a pair at similarity 0.8 shares no band with probability 1.2e-7.
 
-Documents with the same sequence of words form one class; only classes are compared. In a bucket of a
+Documents with the same sequence of words form one class, named by its smallest doc_id; only classes are
+compared. In a bucket of a
 band, classes are first compared with one of them, the pivot. Where that does not join the whole
 bucket, further pivots are taken, in growing numbers, each compared with the members that are still in
 another component, until nothing is left that could join. So a bucket of near copies costs its size,
-not its square, and no link between components is missed. Every candidate is confirmed on the full sets.
+not its square, and no link between components is missed. Pairs whose set sizes rule a link out are no
+candidates, nor are those whose signatures differ in more of their lowest bits than any link does: the signature
+itself, and in later rounds one of 1,024 permutations, made for the texts of open buckets alone. Every candidate is confirmed on the
+full sets.
 
 Defined results: a null or wordless text has no shingles and is linked with nothing; a row with a null
 doc_id is linked with nothing, its component_id is null and it is kept; rows that share a doc_id are one
@@ -23,14 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.components import connected
-from ledgermill.llm.shared import stored
+from ledgermill.llm.components import connected, extended
+from ledgermill.llm.shared import small_batches, stored
 from ledgermill.llm.words import LOWER, mix, shingles, slices, words
 
 PERMUTATIONS, BANDS, ROWS = 100, 40, 5
+#: Bits of the sketch that all documents have, and of the finer one of those in buckets that stay open; how many
+#: bits may differ: 5.5 standard deviations more than are expected at similarity 0.8, exceeded by one link in 5e7.
+SKETCH_BITS, SKETCH_DIFFERENT = 2 * PERMUTATIONS, 43
+FINE_BITS, FINE_DIFFERENT = 2048, 280
 _STEP = 4096  # set members that are hashed at a time
 
 
@@ -59,26 +67,33 @@ def band_keys(values: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nd
     return key
 
 
+def sketch(values: np.ndarray) -> np.ndarray:
+    """The lowest bits of a signature, packed into 64-bit words."""
+    bits = np.packbits((values & np.uint64(1)).astype(np.uint8))
+    return np.frombuffer(bits.tobytes() + bytes(-len(bits) % 8), np.uint64)
+
+
 def _class_of(data: np.ndarray) -> bytes:
     """128 bits of a text's sequence of words."""
     return hashlib.blake2b(b" ".join(data.tobytes().split()), digest_size=16).digest()
 
 
-def _profile(shingle: int, permutations: int, bands: int, rows: int):
+def _profile(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column("text")):
                 found = words(part)
                 sets = shingles(found, shingle)
                 keys, bounds = [], part.offsets
-                for i, members in enumerate(sets):
-                    keys.append(band_keys(signature(members, permutations), bands, rows).view(np.int64) if len(members) else None)
+                for members in sets:
+                    values = signature(members) if len(members) else None
+                    keys.append(np.r_[band_keys(values), sketch(values)].view(np.int64) if len(members) else None)
                 ids = batch.column("doc_id").slice(part.first, len(part))
                 data = found.data
                 classes = [_class_of(data[a:b]) if len(s) else None for a, b, s in zip(bounds[:-1], bounds[1:], sets, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(classes, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "node", "n_shingles", "bands"],
+                    names=["doc_id", "class", "n_shingles", "signature"],
                 )
 
     return run
@@ -102,28 +117,27 @@ def _confirm(shingle: int, percent: int):
     return run
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = 5, percent: int = 80, permutations: int = PERMUTATIONS, bands: int = BANDS, rows: int = ROWS
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of `docs` (doc_id, text)."""
-    if bands * rows > 2 * permutations or any(i * bands % permutations == 0 for i in range(1, rows)):
-        raise ValueError("bands need values of different permutations")
-    docs = docs.select("doc_id", "text")
-    spec = "doc_id bigint, node binary, n_shingles bigint, bands array<bigint>"
-    profile = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_profile(shingle, permutations, bands, rows), spec))
-    known = profile.where("doc_id is not null and node is not null")
-    classes = stored(known.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n")))
-    edges = _links(docs, profile, classes, shingle, percent)
-    # Documents meet through their classes and linked classes; an id with several texts joins their classes.
-    several = known.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of `docs` (doc_id, text).
+
+    `percent` may be 80 or more: bands and sketches are laid out for that.
+    """
+    if percent < 80:
+        raise ValueError("the bands are laid out for a similarity of 80 percent or more")
+    small_batches(docs.sparkSession)
+    docs = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"))
+    spec = "doc_id bigint, class binary, n_shingles bigint, signature array<bigint>"
+    profile = stored(docs.mapInArrow(_profile(shingle), spec))
+    known = profile.where("doc_id is not null and class is not null")
+    classes = stored(known.groupBy("class").agg(F.min("doc_id").alias("node")))
+    labels = _linked(docs, profile, classes, shingle, percent)
+    # An id with several texts joins their classes.
+    several = known.groupBy("doc_id").agg(F.countDistinct("class").alias("n")).where("n > 1")
     if several.limit(1).count():
-        mixed = known.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
-        edges = edges.unionByName(mixed.where("a <> b"))
-    labels = connected(edges)
-    placed = classes.join(labels, "node", "left").select("node", "first_id", F.coalesce("label", "node").alias("label"))
-    least = placed.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    component = stored(placed.join(least, "label").select("node", "component_id"))
-    out = profile.select("doc_id", "node", "n_shingles").join(component, "node", "left")
+        mixed = known.join(several, "doc_id").join(classes, "class").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+        labels = extended(labels, mixed.where("a <> b"))
+    component = classes.join(labels, "node", "left").select("class", F.coalesce("label", "node").alias("component_id"))
+    out = profile.select("doc_id", "class", "n_shingles").join(stored(component), "class", "left")
     component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     return out.select("doc_id", "n_shingles", component_id).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -146,53 +160,72 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     return rows.select("d.*")
 
 
-def _links(docs: DataFrame, profile: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between classes that together join whatever is similar.
+def _linked(docs: DataFrame, profile: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, label) of the classes with links: the smallest class that they reach by confirmed links.
 
     `members` are the classes of each bucket that have not been a pivot. Once a pivot has been compared
     with every member of another component it can be left out, so a bucket is through when its members
     are all in one component. Pivots come from outside the largest component of their bucket; each round
-    takes four times as many.
+    takes sixteen times as many.
     """
-    first = classes.select("node", F.col("first_id").alias("doc_id"), "n")
-    banded = profile.select("node", "doc_id", "bands").join(first, ["node", "doc_id"]).select("node", "n", F.explode("bands").alias("bucket"))
+    first = classes.select("class", F.col("node").alias("doc_id"))
+    of_first = profile.join(first, ["class", "doc_id"]).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "signature")
+    banded = of_first.select("node", "n", F.slice("signature", BANDS + 1, 64).alias("sketch"), F.explode(F.slice("signature", 1, BANDS)).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("p"), F.max("node").alias("last")).where("p <> last").drop("last")
     members = stored(banded.join(shared, "bucket").distinct())
-    involved = members.select("node").distinct().join(classes, "node").select("node", F.col("first_id").alias("doc_id"))
-    owned = docs.join(involved, "doc_id").select("node", "text")
-    texts = stored(owned.mapInArrow(_own_text, "node binary, text string").dropDuplicates(["node"]))
-    heads = members.where("node = p").select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"))
-    pairs = members.where("node <> p").join(heads, "bucket")
+    texts = docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id").distinct()
+    texts = stored(texts.select(F.col("doc_id").alias("node"), "text"))
+    heads = members.where("node = p").select(F.col("bucket").alias("p_bucket"), "p", F.col("n").alias("p_n"), F.col("sketch").alias("p_sketch"))
     members = members.where("node <> p").drop("p")
-    links, tested, take = None, None, 4
+    pairs = members.join(heads, (members["bucket"] == heads["p_bucket"]) & _likely(percent, SKETCH_BITS, SKETCH_DIFFERENT))
+    members = members.drop("sketch")
+    fine, labels, tested, take = None, None, None, 4
     while True:
-        pairs = pairs.where(100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a"))
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        pairs = pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if tested else pairs)
         both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         both = both.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        found = stored(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(shingle, percent), "a binary, b binary"))
-        links = links.unionByName(found) if links else found
+        found = stored(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(shingle, percent), "a bigint, b bigint"))
+        labels = extended(labels, found) if labels else connected(found)
         tested = tested.unionByName(pairs) if tested else pairs
-        placed = members.join(connected(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        placed = stored(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
         sizes = placed.groupBy("bucket", "label").count().groupBy("bucket")
         sizes = sizes.agg(F.max(F.struct("count", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
         open_ = stored(placed.join(sizes.select("bucket", F.col("top.label").alias("top")), "bucket"))
         by_bucket = Window.partitionBy("bucket").orderBy("node")
         pivots = open_.where("label <> top").withColumn("rank", F.row_number().over(by_bucket)).where(F.col("rank") <= take)
-        pivots = stored(pivots.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a")))
+        pivots = stored(pivots.select("bucket", "node", "n", "label"))
         if not pivots.limit(1).count():
-            return links
-        pairs = open_.join(pivots, "bucket").where("label <> label_a")
-        members = open_.join(pivots.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node", "n")
-        take *= 4
-
-
-def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps the rows whose text is of the class `node`; others only share a doc_id with it."""
-    for batch in batches:
-        nodes, keep = batch.column("node").to_pylist(), []
-        for part in slices(batch.column("text")):
-            data = LOWER[part.data]
-            keep += [_class_of(data[a:b]) for a, b in zip(part.offsets[:-1], part.offsets[1:], strict=True)]
-        yield batch.filter(pa.array([x == y for x, y in zip(nodes, keep, strict=True)], pa.bool_()))
+            return labels
+        if fine is None:
+            fine = texts.join(open_.select("node").distinct(), "node")
+            fine = stored(fine.mapInArrow(_fine(shingle), "node bigint, bands array<bigint>, sketch array<bigint>"))
+        first = pivots.join(fine, "node").select(*[F.col(c).alias(f"p_{c}") for c in ("bucket", "n", "label", "bands", "sketch")], F.col("node").alias("p"))
+        wide = open_.join(fine, "node")
+        likely = (F.col("label") != F.col("p_label")) & _likely(percent, FINE_BITS, FINE_DIFFERENT)
+        # A pair that shares several bands is taken in the first of them.
+        shared = F.array_position(F.zip_with("bands", "p_bands", lambda x, y: x == y), F.lit(True))
+        pairs = wide.join(first, (wide["bucket"] == first["p_bucket"]) & likely & (shared == F.array_position("bands", wide["bucket"])))
+        members = open_.join(pivots.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node", "n")
+        take *= 16
+
+
+def _fine(shingle: int):
+    """(node, bands, sketch) of texts, the sketch of FINE_BITS bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                sets = shingles(words(part), shingle)
+                bands = [band_keys(signature(s)).view(np.int64) for s in sets]
+                bits = [sketch(signature(s, FINE_BITS // 2)).view(np.int64) for s in sets]
+                kind = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(part.first, len(part)), pa.array(bands, kind), pa.array(bits, kind)], names=["node", "bands", "sketch"])
+
+    return run
+
+
+def _likely(percent: int, bits: int, different: int) -> Column:
+    """Whether the sizes and the sketches of a member and a pivot allow the similarity."""
+    apart = [F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("p_sketch", F.lit(i)))) for i in range((bits + 63) // 64)]
+    return (100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n")) & (sum(apart[1:], apart[0]) <= different)

@@ -25,6 +25,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ledgermill.llm.shared import small_batches
+
 #: Patterns and keywords by kind, in the order in which spans at one place are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -147,5 +149,6 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def secrets(docs: DataFrame) -> DataFrame:
     """(doc_id, secrets) for each row of docs (doc_id, text): an array of (start, end, kind)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return rows.mapInArrow(_scanned, "doc_id bigint, secrets array<struct<start: bigint, end: bigint, kind: string>>")

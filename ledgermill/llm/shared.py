@@ -25,6 +25,18 @@ def folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+#: Rows that go to a Python worker at once. Texts can be long, and both sides hold a whole batch.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the rows of an Arrow batch in this session to BATCH_ROWS; the results do not depend on it."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(setting))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
+
+
 def stored(frame: DataFrame, compression: str = "zstd") -> DataFrame:
     """The rows of a frame, written once to the shared folder and read from there."""
     spark = frame.sparkSession

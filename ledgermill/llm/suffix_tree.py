@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.shared import stored
+from ledgermill.llm.shared import small_batches, stored
 from ledgermill.llm.words import Words, mix, one_hash, slices, words
 
 DEPTH, SHARE, DIVERGENCE, HEAVY = 3, 4e-6, 0.02, 1e-6
@@ -330,6 +330,7 @@ def scores(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, heavy: flo
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_contexts)
     """
     spark = docs.sparkSession
+    small_batches(spark)
     error = share / 4
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), held_out(docs["doc_id"]).alias("held_out"))
     counted = rows.select("text", "held_out").mapInArrow(_counted(depth, error), _COUNTED)

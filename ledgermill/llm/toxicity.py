@@ -26,7 +26,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.shared import stored
+from ledgermill.llm.shared import small_batches, stored
 from ledgermill.llm.words import one_hash, slices, words
 
 LABELLED, TREES, TREE_DEPTH, STEP, SEED = 20_000, 20, 3, 0.3, 7
@@ -190,6 +190,7 @@ def _margin(trees, rows: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
     """Learn from labels (doc_id, label) and the texts of their documents."""
     spark = docs.sparkSession
+    small_batches(spark)
     labels = labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").cast("bigint").alias("label_id")).agg(F.max(F.col("label").cast("int")).alias("label"))
     chosen = labels.orderBy(F.xxhash64("label_id"), "label_id").limit(labelled)
     rows = docs.select(docs["doc_id"].cast("bigint").alias("label_id"), docs["text"].alias("text"))

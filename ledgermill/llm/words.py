@@ -21,7 +21,7 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes that one slice holds, if it holds more than one text; bounds a task's memory.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _powers: dict[int, np.ndarray] = {}
 

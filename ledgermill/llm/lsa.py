@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval, confirmed on common subsequences and answers.
 
-1. Benchmark items are cut into passages of at most 32 words, 16 apart, and dealt by hash into blocks of
-   about 256 passages. How many documents hold each benchmark word is counted over all documents.
+1. Benchmark items (longer ones in pieces of 256 words, each an item for what follows) are cut into passages
+   of at most 32 words, 16 apart, and dealt by hash into blocks of about 256 passages. How many documents hold each benchmark word is counted over all documents.
 2. Each block's TF-IDF matrix gets a randomised singular value decomposition; blocks are factored by
    Spark tasks side by side. A block keeps `RANK` directions.
 3. Every document is read in windows of 32 words, 16 apart. A window's TF-IDF vector is projected on the
@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.shared import stored
+from ledgermill.llm.shared import small_batches, stored
 from ledgermill.llm.words import one_hash, slices, words
 
-WINDOW, STRIDE = 32, 16
+WINDOW, STRIDE, PIECE = 32, 16, 256
 RANK, OVERSAMPLE, POWER = 192, 32, 2
 BLOCK, GROUP = 256, 16
 COSINE, SURE, LIKELY, LEAST = 0.3, 0.8, 0.6, 8
@@ -143,7 +143,6 @@ def _factored(vocabulary: np.ndarray, weights: np.ndarray, rank: int):
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([("item_id", "ascending"), ("low", "ascending"), ("text", "ascending")])
-        vectors = np.zeros((len(table), len(vocabulary)), np.float64) if len(vocabulary) <= 4 * BLOCK * WINDOW else None
         rows = []
         for text, low, high in zip(*(table[c].to_pylist() for c in ("text", "low", "high")), strict=True):
             ws = text.encode().lower().split()[low:high]
@@ -254,12 +253,21 @@ def _search(model, cosine: float):
     return run
 
 
+def _pieces(text: str) -> list[str]:
+    """The text in pieces of PIECE words, so that no passage carries more than one; a last short piece
+    stays with the one before."""
+    ws = text.encode().split()
+    ends = [*range(PIECE, len(ws) - WINDOW, PIECE), len(ws)]
+    return [b" ".join(ws[a:b]).decode() for a, b in zip([0, *ends], ends, strict=False) if b > a]
+
+
 def passages(benchmark: DataFrame) -> DataFrame:
-    """(block, item_id, text, low, high): passages of the items that have words."""
+    """(block, item_id, text, low, high): passages of the items that have words, with their piece."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, t, a, b) for i, t in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for a, b in _cut(len((t or "").encode().split()))]
+            items = zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
+            rows = [(i, t, a, b) for i, whole in items for t in _pieces(whole or "") for a, b in _cut(len(t.split(" ")))]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.int32(), pa.int32()))], names=["item_id", "text", "low", "high"])
 
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
@@ -271,6 +279,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, rank: int = RANK) -> DataFrame:
     """(doc_id, item_id, lcs_share, cosine, first_word): which documents hold which items."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     cut = stored(passages(benchmark))
     n_blocks = (cut.agg(F.max("block")).first()[0] or 0) + 1

@@ -1,4 +1,4 @@
-"""Every registered query against the same question in SQL on another engine."""
+"""Every query of the library against the same question in SQL on another engine."""
 
 import glob
 import math
@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle, registry
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,7 @@ def _normal(rows, columns):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from checks.registry import queries
 from ledgermill.session import MB, fit_partitions, partition_settings, stored_bytes
 
-QUERIES = entry.queries()
+QUERIES = queries()
 
 
 def plan_of(df):
@@ -22,7 +22,7 @@ def test_no_bad_operators(spark, sf_dir, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["kpi_clean", "monthly_revenue_clean", "revenue_ladder", "duplicate_summary", "kpi_raw"]
+    "name", ["kpi_clean", "monthly_revenue_clean", "revenue_ladder", "duplicate_summary", "kpi_raw_plan"]
 )
 def test_billing_is_read_once(spark, sf_dir, name):
     assert plan_of(QUERIES[name](spark, sf_dir)).count("l_orderkey#") > 0
@@ -31,6 +31,14 @@ def test_billing_is_read_once(spark, sf_dir, name):
     assert len(scans) == 1
 
 
+def test_filter_choices_take_one_pass_and_one_narrow_one(spark, sf_dir):
+    plan = plan_of(QUERIES["filter_options"](spark, sf_dir))
+    scans = [x for x in plan.splitlines() if "FileScan" in x and "lineitem" in x]
+    assert len(scans) == 2 and plan.count("row_number(), 1, Final") == 1
+    assert sum("l_shipdate" in x.split("ReadSchema")[1] for x in scans) == 1
+    assert sum("FileScan" in x and "customer.parquet" in x for x in plan.splitlines()) == 1
+
+
 def test_scans_are_pruned(spark, sf_dir):
     plan = plan_of(QUERIES["duplicate_summary"](spark, sf_dir))
     scan = next(x for x in plan.splitlines() if "FileScan" in x and "lineitem" in x)

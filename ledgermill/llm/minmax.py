@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.components import connected, extended
 from ledgermill.llm.shared import small_batches, stored
-from ledgermill.llm.words import LOWER, mix, shingles, slices, words
+from ledgermill.llm.words import mix, shingles, slices, words
 
 PERMUTATIONS, BANDS, ROWS = 100, 40, 5
 #: Bits of the sketch that all documents have, and of the finer one of those in buckets that stay open; how many

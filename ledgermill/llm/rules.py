@@ -156,7 +156,9 @@ def clean(docs: DataFrame, max_lost: int = MAX_LOST) -> DataFrame:
 
     The columns are those of `docs`, in their order.
     """
-    rows = judged(docs, max_lost).where("kept")
+    rows = judged(docs, max_lost)
     new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("bigint")}
     kinds = dict(docs.dtypes)
-    return rows.select(*[(new[c].cast(kinds[c]) if c in new else F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
+    kept = F.struct(*[(new[c].cast(kinds[c]) if c in new else F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
+    # A filter would be pushed below the projections, and every rule written out in it again and again.
+    return rows.select(F.inline(F.when(F.col("kept"), F.array(kept))))

@@ -34,8 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.shared import stored
-from ledgermill.llm.words import slices
+from ledgermill.llm.shared import small_batches, stored
+from ledgermill.llm.words import SLICE_BYTES, Texts, Words, slices, words
 
 #: How many ids a word holds and their width, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -72,7 +72,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     flat[: len(ids)] = ids
     flat[places] = 0
     lanes[:, :BLOCK] = flat.reshape(blocks, BLOCK)
-    widths = np.searchsorted(np.uint64(1) << np.arange(60, dtype=np.uint64), lanes, side="right").astype(np.uint8)
+    widths = np.frexp(lanes.astype(np.float64))[1].astype(np.uint8)  # bits of each id; exact below 2^53
     best = _choices(widths)
     sizes = np.minimum(BLOCK, len(ids) - BLOCK * np.arange(blocks))
     at, live = np.zeros(blocks, np.int64), np.arange(blocks)
@@ -148,37 +148,122 @@ def unpack(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [x if k else None for x, k in zip(doc_ids.tolist(), known, strict=True)], lengths, ids
 
 
-_tokenizers: dict[str, tuple] = {}
-#: Words whose ids a worker keeps; when there are more it begins anew. Changes only the speed.
-CACHED_WORDS = 400_000
+#: Distinct words whose ids a worker keeps, about 40 bytes each, before it begins anew; changes only the speed.
+CACHED_WORDS = 2_000_000
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[ord(c) for c in ".,;:!?"]] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[*range(48, 58), *range(97, 123)]] = True
 
 
-def token_ids(path: str, texts: list[bytes]) -> list[np.ndarray]:
-    """The ids of each text by the tokenizer at `path`, without special tokens.
+#: Words that are encoded as one text.
+_LINE = 100
 
-    The tokenizer drops white space before it splits, so no token spans words: each distinct word is
-    encoded once and then looked up.
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is a lower-case ASCII letter or half of a Latin-1 letter."""
+    first, second = data == 0xC3, (data >= 0x80) & (data < 0xC0) & (data != 0x97) & (data != 0xB7)
+    pair = np.flatnonzero(first[:-1] & second[1:])
+    letter = (data >= 97) & (data <= 122)
+    letter[pair] = letter[pair + 1] = True
+    return letter
+
+
+class WordTokenizer:
+    """The ids of texts, by encoding each distinct word once.
+
+    The tokenizer drops white space, lower-cases, and splits letters and digits from other signs before it
+    looks at pieces. So a text's ids are those of its words, and a word that ends in an ASCII letter or digit
+    and then punctuation has the ids of both parts. `ids_of[begin[i]:begin[i + 1]]` are the ids of word i.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _tokenizers:
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path), {}
-    tokenizer, known = _tokenizers[path]
-    split = [t.split() for t in texts]
-    new = list(set(chain.from_iterable(split)).difference(known))
-    if len(known) + len(new) > CACHED_WORDS:
-        known.clear()
-        new = list(set(chain.from_iterable(split)))
-    for word, found in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-        known[word] = tuple(found.ids)
-    return [np.fromiter(chain.from_iterable(map(known.__getitem__, ws)), np.uint64) for ws in split]
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.begin, self.ids_of = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def look_up(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of sorted fingerprints, -1 for words that are not known."""
+        if not len(self.known):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, self.place[at], -1)
+
+    def learn(self, hashes: np.ndarray, texts: list[bytes], letters: np.ndarray) -> None:
+        """Encode words and keep their ids.
+
+        A word of letters is one piece, and the last token of a piece says so. Such words are encoded many
+        at a time, which costs half, and the ids are cut behind these tokens.
+        """
+        encode = lambda some: [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        alone, others = np.flatnonzero(letters), np.flatnonzero(~letters)
+        lines = [b" ".join([texts[i] for i in alone[k : k + _LINE]]).decode() for k in range(0, len(alone), _LINE)]
+        ids = np.fromiter(chain.from_iterable(encode(lines)), np.uint32)
+        ends = np.flatnonzero(self.is_last[ids]) + 1
+        if len(ends) != len(alone):  # not this kind of tokenizer
+            ids, ends, alone, others = ids[:0], ends[:0], alone[:0], np.arange(len(texts))
+        found = encode([texts[i].decode() for i in others])
+        sizes = np.concatenate([np.diff(ends, prepend=0), np.array([len(x) for x in found], np.int64)])
+        hashes = np.concatenate([self.known, hashes[alone], hashes[others]])
+        place = np.concatenate([self.place, np.arange(len(sizes), dtype=np.int32) + np.int32(len(self.begin) - 1)])
+        order = np.argsort(hashes)
+        self.known, self.place = hashes[order], place[order]
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+        self.ids_of = np.concatenate([self.ids_of, ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+
+    def encode(self, part: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a slice, how many each has)."""
+        found = words(part)
+        middle = found.end.copy()
+        for _ in range(3):
+            middle -= (middle > found.start + 1) & _PUNCTUATION[found.data[middle - 1]]
+        middle = np.where(_PLAIN[found.data[middle - 1]], middle, found.end)
+        tail = np.flatnonzero(middle < found.end)
+        # Words and their tails in order: the tail of word i comes right behind it.
+        start, end = np.insert(found.start, tail + 1, middle[tail]), np.insert(middle, tail + 1, found.end[tail])
+        row = np.insert(found.row, tail + 1, found.row[tail])
+        hashes = Words(found.data, start, end, row, found.first_of, found.prefix).hashes()
+        order = np.argsort(hashes)
+        starts = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0]) if len(order) else order
+        distinct, first = hashes[order[starts]], order[starts]
+        index = np.empty(len(order), np.int64)
+        index[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(order)]))
+        known = self.look_up(distinct)
+        new = np.flatnonzero(known < 0)
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self.forget()
+            new = np.arange(len(distinct))
+        if len(new):
+            data = found.data.tobytes()
+            low, high = start[first[new]], end[first[new]]
+            strange = np.r_[0, np.cumsum(~_letters(found.data))]
+            self.learn(distinct[new], [data[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)], strange[high] == strange[low])
+            known = self.look_up(distinct)
+        place = known[index]
+        sizes = self.begin[place + 1] - self.begin[place]
+        ends = np.cumsum(sizes)
+        ids = self.ids_of[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[place] - (ends - sizes), sizes)]
+        return ids, np.bincount(row, sizes, len(part)).astype(np.int64)
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
 
 
 def _writer(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first, record = TaskContext.get().partitionId(), 0, 0
         docs, runs, held = [], [], 0
+        tokenizer = _tokenizers.setdefault(path, None) or WordTokenizer(path)
+        _tokenizers[path] = tokenizer
 
         def flush() -> pa.RecordBatch:
             nonlocal docs, runs, held, first, record
@@ -190,13 +275,12 @@ def _writer(path: str, end_id: int):
 
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for some in slices(batch.column("text")):
-                data = some.data.tobytes()
-                texts = [data[a:b] for a, b in zip(some.offsets[:-1].tolist(), some.offsets[1:].tolist(), strict=True)]
-                for i, ids in enumerate(token_ids(path, texts)):
+            for some in slices(batch.column("text"), 2 * SLICE_BYTES):
+                ids, sizes = tokenizer.encode(some)
+                for i, (end, size) in enumerate(zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)):
                     docs.append(doc_ids[some.first + i])
-                    runs.append(np.append(ids, np.uint64(end_id)))
-                    held += len(ids) + 1
+                    runs.append(np.append(ids[end - size : end], np.uint64(end_id)))
+                    held += size + 1
                     if held >= RECORD_IDS:
                         yield flush()
         if docs:
@@ -215,6 +299,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     of doc_id, so a task writes one stretch of the order.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -247,5 +332,6 @@ def read_digests(records: DataFrame) -> DataFrame:
     for row in sums:
         before[row["part"]] = total
         total += row["n"]
+    small_batches(records.sparkSession)
     rows = records.select("part", "first", "payload")
     return rows.mapInArrow(_reader(before), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -49,17 +49,32 @@ def _cut(n: int) -> list[tuple[int, int]]:
     return [(s, s + WINDOW) for s in starts]
 
 
-def common(a: list, b: list) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows."""
-    where: dict = {}
-    for i, x in enumerate(a):
-        where[x] = where.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for y in b:
-        hit = row & where.get(y, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+class Pattern:
+    """Words whose longest common subsequence with other words is asked for again and again."""
+
+    def __init__(self, own: list) -> None:
+        self.own = own
+        self.where: dict = {}
+        for i, x in enumerate(own):
+            self.where[x] = self.where.get(x, 0) | 1 << i
+
+    def reaches(self, others: list, among: set, share: float) -> float:
+        """The length of the subsequence over that of the pattern, 0 if it is below `share`.
+
+        `among` are the other words as a set: words that are not there cannot be common, so most texts
+        are turned away by counting. The rest is done by bit-parallel rows.
+        """
+        n = len(self.own)
+        if sum(map(among.__contains__, self.own)) < share * n:
+            return 0.0
+        get, full = self.where.get, (1 << n) - 1
+        row = full
+        for y in others:
+            if here := get(y):
+                hit = row & here
+                row = ((row + hit) | (row - hit)) & full
+        found = (n - row.bit_count()) / n
+        return found if found >= share else 0.0
 
 
 def _answer(item: list[bytes]) -> list[bytes]:
@@ -72,28 +87,29 @@ class _Item:
     """What the check needs of an item and one of its passages."""
 
     def __init__(self, text: bytes, low: int, high: int) -> None:
-        self.words = text.lower().split()
-        self.passage = self.words[low:high]
-        self.answer = _answer(self.words)
+        ws = text.lower().split()
+        self.whole, self.passage = Pattern(ws), Pattern(ws[low:high])
+        answer = _answer(ws)
+        self.answer = Pattern(answer) if answer else None
         self.low, self.high = low, high
 
     def share(self, document: list[bytes], at: int) -> float:
         """How much of the item the words around document[at:] hold in order; 0 if that is no leak."""
-        n = len(self.words)
+        own = self.whole.own
+        n = len(own)
         if n < LEAST:
             near = document[max(0, at - n) : at + WINDOW + n]
-            return float(any(near[i : i + n] == self.words for i in range(len(near) - n + 1)))
+            return float(any(near[i : i + n] == own for i in range(len(near) - n + 1)))
         slack = 4 + n // 4
         near = document[max(0, at - self.low - slack - STRIDE) : at + WINDOW + (n - self.high) + slack + STRIDE]
-        whole = common(self.words, near) / n
-        if whole >= SURE:
+        among = set(near)
+        whole = self.whole.reaches(near, among, LIKELY)
+        if whole >= SURE or whole and self.answer and self.answer.reaches(near, among, LIKELY):
             return whole
-        if whole >= LIKELY and self.answer and common(self.answer, near) >= LIKELY * len(self.answer):
-            return whole
-        if len(self.passage) < n:
-            slack = 4 + len(self.passage) // 4
-            part = common(self.passage, document[max(0, at - slack) : at + WINDOW + slack]) / len(self.passage)
-            return part if part >= SURE else 0.0
+        if len(self.passage.own) < n:
+            slack = 4 + len(self.passage.own) // 4
+            near = document[max(0, at - slack) : at + WINDOW + slack]
+            return self.passage.reaches(near, set(near), SURE)
         return 0.0
 
 

@@ -289,7 +289,9 @@ def test_common_subsequence():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
-        assert lsa.common(a, b) == table[-1, -1]
+        share = table[-1, -1] / len(a)
+        assert lsa.Pattern(a).reaches(b, set(b), 0.0) == share
+        assert lsa.Pattern(a).reaches(b, set(b), 0.5) == (share if share >= 0.5 else 0.0)
 
 
 def test_randomised_directions_keep_the_matrix():

@@ -8,20 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: The temporary folder of this process, once one was needed.
+_own: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
     """A new path in the shared folder.
 
     The folder is what the cluster names in spark.checkpoint.dir. Only where that is unset, and only
-    with a local master, a temporary folder is made and set; elsewhere it would not be shared.
+    with a local master, a temporary folder stands for it; elsewhere it would not be shared.
     """
     base = spark.conf.get(SETTING, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError(f"{SETTING} must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="ledgermill-")
-        spark.conf.set(SETTING, base)
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="ledgermill-"))
+        base = _own[0]
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

@@ -4,11 +4,11 @@ Tokens are the lower-cased words of a text and one end token; words that trainin
 token. A context is a run of up to `DEPTH` tokens before a token, within the text; before the first token
 stands one start token.
 
-Contexts and their next-symbol distributions are built from the runs (context, next token) that make up at least
-`SHARE` of all training tokens. So the model has at most 1 / SHARE entries of each length, whatever the corpus,
-while what is counted grows with it. Finding these runs exactly takes two passes: tasks keep lossy counts with an
-error of SHARE / 4 of what they read, so every frequent run is among at most 4 / (3 SHARE) survivors, and the
-second pass counts the survivors exactly. The outcome does not depend on how the input is split.
+Contexts and their next-symbol distributions are built from the runs (context, next token) that training has at
+least `LEAST` times. This floor is a number of occurrences, so contexts and listed symbols grow with the corpus;
+nothing caps them. Runs, contexts and distributions are tables, made one length after the other: a run gets the
+probability after its suffix from the run one shorter, and the size of its context from the run that ends with the
+context. The driver sees counts and what is broadcast.
 
 A context is retained if its distribution diverges from that of its longest retained suffix: Kullback-Leibler
 divergence of at least `DIVERGENCE` nats, and at least log(training tokens) nats over all its occurrences. The
@@ -17,9 +17,14 @@ rest of the symbols is one class in this test. Distributions are smoothed toward
 symbols share what is left in proportion to the suffix's distribution. At the root stands the base. A token is
 scored in the state of the longest retained context before it.
 
-Base scores need the count of every word. Words with at least `HEAVY` of all tokens or `SHARE` of the training tokens, at
-most 1 / HEAVY + 1 / SHARE of them, are broadcast; tokens of all other words meet their counts in a join, in which no key is hot. No such word is a
-listed symbol, so for these tokens the model differs from the base by a known factor.
+A token's score is its base plus a term for each retained context before it (the factor of unlisted symbols) plus a
+term for each listed run that it ends (what the symbol has beyond that). So scores are sums over keys. Entries with
+at least `SHARE` of the training tokens, at most 1 / SHARE of each length, and words with at least `HEAVY` of all
+tokens or `SHARE` of the training tokens are broadcast; the keys of all others meet their terms in a join, in which
+no key is hot. Keys that no entry has are turned away by a bitmap of `BITS` bits first; where the model outgrows it, it
+turns away fewer and the result stays the same.
+
+`Tree` is the same model in memory, over runs that `_grown` counts; the tables are tested against it.
 
 Defined results: null and empty texts are the end token alone; a null doc_id counts as empty text for the split;
 repeated rows are scored one by one; with no training text c, N and V are 0. Words and runs are compared by 64
@@ -38,7 +43,9 @@ from pyspark.sql import functions as F
 from ledgermill.llm.shared import small_batches, stored
 from ledgermill.llm.words import Words, mix, one_hash, slices, words
 
-DEPTH, SHARE, DIVERGENCE, HEAVY = 3, 4e-6, 0.02, 1e-6
+DEPTH, SHARE, DIVERGENCE, HEAVY, LEAST = 3, 4e-6, 0.02, 1e-6, 4
+#: Bits of a bitmap of keys, a power of two; where more keys are set it turns away fewer, and the results stay.
+BITS = 1 << 27
 #: The start and the end token; no word has a line feed.
 EDGE = np.uint64(one_hash(b"\n"))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -175,6 +182,8 @@ def _counted(depth: int, error: float):
                 held.append((hashes, own[found.row]))
                 if sum(len(h[0]) for h in held) > 4 * _HELD:
                     yield summed()
+                if not depth:
+                    continue
                 tokens, row, place = sequence(found, hashes)
                 learns = own[row]
                 for k, at, context in contexts(tokens, place, depth):
@@ -280,9 +289,153 @@ class Tree:
         return out
 
 
+_RUNS = "k tinyint, key bigint, context bigint, up bigint, size bigint, n bigint"
+#: Runs of one length that a task sums up before it sends them on, and rows that it sends at once.
+_RUNS_HELD, _SENT = 1 << 21, 1 << 16
+#: Bits of a run that candidates are counted by; runs that share them are told apart by the exact count.
+_CANDIDATE = np.uint64((1 << 40) - 1)
+
+
+def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bits of keys are set."""
+    at = keys & np.uint64(BITS - 1)
+    return (bitmap[at >> np.uint64(6)] >> (keys & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _runs_of(tokens: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple]:
+    """(k, runs, contexts, the run of the suffix, the run that ends with the context) for k = 1 .. depth.
+
+    For a context of one token the last two are words: the next token and the context itself.
+    """
+    shorter = tokens
+    for k, at, context in contexts(tokens, place, depth):
+        runs = np.zeros(len(tokens), np.uint64)
+        runs[at] = run_of(context, tokens[at])
+        yield k, runs[at], context, shorter[at], shorter[at - 1]
+        shorter = runs
+
+
+def _candidates(k: int, below):
+    """(key, n): runs of length k by some of their bits, where both runs one shorter may be frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, held = below.value, []
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            for i in range(0, len(keys), _SENT):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + _SENT].view(np.int64)), pa.array(n[i : i + _SENT])], names=["key", "n"])
+
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                found = words(part)
+                tokens, _, place = sequence(found, found.hashes())
+                for j, key, _, up, size in _runs_of(tokens, place, k):
+                    if j == k:
+                        held.append(key[_maybe(bitmap, up) & _maybe(bitmap, size)] & _CANDIDATE)
+                if sum(map(len, held)) > _RUNS_HELD:
+                    yield from summed()
+        if held:
+            yield from summed()
+
+    return run
+
+
+def _learned(depth: int, frequent):
+    """How often the runs occur that the bitmaps have: with context, suffix's run (`up`) and the run that ends with the context (`size`)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[tuple]] = [[] for _ in range(depth)]
+
+        def summed(k: int) -> Iterator[pa.RecordBatch]:
+            key, context, up, size = (np.concatenate(x) for x in zip(*held[k], strict=True))
+            held[k] = []
+            key, n, where = _tally(key)
+            columns = [np.full(len(key), k + 1, np.int8), *(c.view(np.int64) for c in (key, context[where], up[where], size[where])), n]
+            for i in range(0, len(key), _SENT):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + _SENT]) for c in columns], names=["k", "key", "context", "up", "size", "n"])
+
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                found = words(part)
+                tokens, _, place = sequence(found, found.hashes())
+                for k, *columns in _runs_of(tokens, place, depth):
+                    use = _maybe(frequent.value[k - 1], columns[0])
+                    held[k - 1].append(tuple(c[use] for c in columns))
+                    if sum(len(h[0]) for h in held[k - 1]) > _RUNS_HELD // 4:
+                        yield from summed(k - 1)
+        for k in range(depth):
+            if held[k]:
+                yield from summed(k)
+
+    return run
+
+
+def _frequent(rows: DataFrame, base: DataFrame, depth: int, least: int) -> DataFrame:
+    """(k, key, context, up, size, n) of the runs that `rows` have at least `least` times.
+
+    A run is no more frequent than the two that are one shorter. So each length is first counted by few bits among
+    runs whose shorter ones may be frequent, and what remains is counted exactly.
+    """
+    context, bitmaps = rows.sparkSession.sparkContext, []
+    below = _bitmap(base.where(F.col("n") >= least).select("key"))
+    for k in range(1, depth + 1):
+        sent = context.broadcast(below)
+        counted = rows.mapInArrow(_candidates(k, sent), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+        below = _bitmap(counted.where(F.col("n") >= least).select("key"))
+        bitmaps.append(below)
+        sent.unpersist()
+    runs = rows.mapInArrow(_learned(depth, context.broadcast(bitmaps)), _RUNS)
+    runs = runs.groupBy("k", "key", "context", "up", "size").agg(F.sum("n").alias("n"))
+    return stored(runs.where(F.col("n") >= least))
+
+
+def _modelled(rows: DataFrame, base: DataFrame, tokens: int, depth: int, least: int, divergence: float) -> DataFrame:
+    """(key, n, term, is_context): retained contexts and their listed runs, from `rows` (text).
+
+    `base` (key, n, p) has the count and the base probability of each training token, the end token included.
+    """
+    runs, shorter, entries = _frequent(rows, base, depth, least), base, []
+    for k in range(1, depth + 1):
+        own = runs.where(F.col("k") == k).select("key", "context", "up", "size", "n")
+        own = own.join(shorter.select(F.col("key").alias("up"), F.col("p").alias("q")), "up")
+        own = own.join(shorter.select(F.col("key").alias("size"), F.col("n").alias("total")), "size")
+        own = stored(own.select("key", "context", "n", "q", "total"))
+        share = F.col("n") / F.col("total")
+        sums = own.groupBy("context").agg(
+            F.first("total").alias("total"), F.count("*").alias("listed"), F.sum("n").alias("seen"),
+            F.sum("q").alias("wide"), F.sum(share * F.log(share / F.col("q"))).alias("apart"),
+        )
+        rest, wide_rest = 1 - F.col("seen") / F.col("total"), F.greatest(1 - F.col("wide"), F.lit(1e-12))
+        apart = F.col("apart") + F.when(rest > 1e-12, rest * F.log(rest / wide_rest)).otherwise(0.0)
+        sums = sums.withColumn("apart", apart).where((F.col("apart") >= divergence) & (F.col("total") * F.col("apart") >= float(np.log(tokens))))
+        smooth = (F.col("seen") + F.col("listed") * F.col("wide")) / (F.col("total") + F.col("listed"))
+        retained = stored(sums.select("context", "total", "listed", F.log10(F.greatest(1 - smooth, F.lit(1e-12)) / wide_rest).alias("back")))
+        own = own.join(retained.select("context", "listed", "back"), "context", "left")
+        p = F.when(F.col("listed").isNotNull(), (F.col("n") + F.col("listed") * F.col("q")) / (F.col("total") + F.col("listed"))).otherwise(F.col("q"))
+        shorter = stored(own.select("key", "n", p.alias("p"), (F.log10(p / F.col("q")) - F.col("back")).alias("term")))
+        entries.append(retained.select(F.col("context").alias("key"), F.col("total").alias("n"), F.col("back").alias("term"), F.lit(True).alias("is_context")))
+        entries.append(shorter.where("term is not null").select("key", "n", "term", F.lit(False).alias("is_context")))
+    out = entries[0]
+    for more in entries[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """BITS bits, of which those of the keys are set."""
+    at = F.col("key").bitwiseAND(F.lit(BITS - 1))
+    slots = keys.select(F.shiftright(at, 6).alias("slot"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit"))
+    slots = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(BITS // 64, np.int64)
+    bitmap[slots["slot"].to_numpy()] = slots["bits"].to_numpy()
+    return bitmap.view(np.uint64)
+
+
 def _scorer(model, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, heavy, counts, end, total = model.value
+        heavy, counts, known_entries, terms, bitmap, end, total = model.value
         for batch in batches:
             for part in slices(batch.column("text")):
                 found, n_rows = words(part), len(part)
@@ -295,11 +448,21 @@ def _scorer(model, depth: int):
                 edge = tokens == EDGE
                 c[edge], known[edge] = end, True
                 base = np.where(known, np.log10((c + 1) / total), 0.0)  # of light words it is added later
-                score = tree.log10(tokens, place, base, depth)
+                score = base.copy()
+                light, light_row = [tokens[~known]], [row[~known]]
+                for _, at, context in contexts(tokens, place, depth):
+                    for keys in (context, run_of(context, tokens[at])):
+                        hit, where = known_entries(keys)
+                        score[at[hit]] += terms[where]
+                        other = _maybe(bitmap, keys)
+                        other[hit] = False
+                        light.append(keys[other])
+                        light_row.append(row[at[other]])
                 real = place > 0
                 add = lambda x: np.bincount(row[real], x[real], n_rows)  # noqa: E731, B023
-                light = tokens[~known]
-                ends = np.cumsum(np.bincount(row[~known], minlength=n_rows))
+                light, light_row = np.concatenate(light), np.concatenate(light_row)
+                light = light[np.argsort(light_row, kind="stable")]
+                ends = np.cumsum(np.bincount(light_row, minlength=n_rows))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(light.view(np.int64)))
                 cut = lambda name: batch.column(name).slice(part.first, n_rows)  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays(
@@ -324,49 +487,52 @@ def _grown(spark, rows: DataFrame, survivors: DataFrame, root, tokens: int, dept
     return Tree(runs, sizes, {t: root(t) for _, _, t, _, _ in runs}, tokens, divergence)
 
 
-def scores(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, heavy: float = HEAVY, divergence: float = DIVERGENCE) -> DataFrame:
+def scores(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, heavy: float = HEAVY, divergence: float = DIVERGENCE, least: int = LEAST) -> DataFrame:
     """Scores of each row of docs (doc_id, text), trained on the rows that are not held out.
 
+    `share` and `heavy` say what is broadcast; the results do not depend on them.
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_contexts)
     """
     spark = docs.sparkSession
     small_batches(spark)
-    error = share / 4
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), held_out(docs["doc_id"]).alias("held_out"))
-    counted = rows.select("text", "held_out").mapInArrow(_counted(depth, error), _COUNTED)
-    counted = stored(counted.groupBy("kind", "key", "note").agg(F.sum("train").alias("train"), F.sum("n").alias("n")))
-    sums = counted.where("kind < 2").groupBy("kind").agg(F.sum("train").alias("train"), F.sum("n").alias("n"), F.count_if(F.col("train") > 0).alias("v"))
+    counted = rows.select("text", "held_out").mapInArrow(_counted(0, share), _COUNTED)
+    counted = stored(counted.groupBy("kind", "key").agg(F.sum("train").alias("train"), F.sum("n").alias("n")))
+    sums = counted.groupBy("kind").agg(F.sum("train").alias("train"), F.sum("n").alias("n"), F.count_if(F.col("train") > 0).alias("v"))
     sums = {r["kind"]: r for r in sums.collect()}
     of = lambda kind, what: int(sums[kind][what]) if kind in sums else 0
     train, every, end = of(0, "train") + of(1, "train"), of(0, "n") + of(1, "n"), of(1, "train")
     total = float(train + of(0, "v") + of(1, "v") + 1)
+    p = (F.col("train") + 1) / F.lit(total)
+    edge = F.lit(int(np.array([EDGE]).view(np.int64)[0]))
+    base = counted.where("train > 0").select(F.when(F.col("kind") == 1, edge).otherwise(F.col("key")).alias("key"), F.col("train").alias("n"), p.alias("p"))
+    entries = stored(_modelled(rows.where("not held_out").select("text"), base, max(train, 1), depth, least, divergence))
+    retained = entries.where("is_context").count()
+    often = F.col("n") >= share * train
+
+    def ordered(frame: DataFrame, value: str) -> tuple[Lookup, np.ndarray]:
+        table = frame.select("key", value).toArrow()
+        keys = table["key"].to_numpy().astype(np.int64).view(np.uint64)
+        return Lookup(keys), table[value].to_numpy()[np.argsort(keys)]
+
     is_heavy = (F.col("n") >= heavy * every) | (F.col("train") >= share * train)
-    common = counted.where((F.col("kind") == 0) & is_heavy).select("key", "train").toArrow()
-    keys, n = common["key"].to_numpy().astype(np.int64).view(np.uint64), common["train"].to_numpy().astype(np.int64)
-    order = np.argsort(keys)
-    lookup, n = Lookup(keys), n[order]
-
-    def root(token: int) -> float:
-        token = np.array([token], np.int64).view(np.uint64)
-        if token[0] == EDGE:
-            return (end + 1) / total
-        _, where = lookup(token)
-        return (n[where[0]] + 1) / total
-
-    survivors = counted.where((F.col("kind") == 2) & (F.col("train") >= (share - error) * train)).select("key", "note")
-    tree = _grown(spark, rows, survivors, root, train, depth, share, divergence)
-    model = spark.sparkContext.broadcast((tree, lookup, n, end, total))
+    lookup, n = ordered(counted.where((F.col("kind") == 0) & is_heavy), "train")
+    known, terms = ordered(entries.where(often), "term")
+    others = entries.where(~often)
+    model = spark.sparkContext.broadcast((lookup, n, known, terms, _bitmap(others), end, total))
     spec = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, light array<bigint>"
     scored = stored(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text").mapInArrow(_scorer(model, depth), spec))
-    rare = counted.where((F.col("kind") == 0) & ~is_heavy).select("key", F.col("train").alias("c"))
+    # Terms of words are of base and score, those of contexts and runs of the score alone.
+    rare = counted.where((F.col("kind") == 0) & ~is_heavy).select("key", F.log10(p).alias("word"), F.lit(0.0).alias("term"), (F.col("train") > 0).alias("seen"))
+    rare = rare.unionByName(others.select("key", F.lit(0.0).alias("word"), "term", F.lit(False).alias("seen")))
     light = scored.select("row", F.explode("light").alias("key")).join(rare, "key")
-    light = light.groupBy("row").agg(F.sum(F.log10((F.col("c") + 1) / F.lit(total))).alias("more"), F.count_if(F.col("c") > 0).alias("more_known"))
-    out, more = scored.drop("light").join(light, "row", "left"), F.coalesce("more", F.lit(0.0))
+    light = light.groupBy("row").agg(F.sum("word").alias("word"), F.sum("term").alias("term"), F.count_if("seen").alias("more_known"))
+    out, more = scored.drop("light").join(light, "row", "left"), F.coalesce("word", F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(train).cast("bigint").alias("train_tokens"),
         (F.col("base") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"),
-        F.lit(tree.retained).cast("bigint").alias("n_contexts"),
+        (F.col("score") + more + F.coalesce("term", F.lit(0.0))).alias("score"),
+        F.lit(retained).cast("bigint").alias("n_contexts"),
     )

@@ -348,6 +348,31 @@ def test_the_outcome_does_not_depend_on_the_split(spark):
     assert a == b
 
 
+def test_rare_contexts_are_kept_whatever_the_corpus(spark):
+    rnd = np.random.default_rng(12)
+    noise = [" ".join(f"z{x}" for x in rnd.integers(0, 3000, 60)) for _ in range(900)]
+    rare = ["quiet amber lantern beside harbour gates"] * 30
+    texts = rare + noise
+    got = suffix_tree.scores(frame(spark, texts), share=0.01, heavy=0.01).collect()
+    rows = frame(spark, texts).select("text", suffix_tree.held_out(suffix_tree.F.col("doc_id")).alias("held_out"))
+    counts = Counter()
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            counts.update([*t.encode().split(), b"\n"])
+    n, total = sum(counts.values()), sum(counts.values()) + len(counts) + 1
+    signed = lambda h: int(np.array([h], np.uint64).view(np.int64)[0])
+    known = {signed(one_hash(w)): (c + 1) / total for w, c in counts.items()}
+    runs = rows.where("not held_out").mapInArrow(suffix_tree._counted(3, 1e-9), suffix_tree._COUNTED).where("kind = 2").select("key", "note").distinct()
+    tree = suffix_tree._grown(spark, rows, runs, lambda t: known[t], n, 3, suffix_tree.LEAST / n, suffix_tree.DIVERGENCE)
+    for r in got:
+        ws = [suffix_tree.EDGE, *(one_hash(w) for w in texts[r["doc_id"]].encode().split()), suffix_tree.EDGE]
+        sequence = np.array(ws, np.uint64)
+        base = np.log10([known.get(signed(int(x)), 1 / total) for x in sequence])
+        assert math.isclose(r["score"], tree.log10(sequence, np.arange(len(sequence)), base, 3)[1:].sum(), rel_tol=1e-9)
+        assert r["n_contexts"] == tree.retained
+    assert all(r["score"] > r["base_score"] + 10 for r in got if r["doc_id"] < len(rare))
+
+
 # Queries
 
 

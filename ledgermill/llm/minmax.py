@@ -11,8 +11,8 @@ band, classes are first compared with one of them, the pivot. Where that does no
 bucket, further pivots are taken, in growing numbers, each compared with the members that are still in
 another component, until nothing is left that could join. So a bucket of near copies costs its size,
 not its square, and no link between components is missed. Pairs whose set sizes rule a link out are no
-candidates, nor are those whose signatures differ in more of their lowest bits than any link does: the signature
-itself, and in later rounds one of 1,024 permutations, made for the texts of open buckets alone. Every candidate is confirmed on the
+candidates, nor are those whose sketches, a mixed bit of each signature value, differ in more bits than
+links do but for one in 5e7: the sketch of the signature itself, and in later rounds one of 1,024 permutations, made for the texts of open buckets alone. Every candidate is confirmed on the
 full sets.
 
 Defined results: a null or wordless text has no shingles and is linked with nothing; a row with a null
@@ -36,7 +36,9 @@ from ledgermill.llm.words import mix, shingles, slices, words
 
 PERMUTATIONS, BANDS, ROWS = 100, 40, 5
 #: Bits of the sketch that all documents have, and of the finer one of those in buckets that stay open; how many
-#: bits may differ: 5.5 standard deviations more than are expected at similarity 0.8, exceeded by one link in 5e7.
+#: bits may differ: 5.5 standard deviations more than are expected at similarity 0.8, exceeded by one link in 5e7 if
+#: bits differ independently. A bit is of the mixed value, so that one shingle has another under each permutation.
+#: Sets of up to 4 shingles are only linked if they are equal, and then no bit differs.
 SKETCH_BITS, SKETCH_DIFFERENT = 2 * PERMUTATIONS, 43
 FINE_BITS, FINE_DIFFERENT = 2048, 280
 _STEP = 4096  # set members that are hashed at a time
@@ -68,8 +70,8 @@ def band_keys(values: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nd
 
 
 def sketch(values: np.ndarray) -> np.ndarray:
-    """The lowest bits of a signature, packed into 64-bit words."""
-    bits = np.packbits((values & np.uint64(1)).astype(np.uint8))
+    """A bit of each value of a signature, packed into 64-bit words."""
+    bits = np.packbits((mix(values) & np.uint64(1)).astype(np.uint8))
     return np.frombuffer(bits.tobytes() + bytes(-len(bits) % 8), np.uint64)
 
 

@@ -132,6 +132,17 @@ def test_min_and_max_estimate_without_bias():
     assert abs(np.mean(shared) - 0.8) < 0.015
 
 
+def test_sketches_keep_links_between_short_texts():
+    rng = np.random.default_rng(3)
+    for both, a, b in ((4, 1, 0), (8, 2, 0), (8, 1, 1), (12, 3, 0), (16, 2, 2), (32, 8, 0), (32, 4, 4)):
+        for _ in range(150):
+            own = rng.integers(0, 2**63, both + a + b, dtype=np.uint64)
+            x, y = own[: both + a], np.r_[own[:both], own[both + a :]]
+            for permutations, different in ((minmax.PERMUTATIONS, minmax.SKETCH_DIFFERENT), (minmax.FINE_BITS // 2, minmax.FINE_DIFFERENT)):
+                apart = minmax.sketch(minmax.signature(x, permutations)) ^ minmax.sketch(minmax.signature(y, permutations))
+                assert np.bitwise_count(apart).sum() <= different
+
+
 def test_long_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(100, 101), (5, 5)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in connected(edges).collect()}

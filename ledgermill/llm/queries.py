@@ -7,18 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import licenses, lsa, minmax, mixture, rules, secrets, shards, simple8b, suffix_tree, toxicity
+from ledgermill.llm import alignment, licenses, lsa, merkle, minmax, mixture, rules, secrets, shards, simple8b, suffix_tree, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     """The vocabulary file that the cluster's machines have."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 #: Target weights of the sources: the largest one is held back, five are stressed, all others share the rest.
@@ -92,7 +92,22 @@ def op10_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, merkle.lower_ascii(F.col("text")))
+    fields = [docs[c] if c != "text" else F.coalesce(tampered, docs[c]) for c in merkle.FIELDS]
+    proofs = merkle.proofs(merkle.manifest(docs.withColumn("altered", merkle.leaf(fields)), keep=("altered",)))
+    folded, proof = merkle.folded(F.col("altered"), F.col("proof")), merkle.digest(F.col("proof")).alias("proof_sha256")
+    rows = proofs.select("doc_id", "leaf", "subroot", "root", proof, folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_license_scan, op2_suffix_tree, op3_simple8b_ids, op4_minmax_near_dedup, op5_poisson_mixture, op6_latent_leaks]
     found += [op7_boosted_toxicity, op8_secret_scan, op9_quality_rules, op10_longest_first_shards]
+    found += [op12_merkle_manifest, op13_token_alignment]
     return {f.__name__: f for f in found}

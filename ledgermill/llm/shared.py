@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 #: The temporary folder of this process, once one was needed.
@@ -41,9 +44,60 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(setting, BATCH_ROWS)
 
 
+#: Lets a finished write give back the shuffle files that it needed; nothing reads them again.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_given_back(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stored(frame: DataFrame, compression: str = "zstd") -> DataFrame:
     """The rows of a frame, written once to the shared folder and read from there."""
     spark = frame.sparkSession
     path = folder(spark)
-    frame.write.option("compression", compression).parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    with _shuffles_given_back(spark):
+        frame.write.option("compression", compression).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    table._path = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables of `stored` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def text_key(text: Column) -> Column:
+    """256-bit digest that stands for a text; null is the empty text."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(key, text, n): each text once, with the number of its documents; null is the empty text.
+
+    Copies are summed up in each map task, so that a text with a third of all documents sends one row a task.
+    """
+    texts = docs.select(F.coalesce(docs["text"], F.lit("")).alias("text")).groupBy("text").agg(F.count("*").alias("n"))
+    return texts.select(text_key(F.col("text")).alias("key"), "text", "n")
+
+
+def to_documents(docs: DataFrame, results: DataFrame) -> DataFrame:
+    """Results of distinct texts (key, ...) for each document: doc_id and all but the key.
+
+    A key with very many documents is split by the adaptive skew join, since both sides are plain shuffles.
+    """
+    rows = docs.select(docs["doc_id"].alias("doc_id"), text_key(docs["text"]).alias("key"))
+    return rows.join(results, "key").drop("key")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import alignment, licenses, lsa, merkle, minmax, mixture, rules, secrets, shards, simple8b, suffix_tree, toxicity
+from ledgermill.llm import alignment, licenses, lsa, merkle, minmax, mixture, repeats, rules, secrets, shards, simple8b, suffix_tree, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,11 @@ def op10_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op11_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, merkle.lower_ascii(F.col("text")))
@@ -109,5 +114,5 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_license_scan, op2_suffix_tree, op3_simple8b_ids, op4_minmax_near_dedup, op5_poisson_mixture, op6_latent_leaks]
     found += [op7_boosted_toxicity, op8_secret_scan, op9_quality_rules, op10_longest_first_shards]
-    found += [op12_merkle_manifest, op13_token_alignment]
+    found += [op11_suffix_repeats, op12_merkle_manifest, op13_token_alignment]
     return {f.__name__: f for f in found}

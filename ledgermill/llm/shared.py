@@ -44,6 +44,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(setting, BATCH_ROWS)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of so many rows at most for what runs inside; for rows that are large themselves."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 #: Lets a finished write give back the shuffle files that it needed; nothing reads them again.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -9,9 +9,11 @@ own, are told apart before:
    anchor: from the first such window to the end of the last one. If an anchor's bytes occur once in the corpus, no
    window of it repeats.
 2. The others are sorted. A suffix that is found again in full settles all its windows.
-3. What differs from all others of its anchor may still share some windows with them. Windows are taken in bands of
-   BAND neighbours; a band whose common bytes occur in one such suffix alone can't repeat. Windows of the other bands
-   are sorted one by one, next to one representative of each full repeat of the same anchor.
+3. What differs from all others of its anchor may still share some windows with them. It is cut into bands of BAND
+   neighbouring windows, next to one representative of each full repeat of the same anchor. A band whose common bytes
+   occur in one such suffix alone can't repeat; the suffixes of the others are sorted, and one that is found again
+   settles its windows.
+4. The windows of the bands that are still open are sorted one by one, with one representative as before.
 
 Every step counts with partial sums or compares strings that are distinct within a run, so a passage that a third of
 all documents hold is an entry for each map task. Joins have no more than one row for each anchor on one side, which
@@ -30,14 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.shared import distinct_texts, dropped, small_batches, stored, to_documents
 from ledgermill.llm.suffix_runs import ALONE, FIRST, occurrences, runs_of
 from ledgermill.llm.words import _INVERSE, BASE, Texts, mix, powers, slices
 
-WINDOW, GRAM, BAND = 200, 64, 16
+WINDOW, GRAM, BAND = 200, 64, 8
 _HALF = np.uint64(32)
 
 
@@ -131,44 +133,74 @@ def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(suffix, pa.int64()), pa.array(number, pa.int32()), pa.array(digest, pa.int64())], ["suffix", "band", "core"])
 
 
+def _band_suffixes(batch: pa.RecordBatch) -> Iterator[tuple[bytes, int, tuple]]:
+    """From the first window of each wanted band to the end of its last one."""
+    for own, tid, low, before, mark, raw, wanted in zip(*(batch.column(c).to_pylist() for c in ("suffix", "tid", "low", "before", "mark", "bytes", "wanted")), strict=True):
+        core = {x["band"]: x["core"] for x in wanted}
+        for band, first, last in bands(before, len(raw)):
+            if band in core:
+                yield raw[first : last + WINDOW], 1, (own, band, core[band], mark, tid, low + first, low + last)
+
+
 def _windows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, int, tuple | None]]:
-    """The windows of the wanted bands; those of a representative count, but their verdict is not asked for."""
-    for tid, low, before, mark, raw, wanted in zip(*(batch.column(c).to_pylist() for c in ("tid", "low", "before", "mark", "bytes", "wanted")), strict=True):
-        chosen = set(wanted)
+    """The windows of the wanted bands; those of settled ones count, but their verdict is not asked for."""
+    for tid, low, before, raw, wanted in zip(*(batch.column(c).to_pylist() for c in ("tid", "low", "before", "bytes", "wanted")), strict=True):
+        asked = {x["band"]: x["asked"] for x in wanted}
         for band, first, last in bands(before, len(raw)):
-            if band in chosen:
+            if band in asked:
                 for i in range(first, last + 1):
-                    yield raw[i : i + WINDOW], 1, (tid, low + i) if mark == ALONE else None
+                    yield raw[i : i + WINDOW], 1, (tid, low + i) if asked[band] else None
 
 
-def _repeated_windows(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two stored tables (tid, low, high) of windows that repeat: of whole suffixes, and single ones."""
+def _settled_suffixes(texts: DataFrame) -> DataFrame:
+    """Stored occurrences (tid, anchor, low, high, hash, mark) of the suffixes whose anchor occurs more than once."""
     held = texts.select("n", F.explode("hash").alias("hash")).groupBy("hash").agg(F.sum("n").alias("n"))
     places = texts.select("tid", F.posexplode("hash").alias("place", "hash"))
     shared = places.join(held.where("n > 1").select("hash"), "hash", "left_semi")
     wanted = stored(shared.groupBy("tid").agg(F.collect_list("place").alias("wanted")))  # anchors of one text
     columns = {"tid": "<i8", "anchor": "<i4", "low": "<i4", "high": "<i4", "hash": "<i8"}
     runs = runs_of(texts.drop("key").join(wanted, "tid"), _spread_anchors, columns)
-    dropped(wanted)
     found = occurrences(runs, columns)
-    dropped(runs)
-
-    # Anchors with a suffix that is like no other: these, and one of each kind of the others.
-    unsettled = found.where(F.col("mark") == ALONE).select("hash").distinct()
-    rest = found.where(F.col("mark").isin(ALONE, FIRST)).join(unsettled, "hash", "left_semi")
-    rest = rest.groupBy("tid").agg(F.collect_list(F.struct("anchor", "low", "high", "mark")).alias("found"))
-    texts_of = texts.select("tid", "text").join(rest, "tid")
-    kinds = OPEN.split(", ", 1)[1]
-    suffixes = stored(texts_of.mapInArrow(_open_suffixes, kinds).withColumn("suffix", F.monotonically_increasing_id()))
+    dropped(wanted, runs)
+    return found
+
+
+def _open(found: DataFrame, key: str, asked: Column) -> DataFrame:
+    """Of the keys with a string that is asked for and like no other: these, and one of each kind of the others."""
+    unsettled = found.where((F.col("mark") == ALONE) & asked).select(key).distinct()
+    return found.where(F.col("mark").isin(ALONE, FIRST)).join(unsettled, key, "left_semi")
+
+
+def _settled_bands(suffixes: DataFrame) -> DataFrame:
+    """Stored occurrences (suffix, band, core, of, tid, low, high, mark) of bands whose core is in more suffixes than one."""
     cores = stored(suffixes.select("suffix", "before", "bytes").mapInArrow(_cores, "suffix bigint, band int, core bigint"))
     twice = cores.groupBy("core").count().where("count > 1").select("core")
-    chosen = cores.join(twice, "core", "left_semi").groupBy("suffix").agg(F.collect_list("band").alias("wanted"))
+    chosen = cores.join(twice, "core", "left_semi").groupBy("suffix").agg(F.collect_list(F.struct("band", "core")).alias("wanted"))
+    columns = {"suffix": "<i8", "band": "<i4", "core": "<i8", "of": "<i4", "tid": "<i8", "low": "<i4", "high": "<i4"}
+    runs = runs_of(suffixes.join(chosen, "suffix"), _band_suffixes, columns)
+    found = occurrences(runs, columns)
+    dropped(cores, runs)
+    return found
+
+
+def repeated_windows(texts: DataFrame) -> DataFrame:
+    """Stored (tid, low, high): windows low..high of a text start elsewhere too."""
+    whole = _settled_suffixes(texts)
+    rest = _open(whole, "hash", F.lit(True)).groupBy("tid").agg(F.collect_list(F.struct("anchor", "low", "high", "mark")).alias("found"))
+    suffixes = texts.select("tid", "text").join(rest, "tid").mapInArrow(_open_suffixes, OPEN.split(", ", 1)[1])
+    suffixes = stored(suffixes.withColumn("suffix", F.monotonically_increasing_id()))
+    banded = _settled_bands(suffixes)
+    asked = F.col("of") == ALONE  # not of a representative
+    of_band = F.struct("band", (asked & (F.col("mark") == ALONE)).alias("asked"))
+    rest = _open(banded, "core", asked).groupBy("suffix").agg(F.collect_list(of_band).alias("wanted"))
     columns = {"tid": "<i8", "low": "<i4"}
-    runs = runs_of(suffixes.join(chosen, "suffix"), _windows, columns)
-    dropped(suffixes, cores)
+    runs = runs_of(suffixes.join(rest, "suffix"), _windows, columns)
     single = occurrences(runs, columns)
-    dropped(runs)
-    return found, single
+    again = F.col("mark") != ALONE
+    found = whole.where(again).select("tid", "low", "high").unionByName(banded.where(again & asked).select("tid", "low", "high"))
+    found = stored(found.unionByName(single.where(again).select("tid", "low", F.col("low").alias("high"))))
+    dropped(whole, suffixes, banded, runs, single)
+    return found
 
 
 def spans(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -211,11 +243,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     texts = distinct_texts(docs).withColumn("tid", F.monotonically_increasing_id())
     texts = stored(texts.mapInArrow(_with_anchors, TEXTS))
-    whole, single = _repeated_windows(texts)
-    one = single.where(F.col("mark") != ALONE).select("tid", "low", F.col("low").alias("high"))
-    found = whole.where(F.col("mark") != ALONE).select("tid", "low", "high").unionByName(one)
-    found = found.groupBy("tid").agg(F.collect_list(F.struct("low", "high")).alias("found"))  # windows of one text
+    windows = repeated_windows(texts)
+    found = windows.groupBy("tid").agg(F.collect_list(F.struct("low", "high")).alias("found"))  # windows of one text
     results = texts.select("tid", "key", "text").join(found, "tid", "left").select("key", "text", "found")
     results = stored(results.mapInArrow(_removed, RESULTS))
-    dropped(texts, whole, single)
+    dropped(texts, windows)
     return to_documents(docs, results)

@@ -57,24 +57,40 @@ def _key() -> Column:
     return F.coalesce(F.col("customer_id"), F.lit(NO_CUSTOMER)).alias("customer_id")
 
 
-def activity(relations: Relations, f: MetricFilter, by: tuple[str, ...] = ()) -> DataFrame:
-    """Filtered transactions per customer and ``by`` ("plan", "month"), with churn flag.
-
-    Columns: customer_id, by..., amount, first_date, n_transactions, churned. With no ``by`` the
-    grouping already partitions by customer, and the joins need no further shuffle of it.
-    """
+def _summed(relations: Relations, f: MetricFilter, by: tuple[str, ...]) -> DataFrame:
+    """Transactions within the bounds of plan and date, summed per customer and ``by``."""
     breakdown = {"plan": F.col("plan"), "month": dates.month_start(F.col("transaction_date"))}
     scope = filters.transactions_in_scope(relations.transactions, f)
-    if f.plans is None and relations.plans is not None:
-        scope = scope.join(relations.plans, "plan", "left_semi")
+    only_plans = f.plans is None and relations.plans is not None
+    names = (*by, "plan") if only_plans and "plan" not in by else by
     summed = (
-        scope.groupBy(_key(), *(breakdown[name].alias(name) for name in by))
+        scope.groupBy(_key(), *(breakdown[name].alias(name) for name in names))
         .agg(
             F.sum("amount").alias("amount"),
             F.min("transaction_date").alias("first_date"),
             F.count("*").alias("n_transactions"),
         )
     )
+    if only_plans:
+        # Plans are looked up for sums, not for transactions: which plans count is found out at the
+        # same time as the sums, and neither waits for the other.
+        summed = summed.join(relations.plans, "plan", "left_semi")
+        if names != by:
+            summed = summed.groupBy("customer_id", *by).agg(
+                F.sum("amount").alias("amount"),
+                F.min("first_date").alias("first_date"),
+                F.sum("n_transactions").alias("n_transactions"),
+            )
+    return summed
+
+
+def activity(relations: Relations, f: MetricFilter, by: tuple[str, ...] = ()) -> DataFrame:
+    """Filtered transactions per customer and ``by`` ("plan", "month"), with churn flag.
+
+    Columns: customer_id, by..., amount, first_date, n_transactions, churned. With no ``by`` the
+    grouping already partitions by customer, and the joins need no further shuffle of it.
+    """
+    summed = _summed(relations, f, by)
     if f.mode == filters.CLEAN:
         outside = filters.accounts_out_of_scope(relations.accounts, f)
         summed = summed.join(outside, "customer_id", "left_anti")
@@ -189,15 +205,35 @@ def stage_distribution(
 ) -> DataFrame:
     """CRM rows per stage, with their share. Clean mode counts the silver rows of the given
     customers; raw mode counts the whole CRM whatever the filter says."""
-    counts = _stage_counts(relations, f, customers)
-    # A scalar subquery over the same counts: Spark reuses their shuffle, and no task has to hold
-    # all stages, which in raw mode are as many as the CRM has spellings.
-    total = counts.agg(F.sum("customers")).scalar()
-    return counts.withColumn("share", F.col("customers") / total).orderBy(
+    return with_shares(_stage_counts(relations, f, customers)).orderBy(
         F.desc("customers"), "stage"
     )
 
 
+#: Parts that stages are dealt to for their share; each holds some stages and the total.
+_PARTS = 16
+
+
+def with_shares(counts: DataFrame) -> DataFrame:
+    """(stage, customers) with the share of all customers, from one execution of the counts.
+
+    Every count goes to the part of its stage and, as a share of the total, to all parts. A total
+    from a second use of the counts would run them twice, and a window over all of them would put
+    all stages in one task, which in raw mode are as many as the CRM has spellings.
+    """
+    part = F.pmod(F.xxhash64("stage"), F.lit(_PARTS)).cast("int")
+    entry = lambda part, stage: F.struct(part.alias("part"), stage.alias("stage"), F.col("customers").alias("n"))
+    no_stage = F.lit(None).cast("string")
+    entries = F.array(entry(part, F.col("stage")), *(entry(F.lit(i), no_stage) for i in range(_PARTS)))
+    dealt = counts.select(F.inline(entries)).groupBy("part", "stage").agg(F.sum("n").alias("customers"))
+    total = F.max(F.when(F.col("stage").isNull(), F.col("customers"))).over(Window.partitionBy("part"))
+    return (
+        dealt.withColumn("total", total)
+        .where(F.col("stage").isNotNull())
+        .select("stage", "customers", (F.col("customers") / F.col("total")).alias("share"))
+    )
+
+
 def filter_options(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """The choices a report offers, as (field, value): plans, industries and the date range.
 
@@ -262,37 +298,47 @@ def texts_of(report_: DataFrame) -> DataFrame:
 def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
     """Revenue and customers by everything the report is broken down by: a small table.
 
-    The stage rows of a customer travel with its activity instead of being joined to it, so one
-    window per customer settles all: which row stands for the customer, when it came, and whether
-    its stages count. Both kinds of rows are combined per customer before, so windows are short.
+    What is known of a customer - its sums, whether it left, whether its industries count, its stages -
+    comes as rows of one table with the customer's id, each kind combined per customer before. So one
+    shuffle by customer and one window replace the joins: the window settles which row stands for the
+    customer, when it came, and whether its rows count.
     """
-    paid = activity(relations, f, by=("plan", "month")).select(
-        "customer_id", "plan", "month", "amount", "first_date", "churned", F.lit(True).alias("paid")
+    paid = _summed(relations, f, by=("plan", "month")).select(
+        "customer_id", "plan", "month", "amount", "first_date", F.lit(True).alias("paid")
     )
-    staged = relations.stages().where(F.col("stage").isNotNull())
+    left = relations.churn.select(_key(), F.lit(True).alias("left"))
+    parts = [paid, left.distinct()]
     if f.mode == filters.CLEAN:
-        together = paid.unionByName(
-            staged.select("customer_id", "stage", "n", F.lit(False).alias("paid")),
-            allowMissingColumns=True,
-        )
-    else:
-        together = paid.withColumns(
-            {"stage": F.lit(None).cast("string"), "n": F.lit(None).cast("bigint")}
-        )
-    order = [F.desc("paid"), "plan", "month", "stage"]
+        outside = filters.accounts_out_of_scope(relations.accounts, f)
+        parts.append(outside.select("customer_id", F.lit(True).alias("outside")))
+        staged = relations.stages().where(F.col("stage").isNotNull())
+        parts.append(staged.select("customer_id", "stage", "n"))
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part, allowMissingColumns=True)
+    missing = {"outside": "boolean", "stage": "string", "n": "bigint"}
+    together = together.withColumns(
+        {c: F.lit(None).cast(kind) for c, kind in missing.items() if c not in together.columns}
+    )
+    order = [F.desc_nulls_last("paid"), "plan", "month", "stage"]
     customer = Window.partitionBy("customer_id").orderBy(*order)
     whole = customer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    churned = F.coalesce(F.max("left").over(whole), F.lit(False))
+    status = {filters.ACTIVE: ~F.col("churned"), filters.CHURNED: F.col("churned")}
     digest = (
         together.withColumns(
             {
                 "first_month": dates.month_start(F.min("first_date").over(whole)),
-                "seen": F.max("paid").over(whole),
+                "seen": F.max("paid").over(whole) & F.max("outside").over(whole).isNull(),
+                "churned": churned,
                 "stands": (F.row_number().over(customer) == 1).cast("int"),
             }
         )
         .where("seen")
+        .where(F.col("paid") | F.col("stage").isNotNull())
+        .where(status.get(f.status, F.lit(True)))
         .groupBy(
-            "paid",
+            F.coalesce("paid", F.lit(False)).alias("paid"),
             "plan",
             "month",
             "first_month",
@@ -308,6 +354,7 @@ def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
     )
     if f.mode == filters.CLEAN:
         return digest
+    staged = relations.stages().where(F.col("stage").isNotNull())
     return digest.unionByName(
         staged.select("stage", "n", F.lit(False).alias("paid")), allowMissingColumns=True
     )

@@ -100,13 +100,11 @@ class Tables:
         return metrics.cohorts(self.activity(name))
 
     def stage_distribution(self, name: str) -> DataFrame:
-        relations, f = self.relations(name), FILTERS[name]
-        return metrics.stage_distribution(relations, f, metrics.activity(relations, f))
+        return metrics.stage_distribution(self.relations(name), FILTERS[name])
 
     def stored_stage_distribution(self, name: str) -> DataFrame:
         """The same through the relations of silver tables; these are built here, not stored."""
-        relations, f = tables.stored_relations(self.silver), FILTERS[name]
-        return metrics.stage_distribution(relations, f, metrics.activity(relations, f))
+        return metrics.stage_distribution(tables.stored_relations(self.silver), FILTERS[name])
 
     def report(self, name: str) -> DataFrame:
         return metrics.report(self.relations(name), FILTERS[name])

@@ -14,6 +14,8 @@ NO_MONTH = "NaT"
 
 #: ISO with one- or two-digit month and day, which the dataframe readers of the raw mode accept.
 LENIENT_ISO = "yyyy-M-d"
+#: What nearly all dates look like: a cast reads these as the format does, and faster.
+_PLAIN = "^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}$"
 
 
 def signup_date(text: Column) -> Column:
@@ -32,7 +34,8 @@ def coerced_date(df: DataFrame, column: str) -> Column:
     """ISO date, NULL on a bad value; a column that is a date already is left alone."""
     if isinstance(df.schema[column].dataType, DateType):
         return F.col(column)
-    return F.try_to_date(F.col(column), LENIENT_ISO)
+    text = F.col(column)
+    return F.coalesce(F.when(text.rlike(_PLAIN), text.try_cast("date")), F.try_to_date(text, LENIENT_ISO))
 
 
 def month_start(date: Column) -> Column:

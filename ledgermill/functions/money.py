@@ -12,6 +12,8 @@ from ledgermill.schemas import MONEY
 #: with still more are told apart by their digits.
 _EXACT = "decimal(38,18)"
 _FINER = r"\.\d{18}0*[1-9]"
+#: What nearly all amounts look like; these fit as they are, and no cast is needed to tell.
+_PLAIN = r"^-?[0-9]{1,10}(\.[0-9]{1,2})?$"
 
 
 def _is_text(df: DataFrame, column: str) -> bool:
@@ -21,7 +23,7 @@ def _is_text(df: DataFrame, column: str) -> bool:
 def survives(text: Column) -> Column:
     """Whether a text is a number that the money type holds exactly; false for NULL."""
     same = text.try_cast(_EXACT) == text.try_cast(MONEY)
-    return F.coalesce(same & ~text.rlike(_FINER), F.lit(False))
+    return F.when(text.rlike(_PLAIN), True).otherwise(F.coalesce(same & ~text.rlike(_FINER), F.lit(False)))
 
 
 def strict_money(df: DataFrame, column: str) -> Column:

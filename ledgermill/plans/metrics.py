@@ -193,21 +193,15 @@ def new_customers(cohorts_: DataFrame) -> DataFrame:
     return _new_customers(cohorts_).orderBy("month")
 
 
-def _stage_counts(relations: Relations, f: MetricFilter, customers: DataFrame) -> DataFrame:
-    staged = relations.stages().where(F.col("stage").isNotNull())
+def stage_distribution(relations: Relations, f: MetricFilter) -> DataFrame:
+    """CRM rows per stage, with their share. Clean mode counts the silver rows of the customers that
+    pass the filter; raw mode counts the whole CRM whatever the filter says."""
     if f.mode == filters.CLEAN:
-        staged = staged.join(customers.select("customer_id"), "customer_id", "left_semi")
-    return staged.groupBy("stage").agg(F.sum("n").alias("customers"))
-
-
-def stage_distribution(
-    relations: Relations, f: MetricFilter, customers: DataFrame
-) -> DataFrame:
-    """CRM rows per stage, with their share. Clean mode counts the silver rows of the given
-    customers; raw mode counts the whole CRM whatever the filter says."""
-    return with_shares(_stage_counts(relations, f, customers)).orderBy(
-        F.desc("customers"), "stage"
-    )
+        staged = _digest(relations, f, by=()).where(~F.col("paid"))
+    else:
+        staged = relations.stages().where(F.col("stage").isNotNull())
+    counts = staged.groupBy("stage").agg(F.sum("n").alias("customers"))
+    return with_shares(counts).orderBy(F.desc("customers"), "stage")
 
 
 #: Parts that stages are dealt to for their share; each holds some stages and the total.
@@ -295,7 +289,7 @@ def texts_of(report_: DataFrame) -> DataFrame:
     )
 
 
-def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
+def _digest(relations: Relations, f: MetricFilter, by: tuple[str, ...] = ("plan", "month")) -> DataFrame:
     """Revenue and customers by everything the report is broken down by: a small table.
 
     What is known of a customer - its sums, whether it left, whether its industries count, its stages -
@@ -303,8 +297,8 @@ def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
     shuffle by customer and one window replace the joins: the window settles which row stands for the
     customer, when it came, and whether its rows count.
     """
-    paid = _summed(relations, f, by=("plan", "month")).select(
-        "customer_id", "plan", "month", "amount", "first_date", F.lit(True).alias("paid")
+    paid = _summed(relations, f, by).select(
+        "customer_id", *by, "amount", "first_date", F.lit(True).alias("paid")
     )
     left = relations.churn.select(_key(), F.lit(True).alias("left"))
     parts = [paid, left.distinct()]
@@ -316,7 +310,7 @@ def _digest(relations: Relations, f: MetricFilter) -> DataFrame:
     together = parts[0]
     for part in parts[1:]:
         together = together.unionByName(part, allowMissingColumns=True)
-    missing = {"outside": "boolean", "stage": "string", "n": "bigint"}
+    missing = {"plan": "string", "month": "date", "outside": "boolean", "stage": "string", "n": "bigint"}
     together = together.withColumns(
         {c: F.lit(None).cast(kind) for c, kind in missing.items() if c not in together.columns}
     )

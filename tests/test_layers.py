@@ -132,7 +132,7 @@ def test_start_date_makes_old_customers_new(clean):
 
 def test_clean_stages(clean):
     f = MetricFilter(mode="clean")
-    got = metrics.stage_distribution(clean, f, metrics.activity(clean, f))
+    got = metrics.stage_distribution(clean, f)
     # Two billed plans count twice; customers without a stage are not in the chart.
     assert [tuple(r) for r in got.collect()] == [
         ("Closed Won", 2, 0.4), ("Qualified", 2, 0.4), ("Lead", 1, 0.2),
@@ -148,7 +148,7 @@ def test_raw(raw):
     assert kpi(relations, mode="raw", status="churned") == (0, 0, 0, 0, 0.0)
     assert kpi(relations, mode="raw", industries=()) == kpi(relations, mode="raw")
     f = MetricFilter(mode="raw", plans=())
-    got = metrics.stage_distribution(relations, f, metrics.activity(relations, f))
+    got = metrics.stage_distribution(relations, f)
     assert [(r.stage, r.customers) for r in got.collect()] == [
         ("Demo", 1), ("QUALIFIED", 1), ("closed lost", 1), ("closed_won", 1),
     ]
@@ -183,7 +183,7 @@ def test_report_is_its_parts(raw, bronze_, filter_):
     series = {
         "monthly_revenue": metrics.monthly_revenue(metrics.activity(relations, f, ("month",))),
         "revenue_by_plan": metrics.revenue_by_plan(metrics.activity(relations, f, ("plan",))),
-        "stage_distribution": metrics.stage_distribution(relations, f, customers),
+        "stage_distribution": metrics.stage_distribution(relations, f),
         "new_customers": metrics.new_customers(cohorts),
     }
     for part, df in series.items():

@@ -95,7 +95,7 @@ def placed(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     own = Window.partitionBy(group)
     before = F.coalesce(F.sum("n").over(own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select(F.col(group).alias("_group"), F.col("part").alias("_part"), before.alias("first"), F.sum("n").over(own).alias("size"))
-    same = dealt[group].eqNullSafe(counts["_group"]) & (dealt["part"] == counts["_part"])
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("part") == F.col("_part"))
     out = stored(dealt.join(counts, same).select(*[c for c in names if c != "part"], (F.col("first") + F.col("rank")).alias("place"), "size"))
     dropped(dealt)
     return out
@@ -215,7 +215,7 @@ def _proofs_down(levels: list[DataFrame], ends: DataFrame, own: list[str]) -> Da
     above = None
     for i in reversed(range(len(levels))):
         taller, ended = F.col("size") > (ARITY ** (STEP * i) if i else 0), F.col("size") <= ARITY ** (STEP * (i + 1))
-        top = ends.where(taller & ended).select("tree", F.lit(0).cast("bigint").alias("block"), "proof", *more)
+        top = ends.where(taller & ended).select(F.col("tree").alias("tree"), F.lit(0).cast("bigint").alias("block"), "proof", *more)
         above = top if above is None else above.unionByName(top)
         blocks, kept = _blocks(levels[i].where(taller)), [] if i else own
         schema = ["tree string", "place bigint", *(f"{c} {t}" for c, t in levels[i].dtypes if c in kept), *(f"{c} string" for c in more), f"proof {PROOF}"]

@@ -16,8 +16,8 @@ own, are told apart before:
 4. The windows of the bands that are still open are sorted one by one, with one representative as before.
 
 Every step counts with partial sums or compares strings that are distinct within a run, so a passage that a third of
-all documents hold is an entry for each map task. Joins have no more than one row for each anchor on one side, which
-the adaptive skew join can split on the other side. Texts are distinct (`distinct_texts`) and count as often as
+all documents hold is an entry for each map task. One side of each join is a stored table of distinct keys, so the adaptive
+skew join can split the other side. Texts are distinct (`distinct_texts`) and count as often as
 documents hold them; a task holds a slice of texts, a run, or a part between two splitters.
 
 Defined results: null text is empty; texts under WINDOW bytes lose nothing; copies of a text of WINDOW bytes or more lose
@@ -92,10 +92,10 @@ def _with_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _spread_anchors(batch: pa.RecordBatch) -> Iterator[tuple[bytes, int, tuple]]:
     """The suffixes of the wanted anchors of each text."""
     for tid, n, text, wanted, *lists in zip(*(batch.column(c).to_pylist() for c in ("tid", "n", "text", "wanted", "anchor", "low", "high", "hash")), strict=True):
-        raw = text.encode()
-        for i in wanted:
-            anchor, low, high, h = (x[i] for x in lists)
-            yield raw[low : high + WINDOW], n, (tid, anchor, low, high, h)
+        raw, chosen = text.encode(), set(wanted)
+        for anchor, low, high, h in zip(*lists, strict=True):
+            if h in chosen:
+                yield raw[low : high + WINDOW], n, (tid, anchor, low, high, h)
 
 
 OPEN = "suffix bigint, tid bigint, low int, before int, mark int, bytes binary"
@@ -155,51 +155,57 @@ def _windows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, int, tuple | None]]
 def _settled_suffixes(texts: DataFrame) -> DataFrame:
     """Stored occurrences (tid, anchor, low, high, hash, mark) of the suffixes whose anchor occurs more than once."""
     held = texts.select("n", F.explode("hash").alias("hash")).groupBy("hash").agg(F.sum("n").alias("n"))
-    places = texts.select("tid", F.posexplode("hash").alias("place", "hash"))
-    shared = places.join(held.where("n > 1").select("hash"), "hash", "left_semi")
-    wanted = stored(shared.groupBy("tid").agg(F.collect_list("place").alias("wanted")))  # anchors of one text
+    held = stored(held.where("n > 1").select("hash"))
+    shared = texts.select("tid", F.explode(F.array_distinct("hash")).alias("hash")).join(held, "hash", "left_semi")
+    wanted = stored(shared.groupBy("tid").agg(F.collect_list("hash").alias("wanted")))  # anchors of one text
     columns = {"tid": "<i8", "anchor": "<i4", "low": "<i4", "high": "<i4", "hash": "<i8"}
     runs = runs_of(texts.drop("key").join(wanted, "tid"), _spread_anchors, columns)
     found = occurrences(runs, columns)
-    dropped(wanted, runs)
+    dropped(held, wanted, runs)
     return found
 
 
-def _open(found: DataFrame, key: str, asked: Column) -> DataFrame:
-    """Of the keys with a string that is asked for and like no other: these, and one of each kind of the others."""
-    unsettled = found.where((F.col("mark") == ALONE) & asked).select(key).distinct()
+def _unsettled(found: DataFrame, key: str, asked: Column) -> DataFrame:
+    """Stored keys with a string that is asked for and like no other."""
+    return stored(found.where((F.col("mark") == ALONE) & asked).select(key).distinct())
+
+
+def _open(found: DataFrame, key: str, unsettled: DataFrame) -> DataFrame:
+    """Of these keys, the strings that are like no other and one of each kind of the others."""
     return found.where(F.col("mark").isin(ALONE, FIRST)).join(unsettled, key, "left_semi")
 
 
 def _settled_bands(suffixes: DataFrame) -> DataFrame:
     """Stored occurrences (suffix, band, core, of, tid, low, high, mark) of bands whose core is in more suffixes than one."""
     cores = stored(suffixes.select("suffix", "before", "bytes").mapInArrow(_cores, "suffix bigint, band int, core bigint"))
-    twice = cores.groupBy("core").count().where("count > 1").select("core")
+    twice = stored(cores.groupBy("core").count().where("count > 1").select("core"))
     chosen = cores.join(twice, "core", "left_semi").groupBy("suffix").agg(F.collect_list(F.struct("band", "core")).alias("wanted"))
     columns = {"suffix": "<i8", "band": "<i4", "core": "<i8", "of": "<i4", "tid": "<i8", "low": "<i4", "high": "<i4"}
     runs = runs_of(suffixes.join(chosen, "suffix"), _band_suffixes, columns)
     found = occurrences(runs, columns)
-    dropped(cores, runs)
+    dropped(cores, twice, runs)
     return found
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
     """Stored (tid, low, high): windows low..high of a text start elsewhere too."""
     whole = _settled_suffixes(texts)
-    rest = _open(whole, "hash", F.lit(True)).groupBy("tid").agg(F.collect_list(F.struct("anchor", "low", "high", "mark")).alias("found"))
+    hashes = _unsettled(whole, "hash", F.lit(True))
+    rest = _open(whole, "hash", hashes).groupBy("tid").agg(F.collect_list(F.struct("anchor", "low", "high", "mark")).alias("found"))
     suffixes = texts.select("tid", "text").join(rest, "tid").mapInArrow(_open_suffixes, OPEN.split(", ", 1)[1])
     suffixes = stored(suffixes.withColumn("suffix", F.monotonically_increasing_id()))
     banded = _settled_bands(suffixes)
     asked = F.col("of") == ALONE  # not of a representative
     of_band = F.struct("band", (asked & (F.col("mark") == ALONE)).alias("asked"))
-    rest = _open(banded, "core", asked).groupBy("suffix").agg(F.collect_list(of_band).alias("wanted"))
+    cores = _unsettled(banded, "core", asked)
+    rest = _open(banded, "core", cores).groupBy("suffix").agg(F.collect_list(of_band).alias("wanted"))
     columns = {"tid": "<i8", "low": "<i4"}
     runs = runs_of(suffixes.join(rest, "suffix"), _windows, columns)
     single = occurrences(runs, columns)
     again = F.col("mark") != ALONE
     found = whole.where(again).select("tid", "low", "high").unionByName(banded.where(again & asked).select("tid", "low", "high"))
     found = stored(found.unionByName(single.where(again).select("tid", "low", F.col("low").alias("high"))))
-    dropped(whole, suffixes, banded, runs, single)
+    dropped(whole, hashes, suffixes, banded, cores, runs, single)
     return found
 
 

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.shared import distinct_texts, dropped, small_batches, stored, to_documents
+from ledgermill.llm.shared import distinct_texts, dropped, often_enough, small_batches, stored, to_documents
 
 #: Pairs that are sent to every worker: 16 bytes each.
 MAX_FREQUENT = 1_000_000
@@ -306,17 +306,6 @@ def pair_counts(aligned: DataFrame, size_b: int) -> DataFrame:
     return counts
 
 
-def _frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """The pairs that are held by at least 2^k documents, for the smallest k that leaves `limit` of them at most."""
-    level = F.floor(F.log2("held")).cast("int")
-    sizes = {r["level"]: r["count"] for r in counts.groupBy(level.alias("level")).count().collect()}  # 64 at most
-    least, total = max(sizes, default=0) + 1, 0
-    while least > 0 and total + sizes.get(least - 1, 0) <= limit:
-        least -= 1
-        total += sizes.get(least, 0)
-    return counts.where(level >= least)
-
-
 SUMS = "key binary, best bigint, held bigint, pairs array<bigint>, times array<int>"
 
 
@@ -349,7 +338,7 @@ def _summed(table):
 def link_sums(aligned: DataFrame, counts: DataFrame, limit: int = MAX_FREQUENT) -> DataFrame:
     """(key, n_best, count_sum) of each text: links whose pair is a best one of its A id, and the sum of counts."""
     spark = aligned.sparkSession
-    top = _frequent(counts, limit).toArrow()  # `limit` rows at most
+    top = counts.where(often_enough(counts, "held", limit)).toArrow()  # `limit` rows at most
     order = np.argsort(top.column("pair").to_numpy())
     arrays = [top.column("pair").to_numpy(), top.column("held").to_numpy(), top.column("best").to_numpy(zero_copy_only=False).astype(np.int64)]
     table = spark.sparkContext.broadcast(tuple(np.ascontiguousarray(x[order]) for x in arrays))

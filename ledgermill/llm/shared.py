@@ -92,6 +92,17 @@ def dropped(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def often_enough(counts: DataFrame, column: str, limit: int) -> Column:
+    """Whether a row's count is at least 2^k, for the smallest k that leaves `limit` rows at most."""
+    level = F.floor(F.log2(column)).cast("int")
+    sizes = {r["level"]: r["count"] for r in counts.where(F.col(column) >= 1).groupBy(level.alias("level")).count().collect()}  # 64 at most
+    least, total = max(sizes, default=-1) + 1, 0
+    while least > 0 and total + sizes.get(least - 1, 0) <= limit:
+        least -= 1
+        total += sizes.get(least, 0)
+    return F.col(column) >= F.lit(2**least)
+
+
 def text_key(text: Column) -> Column:
     """256-bit digest that stands for a text; null is the empty text."""
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))

@@ -18,9 +18,8 @@ symbols share what is left in proportion to the suffix's distribution. At the ro
 scored in the state of the longest retained context before it.
 
 A token's score is its base plus a term for each retained context before it (the factor of unlisted symbols) plus a
-term for each listed run that it ends (what the symbol has beyond that). So scores are sums over keys. Entries with
-at least `SHARE` of the training tokens, at most 1 / SHARE of each length, and words with at least `HEAVY` of all
-tokens or `SHARE` of the training tokens are broadcast; the keys of all others meet their terms in a join, in which
+term for each listed run that it ends (what the symbol has beyond that). So scores are sums over keys. The most
+frequent words and entries, `MOST` of each, are broadcast; the keys of all others meet their terms in a join, in which
 no key is hot. Keys that no entry has are turned away by a bitmap of `BITS` bits first; where the model outgrows it, it
 turns away fewer and the result stays the same.
 
@@ -40,10 +39,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.shared import small_batches, stored
+from ledgermill.llm.shared import dropped, often_enough, small_batches, stored
 from ledgermill.llm.words import Words, mix, one_hash, slices, words
 
-DEPTH, SHARE, DIVERGENCE, HEAVY, LEAST = 3, 4e-6, 0.02, 1e-6, 4
+DEPTH, DIVERGENCE, LEAST = 3, 0.02, 4
+#: Words, and entries of the model, that are broadcast at most; about 32 bytes each in a worker.
+MOST = 2_000_000
 #: Bits of a bitmap of keys, a power of two; where more keys are set it turns away fewer, and the results stay.
 BITS = 1 << 27
 #: The start and the end token; no word has a line feed.
@@ -391,17 +392,17 @@ def _frequent(rows: DataFrame, base: DataFrame, depth: int, least: int) -> DataF
     return stored(runs.where(F.col("n") >= least))
 
 
-def _modelled(rows: DataFrame, base: DataFrame, tokens: int, depth: int, least: int, divergence: float) -> DataFrame:
-    """(key, n, term, is_context): retained contexts and their listed runs, from `rows` (text).
+def _modelled(rows: DataFrame, base: DataFrame, tokens: int, depth: int, least: int, divergence: float) -> list[DataFrame]:
+    """Stored tables (key, n, term, is_context): retained contexts and their listed runs, from `rows` (text).
 
     `base` (key, n, p) has the count and the base probability of each training token, the end token included.
     """
-    runs, shorter, entries = _frequent(rows, base, depth, least), base, []
+    runs, shorter, entries, used = _frequent(rows, base, depth, least), base, [], []
     for k in range(1, depth + 1):
         own = runs.where(F.col("k") == k).select("key", "context", "up", "size", "n")
         own = own.join(shorter.select(F.col("key").alias("up"), F.col("p").alias("q")), "up")
         own = own.join(shorter.select(F.col("key").alias("size"), F.col("n").alias("total")), "size")
-        own = stored(own.select("key", "context", "n", "q", "total"))
+        own = raw = stored(own.select("key", "context", "n", "q", "total"))
         share = F.col("n") / F.col("total")
         sums = own.groupBy("context").agg(
             F.first("total").alias("total"), F.count("*").alias("listed"), F.sum("n").alias("seen"),
@@ -414,13 +415,13 @@ def _modelled(rows: DataFrame, base: DataFrame, tokens: int, depth: int, least:
         retained = stored(sums.select("context", "total", "listed", F.log10(F.greatest(1 - smooth, F.lit(1e-12)) / wide_rest).alias("back")))
         own = own.join(retained.select("context", "listed", "back"), "context", "left")
         p = F.when(F.col("listed").isNotNull(), (F.col("n") + F.col("listed") * F.col("q")) / (F.col("total") + F.col("listed"))).otherwise(F.col("q"))
-        shorter = stored(own.select("key", "n", p.alias("p"), (F.log10(p / F.col("q")) - F.col("back")).alias("term")))
-        entries.append(retained.select(F.col("context").alias("key"), F.col("total").alias("n"), F.col("back").alias("term"), F.lit(True).alias("is_context")))
-        entries.append(shorter.where("term is not null").select("key", "n", "term", F.lit(False).alias("is_context")))
-    out = entries[0]
-    for more in entries[1:]:
-        out = out.unionByName(more)
-    return out
+        before, shorter = used[-1:], stored(own.select("key", "n", p.alias("p"), (F.log10(p / F.col("q")) - F.col("back")).alias("term")))
+        contexts_ = retained.select(F.col("context").alias("key"), F.col("total").alias("n"), F.col("back").alias("term"), F.lit(True).alias("is_context"))
+        entries.append(stored(contexts_.unionByName(shorter.where("term is not null").select("key", "n", "term", F.lit(False).alias("is_context")))))
+        dropped(raw, retained, *before)
+        used.append(shorter)
+    dropped(runs, *used[-1:])
+    return entries
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -487,43 +488,47 @@ def _grown(spark, rows: DataFrame, survivors: DataFrame, root, tokens: int, dept
     return Tree(runs, sizes, {t: root(t) for _, _, t, _, _ in runs}, tokens, divergence)
 
 
-def scores(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, heavy: float = HEAVY, divergence: float = DIVERGENCE, least: int = LEAST) -> DataFrame:
+def scores(docs: DataFrame, depth: int = DEPTH, limit: int = MOST, divergence: float = DIVERGENCE, least: int = LEAST) -> DataFrame:
     """Scores of each row of docs (doc_id, text), trained on the rows that are not held out.
 
-    `share` and `heavy` say what is broadcast; the results do not depend on them.
+    The `limit` most frequent words and entries of the model are broadcast; the results do not depend on it.
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_contexts)
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"), held_out(docs["doc_id"]).alias("held_out"))
-    counted = rows.select("text", "held_out").mapInArrow(_counted(0, share), _COUNTED)
+    counted = rows.select("text", "held_out").mapInArrow(_counted(0, 0.0), _COUNTED)
     counted = stored(counted.groupBy("kind", "key").agg(F.sum("train").alias("train"), F.sum("n").alias("n")))
     sums = counted.groupBy("kind").agg(F.sum("train").alias("train"), F.sum("n").alias("n"), F.count_if(F.col("train") > 0).alias("v"))
     sums = {r["kind"]: r for r in sums.collect()}
     of = lambda kind, what: int(sums[kind][what]) if kind in sums else 0
-    train, every, end = of(0, "train") + of(1, "train"), of(0, "n") + of(1, "n"), of(1, "train")
+    train, end = of(0, "train") + of(1, "train"), of(1, "train")
     total = float(train + of(0, "v") + of(1, "v") + 1)
     p = (F.col("train") + 1) / F.lit(total)
     edge = F.lit(int(np.array([EDGE]).view(np.int64)[0]))
     base = counted.where("train > 0").select(F.when(F.col("kind") == 1, edge).otherwise(F.col("key")).alias("key"), F.col("train").alias("n"), p.alias("p"))
-    entries = stored(_modelled(rows.where("not held_out").select("text"), base, max(train, 1), depth, least, divergence))
+    parts = _modelled(rows.where("not held_out").select("text"), base, max(train, 1), depth, least, divergence)
+    entries = parts[0]
+    for more in parts[1:]:
+        entries = entries.unionByName(more)
     retained = entries.where("is_context").count()
-    often = F.col("n") >= share * train
+    often = often_enough(entries, "n", limit)
 
     def ordered(frame: DataFrame, value: str) -> tuple[Lookup, np.ndarray]:
         table = frame.select("key", value).toArrow()
         keys = table["key"].to_numpy().astype(np.int64).view(np.uint64)
         return Lookup(keys), table[value].to_numpy()[np.argsort(keys)]
 
-    is_heavy = (F.col("n") >= heavy * every) | (F.col("train") >= share * train)
-    lookup, n = ordered(counted.where((F.col("kind") == 0) & is_heavy), "train")
+    own_words = counted.where(F.col("kind") == 0)
+    is_heavy = often_enough(own_words, "n", limit)
+    lookup, n = ordered(own_words.where(is_heavy), "train")
     known, terms = ordered(entries.where(often), "term")
     others = entries.where(~often)
     model = spark.sparkContext.broadcast((lookup, n, known, terms, _bitmap(others), end, total))
     spec = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, light array<bigint>"
     scored = stored(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text").mapInArrow(_scorer(model, depth), spec))
     # Terms of words are of base and score, those of contexts and runs of the score alone.
-    rare = counted.where((F.col("kind") == 0) & ~is_heavy).select("key", F.log10(p).alias("word"), F.lit(0.0).alias("term"), (F.col("train") > 0).alias("seen"))
+    rare = own_words.where(~is_heavy).select("key", F.log10(p).alias("word"), F.lit(0.0).alias("term"), (F.col("train") > 0).alias("seen"))
     rare = rare.unionByName(others.select("key", F.lit(0.0).alias("word"), "term", F.lit(False).alias("seen")))
     light = scored.select("row", F.explode("light").alias("key")).join(rare, "key")
     light = light.groupBy("row").agg(F.sum("word").alias("word"), F.sum("term").alias("term"), F.count_if("seen").alias("more_known"))

@@ -322,7 +322,7 @@ def test_base_scores_and_better_model(spark):
         if zlib.crc32(str(i).encode()) % 7 != 2:
             train.update(tokens(t))
     n, v = sum(train.values()), len(train)
-    got = {r["doc_id"]: r for r in suffix_tree.scores(frame(spark, texts), heavy=0.01, share=0.001).collect()}
+    got = {r["doc_id"]: r for r in suffix_tree.scores(frame(spark, texts), limit=60).collect()}
     for i, t in enumerate(texts):
         ws = tokens(t)
         assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (len(ws), sum(train[w] > 0 for w in ws), n)
@@ -355,7 +355,7 @@ def test_distributions_sum_to_one(spark):
 
 def test_the_outcome_does_not_depend_on_the_split(spark):
     texts = random_texts(8, 300)
-    a, b = (sorted((r["doc_id"], round(r["score"], 6)) for r in suffix_tree.scores(frame(spark, texts).repartition(n), share=0.002).collect()) for n in (1, 7))
+    a, b = (sorted((r["doc_id"], round(r["score"], 6)) for r in suffix_tree.scores(frame(spark, texts).repartition(n), limit=40).collect()) for n in (1, 7))
     assert a == b
 
 
@@ -364,7 +364,7 @@ def test_rare_contexts_are_kept_whatever_the_corpus(spark):
     noise = [" ".join(f"z{x}" for x in rnd.integers(0, 3000, 60)) for _ in range(900)]
     rare = ["quiet amber lantern beside harbour gates"] * 30
     texts = rare + noise
-    got = suffix_tree.scores(frame(spark, texts), share=0.01, heavy=0.01).collect()
+    got = suffix_tree.scores(frame(spark, texts), limit=20).collect()
     rows = frame(spark, texts).select("text", suffix_tree.held_out(suffix_tree.F.col("doc_id")).alias("held_out"))
     counts = Counter()
     for i, t in enumerate(texts):

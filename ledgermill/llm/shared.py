@@ -61,7 +61,8 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextlib.contextmanager
-def _shuffles_given_back(spark: SparkSession) -> Iterator[None]:
+def shuffles_given_back(spark: SparkSession) -> Iterator[None]:
+    """For frames that are made and used up inside."""
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -77,7 +78,7 @@ def stored(frame: DataFrame, compression: str = "zstd") -> DataFrame:
     """The rows of a frame, written once to the shared folder and read from there."""
     spark = frame.sparkSession
     path = folder(spark)
-    with _shuffles_given_back(spark):
+    with shuffles_given_back(spark):
         frame.write.option("compression", compression).parquet(path)
     table = spark.read.schema(frame.schema).parquet(path)
     table._path = path

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.shared import dropped, often_enough, small_batches, stored
+from ledgermill.llm.shared import dropped, often_enough, shuffles_given_back, small_batches, stored
 from ledgermill.llm.words import Words, mix, one_hash, slices, words
 
 DEPTH, DIVERGENCE, LEAST = 3, 0.02, 4
@@ -427,8 +427,9 @@ def _modelled(rows: DataFrame, base: DataFrame, tokens: int, depth: int, least:
 def _bitmap(keys: DataFrame) -> np.ndarray:
     """BITS bits, of which those of the keys are set."""
     at = F.col("key").bitwiseAND(F.lit(BITS - 1))
-    slots = keys.select(F.shiftright(at, 6).alias("slot"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit"))
-    slots = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    with shuffles_given_back(keys.sparkSession):
+        slots = keys.select(F.shiftright(at, 6).alias("slot"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit"))
+        slots = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     bitmap = np.zeros(BITS // 64, np.int64)
     bitmap[slots["slot"].to_numpy()] = slots["bits"].to_numpy()
     return bitmap.view(np.uint64)

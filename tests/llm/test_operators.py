@@ -222,9 +222,33 @@ def _polymod_digits(data):
 # Shards
 
 
-def test_schedule_is_longest_first():
-    placed = dict(shards.schedule([(7, "a"), (6, "b"), (5, "c"), (4, "d"), (3, "e")], 2))
-    assert placed == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 0} or placed == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 1}
+def plain_schedule(sizes, n):
+    """(size, shard) -> groups, one group at a time."""
+    loads, got = [0] * n, Counter()
+    for size in sorted(sizes, reverse=True):
+        shard = loads.index(min(loads))
+        loads[shard] += size
+        got[size, shard] += 1
+    return got
+
+
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(1, 90)), max_size=12, unique_by=lambda x: x[0]), st.integers(1, 7))
+@settings(max_examples=200, deadline=None)
+def test_schedule_is_longest_first(sizes, n):
+    placed = {(size, shard): k for size, got in shards.schedule(sizes, n) for shard, k in enumerate(got) if k}
+    assert placed == plain_schedule([s for s, k in sizes for _ in range(k)], n)
+
+
+@pytest.mark.parametrize("slot_rows", (shards.SLOT_ROWS, 7))
+def test_placement_is_that_of_the_plain_schedule(spark, monkeypatch, slot_rows):
+    monkeypatch.setattr(shards, "SLOT_ROWS", slot_rows)
+    texts = random_texts(7, 900) + ["hot text"] * 300 + ["same size %03d" % i for i in range(200)]
+    rows = shards.balanced(frame(spark, texts), shards=5, grain=8).collect()
+    groups = Counter()
+    for text, n in Counter(texts).items():
+        groups[text] = n * (len(text.encode()) + 8)
+    got = Counter((groups[t], s) for t, s in {(texts[r["doc_id"]], r["shard"]) for r in rows})
+    assert len(rows) == len(texts) and got == plain_schedule(list(groups.values()), 5)
 
 
 def test_groups_stay_together_and_slots_have_no_gaps(spark):
@@ -239,6 +263,7 @@ def test_groups_stay_together_and_slots_have_no_gaps(spark):
         slots.setdefault(r["shard"], []).append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(loads.values()) - min(loads.values()) < 0.02 * max(loads.values())
+    assert sorted(of_text) == sorted({t or "" for t in texts})
 
 
 # Quality rules

@@ -1,19 +1,25 @@
 """Benchmark decontamination by latent semantic retrieval, confirmed on common subsequences and answers.
 
 1. Benchmark items (longer ones in pieces of 256 words, each an item for what follows) are cut into passages
-   of at most 32 words, 16 apart, and dealt by hash into blocks of about 256 passages. How many documents hold each benchmark word is counted over all documents.
+   of at most 32 words, 16 apart, and dealt by hash into blocks of about 256 passages. How many documents hold
+   each benchmark word is counted over all documents.
 2. Each block's TF-IDF matrix gets a randomised singular value decomposition; blocks are factored by
-   Spark tasks side by side. A block keeps `RANK` directions.
-3. Every document is read in windows of 32 words, 16 apart. A window's TF-IDF vector is projected on the
-   directions of each block and compared with the block's passages: the inner product in latent space over
-   the norms of the unprojected vectors, so that words no item has lower the cosine. Words outside the
-   benchmark count in a window's norm with half the greatest weight. A window whose benchmark words are too
-   light to reach the cosine is passed over; nothing else is.
+   Spark tasks side by side. A block keeps `RANK` directions, and a direction more for each passage that they
+   show less than `SEEN` of.
+3. Every document is read in windows of 32 words, 16 apart. A window's vector (weights of its distinct words) is
+   projected on the directions of each block and compared with the block's passages. What is bounded is the
+   cosine of the passage with the window as far as it consists of the passage's words: its square is the
+   weighted share of the passage that the window has. So the words of the host around a copy and the size of the
+   corpus change nothing. A window with less weight than the lightest passage needs is passed over.
 4. For each candidate the longest common subsequence of the item's words with the words around the window
    decides: a leak has it over at least 80 % of the item (or of the passage, for parts of long items), or
    over 60 % with the answer, the item's last sentence, present by the same measure. So substituted,
    inserted and dropped words do not hide a copy, and common words alone do not make one.
 
+The share that makes a candidate follows from the 60 % that a leak has at least: words that are not in the
+text may be heavier than those that are, which halves it; a copy of more than 17 words may lie across windows, of
+which one then has at least half. Items under `LEAST` words must be there in full, which asks for 60 %.
+
 The benchmark goes through in groups of `GROUP` blocks, each group a pass over the documents, so what is
 broadcast (directions, passages) is bounded by parameters whatever the size of the benchmark.
 
@@ -37,7 +43,8 @@ from ledgermill.llm.words import one_hash, slices, words
 WINDOW, STRIDE, PIECE = 32, 16, 256
 RANK, OVERSAMPLE, POWER = 192, 32, 2
 BLOCK, GROUP = 256, 16
-COSINE, SURE, LIKELY, LEAST = 0.3, 0.8, 0.6, 8
+SURE, LIKELY, LEAST = 0.8, 0.6, 8
+SEEN = 0.5
 CLOSING = (b".", b"!", b"?")
 
 
@@ -49,6 +56,13 @@ def _cut(n: int) -> list[tuple[int, int]]:
     return [(s, s + WINDOW) for s in starts]
 
 
+def needed(n: int) -> float:
+    """The weighted share of a passage of n words that makes a window a candidate."""
+    if n < LEAST:
+        return LIKELY
+    return LIKELY / 2 if n <= WINDOW - STRIDE + 1 else LIKELY / 4
+
+
 class Pattern:
     """Words whose longest common subsequence with other words is asked for again and again."""
 
@@ -154,6 +168,15 @@ def factor(matrix: np.ndarray, rank: int, seed: int) -> np.ndarray:
     return right[: min(rank, int((sizes > 1e-9).sum()))].T
 
 
+def complete(vectors: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """The directions and, where they show less than SEEN of a (unit) vector, those of what is left of it."""
+    rest = vectors - (vectors @ directions) @ directions.T
+    rest = rest[(rest**2).sum(axis=1) > 1 - SEEN]
+    if not len(rest):
+        return directions
+    return np.hstack([directions, np.linalg.qr(rest.T)[0]])
+
+
 def _factored(vocabulary: np.ndarray, weights: np.ndarray, rank: int):
     """Of one block: a row with its words, their directions, and its passages' places in latent space."""
 
@@ -166,17 +189,21 @@ def _factored(vocabulary: np.ndarray, weights: np.ndarray, rank: int):
         own = np.unique(np.concatenate(rows))
         vectors = np.zeros((len(rows), len(own)))
         for i, places in enumerate(rows):
-            np.add.at(vectors[i], np.searchsorted(own, places), weights[places])
-        norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-        vectors /= np.maximum(norms, 1e-12)
-        directions = factor(vectors, rank, len(rows))
-        latent = (vectors @ directions).astype(np.float32)
+            vectors[i, np.searchsorted(own, places)] = weights[places]
+        mass = (vectors**2).sum(axis=1)
+        vectors /= np.maximum(np.sqrt(mass), 1e-12)[:, None]
+        directions = complete(vectors, factor(vectors, rank, len(rows)))
+        latent = vectors @ directions
+        # Scaled so that the inner product with a window is the share of the passage that the window has.
+        latent /= np.maximum((latent**2).sum(axis=1) * np.sqrt(mass), 1e-12)[:, None]
+        latent = latent.astype(np.float32)
         return pa.table(
             {
                 "block": table["block"][:1],
                 "words": pa.array([vocabulary[own].tobytes()]),
                 "directions": pa.array([directions.astype(np.float32).tobytes()]),
                 "latent": pa.array([latent.tobytes()]),
+                "mass": pa.array([mass.tolist()], pa.list_(pa.float64())),
                 "passages": pa.array([[{"item_id": i, "text": t, "low": a, "high": b} for i, t, a, b in zip(*(table[c].to_pylist() for c in ("item_id", "text", "low", "high")), strict=True)]], pa.list_(pa.struct([("item_id", pa.int64()), ("text", pa.string()), ("low", pa.int32()), ("high", pa.int32())]))),
             }
         )
@@ -184,28 +211,29 @@ def _factored(vocabulary: np.ndarray, weights: np.ndarray, rank: int):
     return run
 
 
-_FACTORED = "block bigint, words binary, directions binary, latent binary, passages array<struct<item_id: bigint, text: string, low: int, high: int>>"
+_FACTORED = "block bigint, words binary, directions binary, latent binary, mass array<double>, passages array<struct<item_id: bigint, text: string, low: int, high: int>>"
 
 
 class _Model:
     """A group of blocks as a task uses them."""
 
-    def __init__(self, blocks: list[tuple], vocabulary: np.ndarray, weights: np.ndarray, strange: float) -> None:
-        self.vocabulary, self.weights, self.strange = vocabulary, weights.astype(np.float32), np.float32(strange)
-        self.blocks = []
-        for own, directions, latent, passages in blocks:
+    def __init__(self, blocks: list[tuple], vocabulary: np.ndarray, weights: np.ndarray) -> None:
+        self.vocabulary, self.weights = vocabulary, weights
+        self.blocks, self.least = [], np.inf
+        for own, directions, latent, mass, passages in blocks:
             places = np.searchsorted(vocabulary, np.frombuffer(own, np.uint64))
+            at = np.full(len(vocabulary), -1, np.int32)
+            at[places] = np.arange(len(places), dtype=np.int32)
             rank = len(directions) // 4 // len(places)
-            table = np.zeros((len(vocabulary), rank), np.float32)
-            table[places] = np.frombuffer(directions, np.float32).reshape(len(places), rank)
-            table *= self.weights[:, None]
+            table = np.frombuffer(directions, np.float32).reshape(len(places), rank) * weights[places, None].astype(np.float32)
             items = [(i, _Item(t.encode(), a, b)) for i, t, a, b in passages]
-            self.blocks.append((table, np.frombuffer(latent, np.float32).reshape(len(items), rank), items))
+            need = np.array([needed(b - a) for _, _, a, b in passages], np.float32)
+            self.least = min(self.least, float((need * np.array(mass)).min()))
+            self.blocks.append((at, table, np.frombuffer(latent, np.float32).reshape(len(items), rank), need, items))
 
-    def candidates(self, found, cosine: float) -> Iterator[tuple[int, int, int, float, _Item]]:
+    def candidates(self, found) -> Iterator[tuple[int, int, int, float, _Item]]:
         """(row, first word, item, cosine, passage) of each window and passage that are close enough."""
         place, known = _lookup(self.vocabulary, found.hashes())
-        mass = np.where(known, self.weights[place] ** 2, self.strange**2).astype(np.float64)
         n_of = np.diff(found.first_of)
         n_segments = -(-n_of // STRIDE)
         base = np.cumsum(n_segments) - n_segments
@@ -215,55 +243,59 @@ class _Model:
         if not count:
             return
         owner = np.repeat(np.arange(len(n_of)), n_segments)
-        total = np.bincount(segment, mass, count)
-        light = np.bincount(segment, mass * known, count)
+        # The distinct words of each segment, in the order of segments.
+        taken = np.unique(segment[known] * len(self.vocabulary) + place[known])
+        segment, place = np.divmod(taken, len(self.vocabulary))
+        light = np.bincount(segment, self.weights[place] ** 2, count)
         last = np.r_[owner[1:] != owner[:-1], True]
-        pair = lambda x: x + np.where(last, 0, np.r_[x[1:], 0])  # noqa: E731  a window is a segment and the next
-        total, light = pair(total), pair(light)
+        light += np.where(last, 0, np.r_[light[1:], 0])  # a window is a segment and the next
         only = last & np.r_[False, owner[1:] == owner[:-1]]  # the tail of a text is in the window before
-        use = np.flatnonzero((light >= cosine**2 * total) & (light > 0) & ~only)
+        use = np.flatnonzero((light >= 0.999 * self.least) & (light > 0) & ~only)
         if not len(use):
             return
         wanted = np.zeros(count, bool)
         wanted[use] = True
         wanted[np.minimum(use + 1, count - 1)] |= ~last[use]
-        taken = np.flatnonzero(known & wanted[segment])
         slot = np.cumsum(wanted) - 1
-        starts = np.flatnonzero(np.r_[True, np.diff(segment[taken]) != 0])
-        filled = slot[segment[taken[starts]]]
-        for table, latent, items in self.blocks:
+        chosen = wanted[segment]
+        slots, place = slot[segment[chosen]], place[chosen]
+        more = ~last[use]
+        for at, table, latent, need, items in self.blocks:
+            own = at[place]
+            here = own >= 0
+            own, filled = own[here], slots[here]
+            starts = np.flatnonzero(np.r_[True, np.diff(filled) != 0]) if len(filled) else []
             sums = np.zeros((int(wanted.sum()), table.shape[1]), np.float32)
             for i in range(0, len(starts), 512):  # few words at a time, for the cache and for memory
-                a, b = starts[i], starts[i + 512] if i + 512 < len(starts) else len(taken)
-                sums[filled[i : i + 512]] = np.add.reduceat(table[place[taken[a:b]]], starts[i : i + 512] - a, axis=0)
+                a, b = starts[i], starts[i + 512] if i + 512 < len(starts) else len(own)
+                sums[filled[starts[i : i + 512]]] = np.add.reduceat(table[own[a:b]], starts[i : i + 512] - a, axis=0)
             window = sums[slot[use]]
-            more = ~last[use]
             window[more] += sums[slot[use[more] + 1]]
-            close = (window @ latent.T) / np.sqrt(total[use])[:, None].astype(np.float32)
-            for w, p in zip(*np.nonzero(close >= cosine), strict=True):
+            share = window @ latent.T
+            for w, p in zip(*np.nonzero(share >= need), strict=True):
                 s = use[w]
                 row = int(owner[s])
-                yield row, int(s - base[row]) * STRIDE, items[p][0], float(close[w, p]), items[p][1]
+                yield row, int(s - base[row]) * STRIDE, items[p][0], min(1.0, float(share[w, p])) ** 0.5, items[p][1]
 
 
-def _search(model, cosine: float):
+def _search(model, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = _Model(*model.value)
         for batch in batches:
-            ids, out = batch.column("doc_id").to_pylist(), {}
+            keys, out = batch.column("key").to_pylist(), {}
             for part in slices(batch.column("text")):
                 found, text = words(part), (-1, [])
-                for row, at, item_id, cos, item in group.candidates(found, cosine):
+                for row, at, item_id, cos, item in group.candidates(found):
                     if text[0] != row:
                         text = row, found.data[part.offsets[row] : part.offsets[row + 1]].tobytes().split()
                     if share := item.share(text[1], at):
-                        key = ids[part.first + row], item_id
+                        key = keys[part.first + row], item_id
                         if share > out.get(key, (0,))[0]:
                             out[key] = share, cos, at
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), *(pa.array([v[i] for v in out.values()], t) for i, t in ((0, pa.float64()), (1, pa.float64()), (2, pa.int64())))],
-                    names=["doc_id", "item_id", "lcs_share", "cosine", "first_word"],
+                    [pa.array([k[0] for k in out], kind), pa.array([k[1] for k in out], pa.int64()), *(pa.array([v[i] for v in out.values()], t) for i, t in ((0, pa.float64()), (1, pa.float64()), (2, pa.int64())))],
+                    names=["key", "item_id", "lcs_share", "cosine", "first_word"],
                 )
 
     return run
@@ -292,11 +324,12 @@ def passages(benchmark: DataFrame) -> DataFrame:
     return rows.select(F.pmod(F.xxhash64("item_id", "text", "low"), F.lit(blocks)).alias("block"), "item_id", "text", "low", "high")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, rank: int = RANK) -> DataFrame:
-    """(doc_id, item_id, lcs_share, cosine, first_word): which documents hold which items."""
+def _found(docs: DataFrame, benchmark: DataFrame, rank: int) -> DataFrame:
+    """(key, item_id, lcs_share, cosine, first_word) of docs (key, text), the key a bigint or a string."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    key = docs.schema["key"].dataType
+    kind, columns = pa.int64() if key.simpleString() == "bigint" else pa.string(), f"key {key.simpleString()}, item_id bigint, lcs_share double, cosine double, first_word bigint"
     cut = stored(passages(benchmark))
     n_blocks = (cut.agg(F.max("block")).first()[0] or 0) + 1
     found = []
@@ -312,22 +345,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, rank: i
         held = np.zeros(len(vocabulary))
         held[list(n)] = list(n.values())
         weights = np.log((total + 1) / (held + 1)) + 1e-3
-        strange = (np.log(total + 1) + 1e-3) / 2
         factored = group.groupBy("block").applyInArrow(_factored(vocabulary, weights, rank), _FACTORED).collect()
-        blocks = [(bytes(r["words"]), bytes(r["directions"]), bytes(r["latent"]), [tuple(p) for p in r["passages"]]) for r in factored]
-        model = spark.sparkContext.broadcast((blocks, vocabulary, weights, strange))
-        found.append(docs.mapInArrow(_search(model, cosine), "doc_id bigint, item_id bigint, lcs_share double, cosine double, first_word bigint"))
+        blocks = [(bytes(r["words"]), bytes(r["directions"]), bytes(r["latent"]), r["mass"], [tuple(p) for p in r["passages"]]) for r in factored]
+        model = spark.sparkContext.broadcast((blocks, vocabulary, weights))
+        found.append(docs.select("key", "text").mapInArrow(_search(model, kind), columns))
     if not found:
-        return spark.createDataFrame([], "doc_id bigint, item_id bigint, lcs_share double, cosine double, first_word bigint")
+        return spark.createDataFrame([], columns)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    best = pairs.groupBy("doc_id", "item_id").agg(F.max(F.struct("lcs_share", "cosine", F.expr("-first_word").alias("back"))).alias("m"))
-    return best.select("doc_id", "item_id", F.col("m.lcs_share").alias("lcs_share"), F.col("m.cosine").alias("cosine"), (-F.col("m.back")).alias("first_word"))
+    best = pairs.groupBy("key", "item_id").agg(F.max(F.struct("lcs_share", "cosine", F.expr("-first_word").alias("back"))).alias("m"))
+    return best.select("key", "item_id", F.col("m.lcs_share").alias("lcs_share"), F.col("m.cosine").alias("cosine"), (-F.col("m.back")).alias("first_word"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
+    """(doc_id, item_id, lcs_share, cosine, first_word): which documents hold which items."""
+    found = _found(docs.select(docs["doc_id"].cast("bigint").alias("key"), docs["text"].alias("text")), benchmark, rank)
+    return found.withColumnRenamed("key", "doc_id")
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that hold no item, all columns as they are; rows with a null doc_id stay."""
-    leaked = stored(leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leaked_id")).distinct())
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("d"))
-    return rows.join(leaked, F.col("d.doc_id").cast("bigint") == F.col("leaked_id"), "left_anti").select("d.*")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
+    """The rows of `docs` that hold no item, all columns as they are. Rows without a doc_id are told apart by a
+    digest of their text."""
+    key = F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("text:"), F.sha2(docs["text"].cast("binary"), 256)))
+    rows = docs.select(key.alias("key"), docs["text"].alias("text"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("d"))
+    leaked = stored(_found(rows.select("key", "text"), benchmark, rank).select(F.col("key").alias("leaked")).distinct())
+    return rows.join(leaked, F.col("key") == F.col("leaked"), "left_anti").select("d.*")

@@ -41,6 +41,8 @@ PERMUTATIONS, BANDS, ROWS = 100, 40, 5
 #: Sets of up to 4 shingles are only linked if they are equal, and then no bit differs.
 SKETCH_BITS, SKETCH_DIFFERENT = 2 * PERMUTATIONS, 43
 FINE_BITS, FINE_DIFFERENT = 2048, 280
+#: A character of a word.
+WORD = r"[^\x20\x09-\x0D]"
 _STEP = 4096  # set members that are hashed at a time
 
 
@@ -144,22 +146,46 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     return out.select("doc_id", "n_shingles", component_id).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _with_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(key, text, d): rows with a key of their own, `d` being all their columns; and `d` of rows that have none.
+
+    The key is the doc_id. Rows without one get numbers that no doc_id has, above all others where there is room;
+    of those with equal texts one is taken. Rows with neither doc_id nor words have no key.
+    """
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("key"), docs["text"].alias("text"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("d"))
+    nameless = rows.where("key is null")
+    if not nameless.limit(1).count():
+        return rows, None
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    # Numbers differ when a task is done again, so the rows are written with them.
+    once = stored(nameless.where(worded).dropDuplicates(["text"]).withColumn("number", F.monotonically_increasing_id()))
+    least, most = rows.agg(F.min("key"), F.max("key")).first()
+    last = once.agg(F.max("number")).first()[0] or 0
+    if (most or 0) + 1 + last < 2**63:
+        key = F.lit(max(most or 0, 0) + 1) + F.col("number")
+    else:
+        key = F.lit(min(least or 0, 0) - 1) - F.col("number")
+    return rows.where("key is not null").unionByName(once.select(key.alias("key"), "text", "d")), nameless.where(~worded).select("d")
+
+
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that stay: of each group the document with the smallest doc_id, once.
 
-    All columns stay as they are. Rows with a null doc_id stay; of equal rows with that doc_id one stays.
+    All columns stay as they are. A row with a null doc_id goes if its text is near that of a row with a doc_id,
+    and of a group without any doc_id one row stays; it stays if it has no words. Of equal rows one stays.
     """
-    found = near_duplicates(docs, **options)
-    gone = stored(found.where("not kept").select("doc_id").distinct())
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("key"), docs["text"].alias("text"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("d"))
-    repeated = stored(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("key")))
-    rows = rows.join(gone, rows["key"] == gone["doc_id"], "left_anti")
+    rows, rest = _with_keys(docs)
+    found = near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"), **options)
+    gone = stored(found.where("not kept").select(F.col("doc_id").alias("gone_id")).distinct())
+    repeated = stored(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("key")))
+    rows = rows.join(gone, rows["key"] == gone["gone_id"], "left_anti")
     if repeated.limit(1).count():
         again = rows.join(repeated, "key", "left_semi")
         first = Window.partitionBy("key", F.xxhash64("text")).orderBy("text")
         again = again.withColumn("rank", F.row_number().over(first)).where("rank = 1")
         rows = rows.join(repeated, "key", "left_anti").select("d").unionByName(again.select("d"))
-    return rows.select("d.*")
+    rows = rows.select("d")
+    return (rows.unionByName(rest) if rest is not None else rows).select("d.*")
 
 
 def _linked(docs: DataFrame, profile: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:

@@ -88,3 +88,16 @@ def mix(docs: DataFrame, weights: dict[str, float], rest: float = 0.0, target: i
     rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy"))
     place = _unit(F.lit(seed), F.col("doc_id"), F.col("copy"))
     return rows.select("d", "rate", "n_copies", "copy", "u", place.alias("place")).orderBy("place")
+
+
+def placed(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """(doc_id, text, place): copies of documents with the places that `mix` has put them in.
+
+    A table has no order once it is read again. Equal rows are counted, in each map task first, and numbered
+    from 1, so their places are those of the copies 1, 2, ... of their doc_id. Rows without a doc_id are told
+    apart by a digest of their text.
+    """
+    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")).groupBy("doc_id", "text").agg(F.count("*").cast("int").alias("n"))
+    rows = rows.select("doc_id", "text", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.sha2(F.col("text").cast("binary"), 256))
+    return rows.select("doc_id", "text", _unit(F.lit(seed), name, F.col("copy")).alias("place"))

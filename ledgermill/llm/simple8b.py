@@ -13,7 +13,7 @@ A record is a run of whole documents of about `RECORD_IDS` ids, or one longer do
 
 all little-endian; crc32 is of everything behind the header. A file is a Parquet table of records (part,
 record, first, n_ids, payload), so any store that Spark reads can hold it, and Spark's committer decides
-which attempt of a task counts. `part` is the number of the file in doc_id order, `first` the number of ids
+which attempt of a task counts. `part` is the number of the file in the order of the rows, `first` the number of ids
 before the record in its file.
 
 Defined results: a null or empty text has only the end id; rows with a null doc_id come first; rows of the
@@ -292,17 +292,17 @@ def _writer(path: str, end_id: int):
 RECORD_SCHEMA = "part int, record bigint, first bigint, n_ids bigint, payload binary"
 
 
-def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """Encode the whole texts of `docs` (doc_id, text) and write them as files in ascending doc_id order.
+def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, order: str = "doc_id") -> DataFrame:
+    """Encode the whole texts of `docs` (doc_id, text) and write them as files in ascending order of a column.
 
     Returns the table of records as it stands in the shared folder. Documents are dealt out by ranges
-    of doc_id, so a task writes one stretch of the order.
+    of the column, so a task writes one stretch of the order; ties are ordered by doc_id and text.
     """
     spark = docs.sparkSession
     small_batches(spark)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *([] if order == "doc_id" else [order]))
+    rows = rows.repartitionByRange(n, order).sortWithinPartitions(order, "doc_id", "text").select("doc_id", "text")
     return stored(rows.mapInArrow(_writer(tokenizer, end_id), RECORD_SCHEMA), "none")
 
 

@@ -73,12 +73,13 @@ def test_stages_bear_anything(spark, sf_dir, stage, table):
     elif name == "quality":
         assert sorted(r["doc_id"] or 0 for r in rows) == [0, 5, 6, 6, 7, 8]
     elif name == "near_dedup":
-        # 6 once, 7 and 8 are its copies; rows without doc_id or without words stay
-        assert sorted(r["doc_id"] or 0 for r in rows) == [0, 0, 1, 2, 3, 4, 5, 6, 9]
+        # 6 once, 7, 8 and a row without doc_id are its copies; rows without words stay
+        assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 2, 3, 4, 5, 6, 9]
     elif name == "decontaminate":
         assert len(rows) == N
     elif name == "token_files":
-        assert [r["doc_id"] for r in sorted(rows, key=lambda r: r["start"])] == [None, None, 1, 2, 3, 4, 5, 6, 6, 7, 8, 9]
+        order = [r["doc_id"] for r in sorted(rows, key=lambda r: r["start"])]
+        assert sorted(order, key=lambda i: i or 0) == [None, None, 1, 2, 3, 4, 5, 6, 6, 7, 8, 9] and order != sorted(order, key=lambda i: i or 0)
 
 
 def test_rows_without_words(spark):
@@ -93,6 +94,26 @@ def test_rows_without_words(spark):
     assert scores[1]["n_tokens"] == scores[2]["n_tokens"] == scores[3]["n_tokens"] == 1
 
 
+def test_rows_without_an_id_are_judged_too(spark):
+    item = " ".join(f"item{i}" for i in range(20))
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, f"{text} {item}", "a"), (1, f"{item} {text}", "b"), (None, text, "c"), (None, text, "d"), (2, "other words", "e"), (None, "other words", "f")]
+    docs = spark.createDataFrame([(None, "never " * 3 + "near anything", "g"), *rows], "doc_id bigint, text string, d string")
+    clean = lsa.without_leaks(docs, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    assert sorted(r["d"] for r in clean.collect()) == ["c", "d", "e", "f", "g"]
+    kept = sorted(r["d"] for r in minmax.without_near_duplicates(docs.where("d not in ('a', 'b')")).collect())
+    assert kept in (["c", "e", "g"], ["d", "e", "g"])
+
+
+def test_token_files_are_in_the_order_of_the_mixture(spark, sf_dir):
+    docs = spark.createDataFrame([(i, f"text number {i}", "en", "src0", 9) for i in range(40)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    wanted = [r["doc_id"] for r in mixture.mix(docs, {"src0": 1.0}, 0.0, target=3000).select("d.doc_id", "place").orderBy("place").collect()]
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = mixture.mix(docs, {"src0": 1.0}, 0.0, target=3000).select("d.*").repartition(3)
+    got = [r["doc_id"] for r in stages["token_files"](spark, mixed, sf_dir).orderBy("start").collect()]
+    assert got == wanted and got != sorted(got) and len(got) > len(set(got))
+
+
 def test_labels_of_one_class_give_a_constant(spark):
     only = labels(spark).where("label = 0")
     assert {r["score"] for r in toxicity.fit(odd(spark), only).score(odd(spark)).collect()} == {0.0}

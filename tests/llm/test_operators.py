@@ -317,6 +317,74 @@ def test_copies_and_paraphrases_are_found_and_nothing_else(spark):
     assert not {d for d, _ in got} - {d for d, _ in wanted}
 
 
+@pytest.mark.parametrize("scale", (1, 1500))
+def test_recall_by_length_and_size_of_the_corpus(scale):
+    """Copies of items of frequent words, in windows of frequent words; counts as a corpus `scale` times as large has."""
+    rnd = np.random.default_rng(11)
+    vocabulary = np.unique(np.array([one_hash(b"w%d" % i) for i in range(4000)], np.uint64))
+    word_of = {one_hash(b"w%d" % i): b"w%d" % i for i in range(4000)}
+    names = [word_of[int(h)] for h in vocabulary]
+    held = np.minimum(3000 / np.arange(1, 4001) ** 0.7, 3000)[rnd.permutation(4000)]
+    weights = np.log((10_000 * scale + 1) / (held * scale + 1)) + 1e-3
+    odds = held / held.sum()
+    draw = lambda k: [names[i] for i in rnd.choice(4000, k, p=odds)]
+    items = [(k, draw(k)) for k in (5, 8, 12, 20, 30) for _ in range(100)]
+    passages = [{"item_id": i, "text": b" ".join(ws).decode(), "low": 0, "high": k} for i, (k, ws) in enumerate(items)]
+    blocks = []
+    for b in range(0, len(passages), lsa.BLOCK):
+        rows = passages[b : b + lsa.BLOCK]
+        table = pa.Table.from_pylist([{"block": b, **r} for r in rows], pa.schema([("block", pa.int64()), ("item_id", pa.int64()), ("text", pa.string()), ("low", pa.int32()), ("high", pa.int32())]))
+        r = lsa._factored(vocabulary, weights, lsa.RANK)(table).to_pylist()[0]
+        blocks.append((r["words"], r["directions"], r["latent"], r["mass"], [tuple(p.values()) for p in r["passages"]]))
+    model = lsa._Model(blocks, vocabulary, weights)
+    wanted, texts, changed = [], [], []
+    for i, (k, ws) in enumerate(items):
+        for substituted in (False, True) if k >= 20 else (False,):
+            own = list(ws)
+            if substituted:
+                for at in rnd.choice(k, k // 5, replace=False):
+                    own[at] = b"substituted"
+            host, at = draw(150), int(rnd.integers(0, 150))
+            texts.append(b" ".join(host[:at] + own + host[at:]).decode())
+            wanted.append((i, k, substituted))
+    hit, tried = Counter(), Counter()
+    part = next(iter(slices(pa.array(texts), 1 << 30)))
+    seen, n = set(), 0
+    for row, at, item_id, _, item in model.candidates(words(part)):
+        n += 1
+        if item_id == wanted[row][0] and item.share(texts[row].encode().split(), at):
+            seen.add(row)
+    for row, (_, k, substituted) in enumerate(wanted):
+        tried[k, substituted] += 1
+        hit[k, substituted] += row in seen
+    assert all(hit[key] >= 0.97 * tried[key] for key in tried)
+
+
+def test_leaks_are_those_of_all_pairs(spark):
+    rnd = np.random.default_rng(12)
+    odds = 1 / np.arange(1, 301) ** 0.7
+    draw = lambda k: [f"t{x}" for x in rnd.choice(300, k, p=odds / odds.sum()).tolist()]
+    base = [" ".join(draw(k)) for k in rnd.integers(8, 33, 40)]
+    docs = []
+    for i in range(120):
+        ws = draw(60)
+        if i % 2:
+            own = base[i % 40].split()
+            own[int(rnd.integers(len(own)))] = "changed"
+            ws[i % 60 : i % 60] = own
+        docs.append(" ".join(ws))
+    wanted = set()
+    for i, text in enumerate(docs):
+        ws = text.encode().split()
+        for j, item in enumerate(base):
+            own = lsa._Item(item.encode(), 0, len(item.split()))
+            if any(own.share(ws, at) for at in range(0, len(ws), lsa.STRIDE)):
+                wanted.add((i, j))
+    bench = spark.createDataFrame(list(enumerate(base)), "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in lsa.leaks(frame(spark, docs), bench).collect()}
+    assert len(wanted) >= 60 and got <= wanted and len(got) >= 0.97 * len(wanted)
+
+
 def test_common_subsequence():
     rnd = np.random.default_rng(4)
     for _ in range(50):

@@ -30,8 +30,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the token files hold of each document: doc_id, start, n_tokens, ids_crc32."""
-    return simple8b.read_digests(simple8b.write_ids(docs, tokenizer()))
+    """What the token files hold of each document, in the order of the mixture: doc_id, start, n_tokens, ids_crc32."""
+    return simple8b.read_digests(simple8b.write_ids(mixture.placed(docs), tokenizer(), order="place"))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix), ("token_files", token_files)]

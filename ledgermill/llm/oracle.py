@@ -27,15 +27,19 @@ repeated AS (
 parts AS (SELECT r, string_split(text, chr(10)) AS lines FROM docs),
 lines AS (
   SELECT r, i, line, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again,
-         len(list_filter(regexp_split_to_array(line, '{blank}'), lambda x: x <> '')) AS n
-  FROM (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM parts)
+         len(list_filter(regexp_split_to_array(line, '{blank}'), lambda x: x <> '')) AS n,
+         regexp_matches(after, '{lower}') OR length(line) >= {wrapped_chars} AND regexp_matches(after, '{word}') AS wrapped
+  FROM (
+    SELECT r, i, line, coalesce(lead(line) OVER (PARTITION BY r ORDER BY i), '') AS after
+    FROM (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM parts)
+  )
   WHERE regexp_matches(line, '{word}')
 ),
 judged AS (
   SELECT r, n, again,
          again
-         OR (n <= {open_words} AND NOT regexp_matches(line, '{closed}'))
-         OR len(regexp_extract_all(line, '{punctuation}')) * 100 > length(regexp_replace(line, '{blank}', '', 'g')) * 15
+         OR (n <= {open_words} AND NOT wrapped AND NOT regexp_matches(line, '{closed}'))
+         OR (len(regexp_extract_all(line, '{punctuation}')) - 1) * 100 > length(regexp_replace(line, '{blank}', '', 'g')) * 15
          OR len(regexp_extract_all(line, '{symbol}')) * 10 > n
          OR (n <= {menu_words} AND regexp_matches(line, '{menu}'))
          OR (n <= {boilerplate_words} AND regexp_matches(line, '{boilerplate}')) AS bad
@@ -66,11 +70,11 @@ def _quoted(text: str) -> str:
 def quality_rules() -> str:
     texts = {
         "blank": rules.BLANK, "word": rules.WORD, "symbol": rules.SYMBOL, "punctuation": rules.PUNCTUATION,
-        "closed": rules.CLOSED, "menu": rules.MENU_LINE, "boilerplate": rules.BOILERPLATE_LINE,
+        "closed": rules.CLOSED, "lower": rules.LOWER, "menu": rules.MENU_LINE, "boilerplate": rules.BOILERPLATE_LINE,
     }
     return _RULES.format(
         **{k: _quoted(v) for k, v in texts.items()},
-        open_words=rules.OPEN_WORDS, menu_words=rules.MENU_WORDS, boilerplate_words=rules.BOILERPLATE_WORDS,
+        open_words=rules.OPEN_WORDS, wrapped_chars=rules.WRAPPED_CHARS, menu_words=rules.MENU_WORDS, boilerplate_words=rules.BOILERPLATE_WORDS,
         min_words=rules.MIN_WORDS, max_repeated=rules.MAX_REPEATED, max_lost=rules.MAX_LOST,
     )
 

@@ -3,11 +3,14 @@
 Only built-in functions; a row is judged by itself, so nothing is shuffled.
 
 A line is what stands between \\n; it counts if it has a word `[^\\x20\\x09-\\x0D]+`. It fails if
-  * it has at most 15 words and does not end in closing punctuation (headings, menus),
-  * more than 15 % of its characters other than white space are ASCII punctuation,
+  * it has at most 15 words, does not end in closing punctuation and is not wrapped (headings, menus),
+  * more than 15 % of its characters other than white space, one closing mark aside, are ASCII punctuation,
   * it has more than one symbol `#*$%&|<>` for ten words (tables, menus, noise),
   * it is short and has a menu phrase, or at most 30 words and a boilerplate phrase,
   * it equals an earlier line of the text.
+A line is wrapped if its paragraph goes on in the next line: that begins with a lower-case letter, or the line
+has at least 60 characters and the next one is not blank. So prose that is broken at 70 or 80 columns is judged
+like prose with a paragraph on each line.
 The cleaned text is the lines that pass, joined by \\n. The verdict on the document: it is rejected if
 it fails the base (fewer than 50 words, or more than half of its words in 3-word windows that it has
 twice) or if more than `max_lost` percent of its words stand on failing lines.
@@ -38,6 +41,8 @@ BOILERPLATE = (
 )
 MENU_LINE = rf"(?i)(^|[^a-z0-9])({MENU})([^a-z0-9]|\z)"
 BOILERPLATE_LINE = rf"(?i)({BOILERPLATE})"
+LOWER = r"^[\x20\x09-\x0D]*\p{Ll}"
+WRAPPED_CHARS = 60
 MENU_WORDS, OPEN_WORDS, BOILERPLATE_WORDS = 8, 15, 30
 MIN_WORDS, MAX_REPEATED, MAX_LOST = 50, 50, 50
 
@@ -50,12 +55,12 @@ def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
-def _line(line: Column, n: Column) -> Column:
-    """What a line with n words is judged by, without its place in the text."""
+def _line(line: Column, n: Column, wrapped: Column) -> Column:
+    """What a line with n words is judged by, but for equal lines before it."""
     chars = F.length(F.regexp_replace(line, BLANK, ""))
     return (
-        ((n <= OPEN_WORDS) & ~line.rlike(CLOSED))
-        | (F.regexp_count(line, F.lit(PUNCTUATION)) * 100 > chars * 15)
+        ((n <= OPEN_WORDS) & ~wrapped & ~line.rlike(CLOSED))
+        | ((F.regexp_count(line, F.lit(PUNCTUATION)) - 1) * 100 > chars * 15)
         | (F.regexp_count(line, F.lit(SYMBOL)) * 10 > n)
         | ((n <= MENU_WORDS) & line.rlike(MENU_LINE))
         | ((n <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE_LINE))
@@ -76,18 +81,34 @@ def judged(docs: DataFrame, max_lost: int = MAX_LOST) -> DataFrame:
     Beside `d`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_bad_lines,
     lost_words (bigint), base_failed, kept (boolean), cleaned (string).
     """
+    rows = _judged(docs, max_lost)
+    # A filter would be pushed below the projections, and every rule written out in it again and again.
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
+def _judged(docs: DataFrame, max_lost: int) -> DataFrame:
     text = F.col("text")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     rows = rows.select(
         "d",
         "text",
         _words(text).alias("words"),
-        F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)).alias("lines"),
+        F.split(text, "\n").alias("parts"),
+    )
+    after = lambda i: F.coalesce(F.get("parts", i + 1), F.lit(""))
+    wrapped = lambda x, i: after(i).rlike(LOWER) | ((F.length(x) >= WRAPPED_CHARS) & after(i).rlike(WORD))
+    rows = rows.select(
+        "d",
+        "text",
+        "words",
+        F.filter("parts", lambda x: x.rlike(WORD)).alias("lines"),
+        F.filter(F.transform("parts", lambda x, i: F.when(x.rlike(WORD), wrapped(x, i))), lambda w: w.isNotNull()).alias("wraps"),
     )
     n = F.size("words").cast("bigint")
     rows = rows.select(
         "d",
         "lines",
+        "wraps",
         n.alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count(text, F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
@@ -118,7 +139,7 @@ def judged(docs: DataFrame, max_lost: int = MAX_LOST) -> DataFrame:
     copied = F.coalesce(F.col("copies"), F.expr("array()").cast("array<int>"))
     flags = F.transform(
         "lines",
-        lambda x, i: _line(x, F.get("sizes", i)),
+        lambda x, i: _line(x, F.get("sizes", i), F.get("wraps", i)),
     )
     rows = rows.select(
         "d", "n_words", "word_chars", "n_symbols", "n_dup_lines", "lines", "sizes",
@@ -156,9 +177,9 @@ def clean(docs: DataFrame, max_lost: int = MAX_LOST) -> DataFrame:
 
     The columns are those of `docs`, in their order.
     """
-    rows = judged(docs, max_lost)
+    rows = _judged(docs, max_lost)
     new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("bigint")}
     kinds = dict(docs.dtypes)
     kept = F.struct(*[(new[c].cast(kinds[c]) if c in new else F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
-    # A filter would be pushed below the projections, and every rule written out in it again and again.
+    # As in `judged`, instead of a filter.
     return rows.select(F.inline(F.when(F.col("kept"), F.array(kept))))

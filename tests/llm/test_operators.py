@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -289,6 +290,16 @@ def test_failing_lines_go(spark):
     assert kept["text"] == "\n".join(good(i) for i in range(1, 9)) and kept["n_chars"] == len(kept["text"]) and kept["d"] == "a"
 
 
+def test_wrapped_prose_is_kept_and_a_filter_is_cheap(spark):
+    rnd = np.random.default_rng(6)
+    sentence = lambda: " ".join("".join(chr(97 + c) for c in rnd.integers(0, 26, rnd.integers(2, 10))) for _ in range(18)).capitalize() + "."
+    texts = ["\n".join(" ".join(sentence() for _ in range(5)) for _ in range(6)) for _ in range(12)]
+    wrapped = ["\n\n".join(textwrap.fill(p, 76) for p in t.split("\n")) for t in texts]
+    junk = "\n\n".join("Some heading number %d" % i for i in range(30))
+    rows = rules.judged(frame(spark, texts + wrapped + [junk])).where("kept").select("d.doc_id", "n_bad_lines").collect()
+    assert {r["doc_id"]: r["n_bad_lines"] for r in rows} == dict.fromkeys(range(24), 0)
+
+
 # Latent semantic retrieval
 
 

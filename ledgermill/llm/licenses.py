@@ -40,6 +40,11 @@ TEXTS = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "All-rights-reserved": "All rights reserved.",
 }
+#: The license of three clauses is that of two with one more before the disclaimer.
+TEXTS["BSD-3-Clause"] = TEXTS["BSD-2-Clause"].replace(
+    " THIS SOFTWARE IS PROVIDED",
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED",
+)
 NAMES = {
     "MIT": ["the MIT License"],
     "ISC": ["the ISC License"],

@@ -8,6 +8,8 @@ one slice, so in clean data nothing is repeated.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
+#: Slices of every key where keys may be few; each slice of a key is one row of the other side.
+FEW_KEYS_SLICES = 256
+
 _SLICE = "_slice"
 _SLICES = "_slices"
 _HOT_KEY = "_hot_key"
@@ -77,6 +82,19 @@ def semi_join_spread(
     return _deal_out(df, hot, key).join(wanted, _matches(same_key), "left_semi").drop(_SLICE)
 
 
+def semi_join_dealt(df: DataFrame, keys: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys``, a column of distinct keys; NULL is in none.
+
+    For few keys with all the rows between them: a plain join has as many tasks as there are keys.
+    Rows are dealt out by their values of ``by`` without a look at the keys, so the two sides do not
+    wait for each other.
+    """
+    place = F.pmod(F.xxhash64(*by), F.lit(FEW_KEYS_SLICES)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(FEW_KEYS_SLICES - 1)))
+    repeated = keys.select(key, every.alias(_SLICE))
+    return df.withColumn(_SLICE, place).join(repeated, [key, _SLICE], "left_semi").drop(_SLICE)
+
+
 def left_join_spread(
     left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:

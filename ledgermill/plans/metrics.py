@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgermill.functions import dates, labels, rates
+from ledgermill.operators.skew import semi_join_dealt
 from ledgermill.plans import filters
 from ledgermill.plans.filters import MetricFilter
 
@@ -73,8 +74,9 @@ def _summed(relations: Relations, f: MetricFilter, by: tuple[str, ...]) -> DataF
     )
     if only_plans:
         # Plans are looked up for sums, not for transactions: which plans count is found out at the
-        # same time as the sums, and neither waits for the other.
-        summed = summed.join(relations.plans, "plan", "left_semi")
+        # same time as the sums, and neither waits for the other. Plans are few, so by plan alone
+        # all sums would meet in a few tasks.
+        summed = semi_join_dealt(summed, relations.plans, "plan", ("customer_id", *names))
         if names != by:
             summed = summed.groupBy("customer_id", *by).agg(
                 F.sum("amount").alias("amount"),

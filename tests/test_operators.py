@@ -86,3 +86,9 @@ def test_preview_is_top_k(spark):
     top = profiles.preview(df, ["id"], 3)
     assert [r.id for r in top.collect()] == [0, 1, 2]
     assert "TakeOrdered" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_semi_join_dealt(spark, keyed):
+    keys = spark.createDataFrame([("hot",), ("k1",), ("u3",), ("gone",), (None,)], "k string")
+    got = Counter(tuple(r) for r in skew.semi_join_dealt(keyed, keys, "k", ("n", "t")).collect())
+    assert got == Counter(r for r in KEYED if r[0] in ("hot", "k1", "u3"))

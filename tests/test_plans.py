@@ -3,9 +3,15 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.registry import queries
+from ledgermill import schemas
+from ledgermill.plans import metrics, tables
+from ledgermill.plans.filters import MetricFilter
+from ledgermill.schemas import BILLING
 from ledgermill.session import MB, fit_partitions, partition_settings, stored_bytes
+from tests.tables import extracts
 
 QUERIES = queries()
 
@@ -81,3 +87,26 @@ def test_partition_sizes_follow_the_input(spark, sf_dir):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     fit_partitions(spark, sf_dir)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_few_plans_are_looked_up_in_many_tasks(spark):
+    """By plan alone all sums of a raw report would be in as many tasks as there are plans."""
+    rows = [(f"TX-{i}", f"C{i:04}", "1", "2024-01-10", "paid", "Growth") for i in range(400)]
+    billing = spark.createDataFrame(rows, schemas.EXTRACTS[BILLING])
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        relations = tables.raw_relations(extracts(spark) | {BILLING: billing})
+        summed = metrics._summed(relations, MetricFilter(mode="raw"), ("plan", "month"))
+        held = summed.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(r["count"] for r in held) == 400
+    assert len(held) > 4 and max(r["count"] for r in held) < 200

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.shared import dropped, often_enough, shuffles_given_back, small_batches, stored
+from ledgermill.llm.shared import arrow_rows, dropped, often_enough, shuffles_given_back, small_batches, stored
 from ledgermill.llm.words import Words, mix, one_hash, slices, words
 
 DEPTH, DIVERGENCE, LEAST = 3, 0.02, 4
@@ -290,7 +290,14 @@ class Tree:
         return out
 
 
-_RUNS = "k tinyint, key bigint, context bigint, up bigint, size bigint, n bigint"
+_RUNS = "key bigint, context bigint, up bigint, size bigint, n bigint"
+
+
+def _tokens(depth: int) -> list[str]:
+    """Columns of the tokens of a run: the last one, then those before it, nearest first; 0 where a run has no more."""
+    return [f"t{j}" for j in range(depth + 1)]
+
+
 #: Runs of one length that a task sums up before it sends them on, and rows that it sends at once.
 _RUNS_HELD, _SENT = 1 << 21, 1 << 16
 #: Bits of a run that candidates are counted by; runs that share them are told apart by the exact count.
@@ -344,37 +351,63 @@ def _candidates(k: int, below):
 
 
 def _learned(depth: int, frequent):
-    """How often the runs occur that the bitmaps have: with context, suffix's run (`up`) and the run that ends with the context (`size`)."""
+    """How often the runs occur that the bitmaps have, by their tokens, which repeat and so take less room than fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[tuple]] = [[] for _ in range(depth)]
 
         def summed(k: int) -> Iterator[pa.RecordBatch]:
-            key, context, up, size = (np.concatenate(x) for x in zip(*held[k], strict=True))
-            held[k] = []
+            key, *own = (np.concatenate(x) for x in zip(*held[k - 1], strict=True))
+            held[k - 1] = []
             key, n, where = _tally(key)
-            columns = [np.full(len(key), k + 1, np.int8), *(c.view(np.int64) for c in (key, context[where], up[where], size[where])), n]
+            own = [c[where].view(np.int64) for c in own] + [np.zeros(len(key), np.int64)] * (depth - k)
+            columns = [np.full(len(key), k, np.int8), *own, n]
             for i in range(0, len(key), _SENT):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + _SENT]) for c in columns], names=["k", "key", "context", "up", "size", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + _SENT]) for c in columns], names=["k", *_tokens(depth), "n"])
 
         for batch in batches:
             for part in slices(batch.column("text")):
                 found = words(part)
                 tokens, _, place = sequence(found, found.hashes())
-                for k, *columns in _runs_of(tokens, place, depth):
-                    use = _maybe(frequent.value[k - 1], columns[0])
-                    held[k - 1].append(tuple(c[use] for c in columns))
+                for k, at, context in contexts(tokens, place, depth):
+                    key = run_of(context, tokens[at])
+                    use = _maybe(frequent.value[k - 1], key)
+                    at = at[use]
+                    held[k - 1].append((key[use], *(tokens[at - j] for j in range(k + 1))))
                     if sum(len(h[0]) for h in held[k - 1]) > _RUNS_HELD // 4:
-                        yield from summed(k - 1)
-        for k in range(depth):
-            if held[k]:
+                        yield from summed(k)
+        for k in range(1, depth + 1):
+            if held[k - 1]:
                 yield from summed(k)
 
     return run
 
 
+def _named(k: int):
+    """Runs of length k with fingerprint, context, suffix's run (`up`) and the run that ends with the context (`size`).
+
+    For a context of one token the last two are words: the next token and the context itself.
+    """
+
+    def context(before: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros(len(before[0]), np.uint64)
+        for j, token in enumerate(before, 1):
+            out = mix(out * _STEP + token + np.uint64(j))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last, *before = (batch.column(c).to_numpy().view(np.uint64) for c in _tokens(k))
+            whole = context(before)
+            up, size = (last, before[0]) if k == 1 else (run_of(context(before[:-1]), last), run_of(context(before[1:]), before[0]))
+            columns = [pa.array(c.view(np.int64)) for c in (run_of(whole, last), whole, up, size)]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("n")], names=["key", "context", "up", "size", "n"])
+
+    return run
+
+
 def _frequent(rows: DataFrame, base: DataFrame, depth: int, least: int) -> DataFrame:
-    """(k, key, context, up, size, n) of the runs that `rows` have at least `least` times.
+    """(k, tokens, n) of the runs that `rows` have at least `least` times.
 
     A run is no more frequent than the two that are one shorter. So each length is first counted by few bits among
     runs whose shorter ones may be frequent, and what remains is counted exactly.
@@ -387,8 +420,9 @@ def _frequent(rows: DataFrame, base: DataFrame, depth: int, least: int) -> DataF
         below = _bitmap(counted.where(F.col("n") >= least).select("key"))
         bitmaps.append(below)
         sent.unpersist()
-    runs = rows.mapInArrow(_learned(depth, context.broadcast(bitmaps)), _RUNS)
-    runs = runs.groupBy("k", "key", "context", "up", "size").agg(F.sum("n").alias("n"))
+    own = _tokens(depth)
+    runs = rows.mapInArrow(_learned(depth, context.broadcast(bitmaps)), f"k tinyint, {', '.join(f'{c} bigint' for c in own)}, n bigint")
+    runs = runs.groupBy("k", *own).agg(F.sum("n").alias("n"))
     return stored(runs.where(F.col("n") >= least))
 
 
@@ -399,10 +433,11 @@ def _modelled(rows: DataFrame, base: DataFrame, tokens: int, depth: int, least:
     """
     runs, shorter, entries, used = _frequent(rows, base, depth, least), base, [], []
     for k in range(1, depth + 1):
-        own = runs.where(F.col("k") == k).select("key", "context", "up", "size", "n")
+        own = runs.where(F.col("k") == k).mapInArrow(_named(k), _RUNS)
         own = own.join(shorter.select(F.col("key").alias("up"), F.col("p").alias("q")), "up")
         own = own.join(shorter.select(F.col("key").alias("size"), F.col("n").alias("total")), "size")
-        own = raw = stored(own.select("key", "context", "n", "q", "total"))
+        with arrow_rows(rows.sparkSession, _SENT):
+            own = raw = stored(own.select("key", "context", "n", "q", "total"))
         share = F.col("n") / F.col("total")
         sums = own.groupBy("context").agg(
             F.first("total").alias("total"), F.count("*").alias("listed"), F.sum("n").alias("seen"),

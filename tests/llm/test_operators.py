@@ -463,6 +463,27 @@ def test_the_outcome_does_not_depend_on_the_split(spark):
     assert a == b
 
 
+def test_runs_are_sent_by_their_tokens(spark):
+    texts = random_texts(14, 60) + ["the same line of words again and again"] * 9
+    rows, own = frame(spark, texts).select("text"), suffix_tree._tokens(3)
+    everything = spark.sparkContext.broadcast([np.full(suffix_tree.BITS // 64, -1, np.int64).view(np.uint64)] * 3)
+    sent = rows.mapInArrow(suffix_tree._learned(3, everything), f"k tinyint, {', '.join(f'{c} bigint' for c in own)}, n bigint")
+    sent = sent.groupBy("k", *own).agg(suffix_tree.F.sum("n").alias("n"))
+    for k in (1, 2, 3):
+        expected, fingerprints = Counter(), Counter()
+        for t in texts:
+            ws = np.array([suffix_tree.EDGE, *(one_hash(w) for w in (t or "").encode().lower().split()), suffix_tree.EDGE], np.uint64)
+            expected.update(tuple(ws[i - j] for j in range(k + 1)) for i in range(k, len(ws)))
+            for j, *columns in suffix_tree._runs_of(ws, np.arange(len(ws)), k):
+                if j == k:
+                    fingerprints.update(zip(*(c.view(np.int64).tolist() for c in columns), strict=True))
+        runs = sent.where(suffix_tree.F.col("k") == k)
+        signed = lambda run: tuple(np.array(run, np.uint64).view(np.int64).tolist()) + (0,) * (3 - k)  # noqa: E731, B023
+        assert {tuple(r[c] for c in own): r["n"] for r in runs.collect()} == {signed(run): n for run, n in expected.items()}
+        named = runs.mapInArrow(suffix_tree._named(k), suffix_tree._RUNS).collect()
+        assert {(r["key"], r["context"], r["up"], r["size"]): r["n"] for r in named} == fingerprints
+
+
 def test_rare_contexts_are_kept_whatever_the_corpus(spark):
     rnd = np.random.default_rng(12)
     noise = [" ".join(f"z{x}" for x in rnd.integers(0, 3000, 60)) for _ in range(900)]

@@ -10,13 +10,19 @@ from ledgermill.llm.shared import stored
 
 def extended(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels of `connected` after more edges: only the components that these meet are joined anew."""
-    ends = labels.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")))
-    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")))
-    ends = stored(ends.groupBy("node").agg(F.min("label").alias("label")))
-    met = edges.join(ends.select(F.col("node").alias("a"), F.col("label").alias("label_a")), "a")
-    met = met.join(ends.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b")
-    up = connected(met.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    own = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    met = edges.select("a", "b").join(own("a"), "a", "left").join(own("b"), "b", "left")
+    return merged(labels, stored(met.select("a", "b", F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label_b"))))
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """As `extended`, of edges (a, b, label_a, label_b) that have the labels of their ends; a node without one is its own."""
+    up = connected(edges.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
     up = up.select(F.col("node").alias("label"), F.col("label").alias("least"))
+    ends = labels
+    for end in ("a", "b"):
+        ends = ends.unionByName(edges.select(F.col(end).alias("node"), F.col(f"label_{end}").alias("label")))
+    ends = ends.groupBy("node").agg(F.min("label").alias("label"))
     return stored(ends.join(up, "label", "left").select("node", F.coalesce("least", "label").alias("label")))
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.components import connected, extended
+from ledgermill.llm.components import connected, extended, merged
 from ledgermill.llm.shared import small_batches, stored
 from ledgermill.llm.words import mix, shingles, slices, words
 
@@ -43,7 +43,11 @@ SKETCH_BITS, SKETCH_DIFFERENT = 2 * PERMUTATIONS, 43
 FINE_BITS, FINE_DIFFERENT = 2048, 280
 #: A character of a word.
 WORD = r"[^\x20\x09-\x0D]"
+#: All pivots are taken at once if that compares so many sketches for each member of a bucket at most.
+_AT_ONCE = 128
 _STEP = 4096  # set members that are hashed at a time
+#: A pair of classes, with the components that they were in.
+_PAIR = ["a", "b", "label_a", "label_b"]
 
 
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +120,7 @@ def _confirm(shingle: int, percent: int):
             for a, b in zip(sets_of(batch.column("text_a")), sets_of(batch.column("text_b")), strict=True):
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(_PAIR).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -194,7 +198,7 @@ def _linked(docs: DataFrame, profile: DataFrame, classes: DataFrame, shingle: in
     `members` are the classes of each bucket that have not been a pivot. Once a pivot has been compared
     with every member of another component it can be left out, so a bucket is through when its members
     are all in one component. Pivots come from outside the largest component of their bucket; each round
-    takes sixteen times as many.
+    takes 64 times as many, and the first that can take all that are left, for few comparisons, is the last.
     """
     first = classes.select("class", F.col("node").alias("doc_id"))
     of_first = profile.join(first, ["class", "doc_id"]).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "signature")
@@ -207,35 +211,48 @@ def _linked(docs: DataFrame, profile: DataFrame, classes: DataFrame, shingle: in
     members = members.where("node <> p").drop("p")
     pairs = members.join(heads, (members["bucket"] == heads["p_bucket"]) & _likely(percent, SKETCH_BITS, SKETCH_DIFFERENT))
     members = members.drop("sketch")
-    fine, labels, tested, take = None, None, None, 4
+    pairs = pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
+    first = pairs = stored(pairs.select("a", "b", F.col("a").alias("label_a"), F.col("b").alias("label_b")))
+    labels, take, known, through = None, 64, members.count(), False
     while True:
-        pairs = pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if tested else pairs)
         both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         both = both.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        found = stored(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(shingle, percent), "a bigint, b bigint"))
-        labels = extended(labels, found) if labels else connected(found)
-        tested = tested.unionByName(pairs) if tested else pairs
-        placed = stored(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        found = both.select(*_PAIR, "text_a", "text_b").mapInArrow(_confirm(shingle, percent), ", ".join(f"{c} bigint" for c in _PAIR))
+        found = stored(found)
+        labels = merged(labels, found) if labels else connected(found)
+        if through:
+            return labels
+        placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         sizes = placed.groupBy("bucket", "label").count().groupBy("bucket")
         sizes = sizes.agg(F.max(F.struct("count", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
         open_ = stored(placed.join(sizes.select("bucket", F.col("top.label").alias("top")), "bucket"))
-        by_bucket = Window.partitionBy("bucket").orderBy("node")
-        pivots = open_.where("label <> top").withColumn("rank", F.row_number().over(by_bucket)).where(F.col("rank") <= take)
-        pivots = stored(pivots.select("bucket", "node", "n", "label"))
-        if not pivots.limit(1).count():
+        outside = open_.groupBy("bucket").agg(F.sum((F.col("label") != F.col("top")).cast("bigint")).alias("outside"), F.count("*").alias("members"))
+        compared = outside.agg(F.sum(F.col("outside").cast("double") * F.col("members"))).first()[0]
+        if not compared:
             return labels
-        if fine is None:
+        if "sketch" not in open_.columns:
+            # Texts are hashed once; what later rounds need of them goes with the members from then on.
             fine = texts.join(open_.select("node").distinct(), "node")
             fine = stored(fine.mapInArrow(_fine(shingle), "node bigint, bands array<bigint>, sketch array<bigint>"))
-        first = pivots.join(fine, "node").select(*[F.col(c).alias(f"p_{c}") for c in ("bucket", "n", "label", "bands", "sketch")], F.col("node").alias("p"))
-        wide = open_.join(fine, "node")
+            open_ = stored(open_.join(fine, "node"))
+        pivots, through = open_.where("label <> top"), compared <= _AT_ONCE * known
+        if not through:
+            by_bucket = Window.partitionBy("bucket").orderBy("node")
+            pivots = pivots.withColumn("rank", F.row_number().over(by_bucket)).where(F.col("rank") <= take)
+        pivots = pivots.select(*[F.col(c).alias(f"p_{c}") for c in ("bucket", "n", "label", "bands", "sketch")], F.col("node").alias("p"))
+        if not through:
+            pivots = stored(pivots)
+            gone = pivots.select(F.col("p_bucket").alias("bucket"), F.col("p").alias("node"))
+            members = open_.join(gone, ["bucket", "node"], "left_anti").drop("label", "top")
+            take *= 64
         likely = (F.col("label") != F.col("p_label")) & _likely(percent, FINE_BITS, FINE_DIFFERENT)
-        # A pair that shares several bands is taken in the first of them.
+        # A pair that shares several bands is taken in the first of them, and in one round, as its pivot leaves the bucket then.
         shared = F.array_position(F.zip_with("bands", "p_bands", lambda x, y: x == y), F.lit(True))
-        pairs = wide.join(first, (wide["bucket"] == first["p_bucket"]) & likely & (shared == F.array_position("bands", wide["bucket"])))
-        members = open_.join(pivots.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node", "n")
-        take *= 16
+        pairs = open_.join(pivots, (open_["bucket"] == pivots["p_bucket"]) & likely & (shared == F.array_position("bands", open_["bucket"])))
+        up = F.col("p") < F.col("node")
+        ends = {"a": ("p", "node"), "b": ("node", "p"), "label_a": ("p_label", "label"), "label_b": ("label", "p_label")}
+        pairs = pairs.select(*[F.when(up, F.col(x)).otherwise(F.col(y)).alias(c) for c, (x, y) in ends.items()]).distinct()
+        pairs = stored(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"))
 
 
 def _fine(shingle: int):

@@ -117,6 +117,28 @@ def test_a_family_of_copies_that_straddle_the_threshold(spark):
     assert got == {i: c for i, (_, c) in enumerate(components(texts, 5))}
 
 
+def near_family(n):
+    """Texts near one another, of which many are not linked with the first."""
+    rng, base = np.random.default_rng(n), [f"b{i}" for i in range(90)]
+    texts = []
+    for i in range(n):
+        ws = list(base)
+        for j in rng.choice(90, i % 6, replace=False):
+            ws[j] = f"own{i}_{j}"
+        texts.append(" ".join(ws))
+    return texts
+
+
+@pytest.mark.parametrize("at_once", (128, 0))
+def test_open_buckets_take_few_rounds(spark, monkeypatch, at_once):
+    texts, rounds, confirm = near_family(240), [], minmax._confirm
+    monkeypatch.setattr(minmax, "_AT_ONCE", at_once)
+    monkeypatch.setattr(minmax, "_confirm", lambda *a: rounds.append(1) or confirm(*a))
+    got = {r["doc_id"]: r["component_id"] for r in minmax.near_duplicates(frame(spark, texts), 4).collect()}
+    assert got == {i: c for i, (_, c) in enumerate(components(texts, 4))}
+    assert len(rounds) == 2 if at_once else 2 <= len(rounds) <= 3
+
+
 def test_an_id_with_two_texts_joins_them(spark):
     texts = random_texts(3, 1, 40) + ["some other words that stand here for a while", "a third text of its own"]
     docs = spark.createDataFrame([(5, texts[0]), (3, texts[0]), (5, texts[1]), (9, texts[1]), (7, texts[2])], "doc_id bigint, text string")

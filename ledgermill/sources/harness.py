@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill import schemas
+from ledgermill.session import raise_partitions
 from ledgermill.sources.lazy import LazyTables
 
 # Fixed values of the mapping.
@@ -35,8 +36,12 @@ COLUMNS = {
 }
 
 
+def _path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(COLUMNS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(COLUMNS[name]).parquet(_path(sf_dir, name))
 
 
 def _pick(values: tuple[str | None, ...], key: str) -> str:
@@ -71,6 +76,8 @@ def crm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "lineitem")
+    # Each task sorts its part of both, here and for whatever is found out about billing rows.
+    raise_partitions(spark, _path(sf_dir, "orders"), _path(sf_dir, "lineitem"))
     # Both sides grow with the data, so neither is to be broadcast, however small it is in a test.
     return lineitem.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey")).selectExpr(
         "concat_ws('-', 'TX', l_orderkey, l_linenumber) AS transaction_id",

@@ -11,6 +11,7 @@ from ledgermill.plans import metrics, tables
 from ledgermill.plans.filters import MetricFilter
 from ledgermill.schemas import BILLING
 from ledgermill.session import MB, fit_partitions, partition_settings, stored_bytes
+from ledgermill.sources import harness
 from tests.tables import extracts
 
 QUERIES = queries()
@@ -110,3 +111,30 @@ def test_few_plans_are_looked_up_in_many_tasks(spark):
             spark.conf.set(name, value)
     assert sum(r["count"] for r in held) == 400
     assert len(held) > 4 and max(r["count"] for r in held) < 200
+
+
+def test_few_partitions_do_not_hold_all_billing_rows(spark, tmp_path):
+    """With a fixed number of partitions what one task sorts would grow with the input."""
+    sf_dir, n = str(tmp_path), 1_500_000
+    lines = spark.range(n).selectExpr(
+        "id DIV 4 AS l_orderkey", "int(id % 4) AS l_linenumber", "rand(1) AS l_extendedprice",
+        "'N' AS l_returnflag", "TIMESTAMP_NTZ '1997-05-01 00:00:00' AS l_shipdate",
+    )
+    lines.write.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.range(n // 4).selectExpr("id AS o_orderkey", "id % 1000 AS o_custkey")
+    orders.write.parquet(f"{sf_dir}/orders.parquet")
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        billing = harness.billing(spark, sf_dir)
+        held = billing.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(r["count"] for r in held) == n
+    assert len(held) > 1 and max(r["count"] for r in held) < 0.7 * n

@@ -128,7 +128,10 @@ class Lossy:
 
 
 class Lookup:
-    """Places of keys in a sorted set; most keys that are not in it are turned away by one bit."""
+    """Places of keys in a sorted set; most keys that are not in it are turned away by one bit.
+
+    Keys are mixed, so their first bits tell the place nearly; a search by halves would miss the cache at every step.
+    """
 
     def __init__(self, keys: np.ndarray) -> None:
         self.keys = np.unique(keys)
@@ -136,14 +139,24 @@ class Lookup:
         self.mask = np.uint64((1 << bits) - 1)
         self.some = np.zeros(1 << bits, bool)
         self.some[self.keys & self.mask] = True
+        bits = max(1, len(self.keys).bit_length() - 1)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(indexes of keys that are in the set, their places there)."""
         hits = np.flatnonzero(self.some[keys & self.mask])
         if not len(hits):
             return hits, hits
-        place = np.minimum(np.searchsorted(self.keys, keys[hits]), len(self.keys) - 1)
-        real = self.keys[place] == keys[hits]
+        wanted, last = keys[hits], len(self.keys) - 1
+        place = np.minimum(self.first[wanted >> self.shift], last).astype(np.int64)
+        behind = np.flatnonzero(self.keys[place] < wanted)
+        while len(behind):
+            place[behind] += 1
+            behind = behind[place[behind] <= last]
+            behind = behind[self.keys[place[behind]] < wanted[behind]]
+        place = np.minimum(place, last)
+        real = self.keys[place] == wanted
         return hits[real], place[real]
 
 
@@ -487,14 +500,18 @@ def _scorer(model, depth: int):
                 base = np.where(known, np.log10((c + 1) / total), 0.0)  # of light words it is added later
                 score = base.copy()
                 light, light_row = [tokens[~known]], [row[~known]]
-                for _, at, context in contexts(tokens, place, depth):
-                    for keys in (context, run_of(context, tokens[at])):
+                for _, at, keys in contexts(tokens, place, depth):
+                    for is_context in (True, False):
                         hit, where = known_entries(keys)
                         score[at[hit]] += terms[where]
                         other = _maybe(bitmap, keys)
                         other[hit] = False
                         light.append(keys[other])
                         light_row.append(row[at[other]])
+                        if is_context:
+                            # Runs are listed after retained contexts alone.
+                            other[hit] = True
+                            at, keys = at[other], run_of(keys[other], tokens[at[other]])
                 real = place > 0
                 add = lambda x: np.bincount(row[real], x[real], n_rows)  # noqa: E731, B023
                 light, light_row = np.concatenate(light), np.concatenate(light_row)

@@ -172,6 +172,39 @@ def test_long_chains_are_one_component(spark):
     assert got == {i: 0 for i in range(71)} | {100: 100, 101: 100}
 
 
+# Suffix tree
+
+
+@given(st.lists(st.one_of(st.integers(0, 2**64 - 1), st.integers(0, 9), st.integers(2**64 - 9, 2**64 - 1)), max_size=60), st.integers(0, 60))
+@settings(max_examples=200, deadline=None)
+def test_places_of_keys(keys, n):
+    known = np.array(keys[:n], np.uint64)
+    asked = np.array([*keys, *(min(k + 1, 2**64 - 1) for k in keys)], np.uint64)
+    hit, place = suffix_tree.Lookup(known)(asked)
+    assert hit.tolist() == np.flatnonzero(np.isin(asked, known)).tolist()
+    assert (np.unique(known)[place] == asked[hit]).all()
+
+
+def test_runs_are_looked_up_after_contexts_that_may_be_retained():
+    text, none, bitmap = "a b c a b", suffix_tree.Lookup(np.zeros(0, np.uint64)), np.zeros(suffix_tree.BITS // 64, np.uint64)
+    part = next(slices(pa.array([text])))
+    found = words(part)
+    tokens, _, place = suffix_tree.sequence(found, found.hashes())
+    keys = {}
+    for k, at, context in suffix_tree.contexts(tokens, place, 3):
+        keys[k] = set(context.tolist()), set(suffix_tree.run_of(context, tokens[at]).tolist())
+    for key in set().union(*(runs for _, runs in keys.values()), keys[2][0]):
+        bitmap[(key & (suffix_tree.BITS - 1)) >> 6] |= np.uint64(1 << (key & 63))
+
+    class Model:
+        value = (none, np.zeros(0), none, np.zeros(0), bitmap, 1, 9.0)
+
+    batch = pa.RecordBatch.from_pydict({"row": [0], "doc_id": [0], "held_out": [False], "text": [text]})
+    (out,) = suffix_tree._scorer(Model, 3)(iter([batch]))
+    light = {x & (2**64 - 1) for x in out.column("light")[0].as_py()}
+    assert keys[2][0] | keys[2][1] <= light and not light & (keys[1][1] | keys[3][1])
+
+
 # Poisson mixture
 
 

@@ -22,7 +22,10 @@ same doc_id follow each other in the order of their texts.
 
 from __future__ import annotations
 
+import codecs
+import json
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -87,14 +90,15 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     if not lane:
         return (np.zeros(0, np.uint64),) * 4
     lane, place, chosen = map(np.concatenate, (lane, place, chosen))
-    order = np.argsort(lane, kind="stable")
+    order = np.argsort(lane.astype(np.uint16) if blocks <= 1 << 16 else lane, kind="stable")  # short keys are sorted by digits
     lane, place, chosen = lane[order], place[order], chosen[order]
+    lanes, start = lanes.ravel(), lane * lanes.shape[1] + place
     words = chosen.astype(np.uint64) << np.uint64(60)
     for selector in np.unique(chosen):
         count, width = int(COUNTS[selector]), int(WIDTHS[selector])
         if width:
             of = np.flatnonzero(chosen == selector)
-            values = lanes[lane[of, None], place[of, None] + np.arange(count)]
+            values = lanes[start[of, None] + np.arange(count)]
             words[of] |= np.bitwise_or.reduce(values << (np.arange(count, dtype=np.uint64) * np.uint64(width)), axis=1)
     return words, np.searchsorted(lane, np.arange(blocks)).astype(np.uint64), places, escaped
 
@@ -150,15 +154,44 @@ def unpack(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 #: Distinct words whose ids a worker keeps, about 40 bytes each, before it begins anew; changes only the speed.
 CACHED_WORDS = 2_000_000
-_PUNCTUATION = np.zeros(256, bool)
-_PUNCTUATION[[ord(c) for c in ".,;:!?"]] = True
-_PLAIN = np.zeros(256, bool)
-_PLAIN[[*range(48, 58), *range(97, 123)]] = True
-
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
 
 #: Words that are encoded as one text.
 _LINE = 100
 
+#: The steps before the model that `_letters_alone` knows.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PIECES = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def _byte_letters() -> str:
+    """The sign of each byte in the byte-level alphabet; a space stands for itself, upper-case Latin-1 letters are lowered."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    signs = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(own))}
+    signs |= {b: signs[b + 32] for b in range(0x80, 0x9F) if b != 0x97}  # behind 0xC3, as all such bytes of `_letters` are
+    return "".join((signs | {32: " "})[b] for b in range(256))
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _letters_alone(tokenizer):
+    """The tokenizer without the steps that leave lower-case letters as they are, for texts in `_BYTE_LETTERS`; or None.
+
+    These steps, a regular expression among them, cost half the time of a text. The model is the same.
+    """
+    from tokenizers import Tokenizer
+
+    parts = json.loads(tokenizer.to_str())
+    steps = [(parts[k] or {}).get(inner) for k, inner in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+    if steps != [_NORMAL, _PIECES] or any(t["content"].isalpha() for t in parts["added_tokens"]):
+        return None
+    return Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
+
 
 def _letters(data: np.ndarray) -> np.ndarray:
     """Whether each byte is a lower-case ASCII letter or half of a Latin-1 letter."""
@@ -173,8 +206,9 @@ class WordTokenizer:
     """The ids of texts, by encoding each distinct word once.
 
     The tokenizer drops white space, lower-cases, and splits letters and digits from other signs before it
-    looks at pieces. So a text's ids are those of its words, and a word that ends in an ASCII letter or digit
-    and then punctuation has the ids of both parts. `ids_of[begin[i]:begin[i + 1]]` are the ids of word i.
+    looks at pieces. So a text's ids are those of its words, and a word that ends in a letter or digit and then
+    in ASCII signs has the ids of both parts, unless a special token may end there. `ids_of[begin[i]:begin[i + 1]]`
+    are the ids of word i.
     """
 
     def __init__(self, path: str) -> None:
@@ -185,6 +219,10 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.is_last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.plain = _letters_alone(self.tokenizer)
+        self.is_tail = np.zeros(256, bool)
+        special = {t.content[-1:] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.is_tail[[ord(c) for c in (string.punctuation if self.plain else ".,;:!?") if c not in special]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -204,29 +242,34 @@ class WordTokenizer:
         A word of letters is one piece, and the last token of a piece says so. Such words are encoded many
         at a time, which costs half, and the ids are cut behind these tokens.
         """
-        encode = lambda some: [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        encode = lambda some, by=self.tokenizer: [e.ids for e in by.encode_batch_fast(some, add_special_tokens=False)]
         alone, others = np.flatnonzero(letters), np.flatnonzero(~letters)
-        lines = [b" ".join([texts[i] for i in alone[k : k + _LINE]]).decode() for k in range(0, len(alone), _LINE)]
-        ids = np.fromiter(chain.from_iterable(encode(lines)), np.uint32)
+        lines = [b" ".join([texts[i] for i in alone[k : k + _LINE].tolist()]) for k in range(0, len(alone), _LINE)]
+        if self.plain:
+            found = encode([codecs.charmap_decode(line, "strict", _BYTE_LETTERS)[0] for line in lines], self.plain)
+        else:
+            found = encode([line.decode() for line in lines])
+        ids = np.fromiter(chain.from_iterable(found), np.uint32)
         ends = np.flatnonzero(self.is_last[ids]) + 1
         if len(ends) != len(alone):  # not this kind of tokenizer
             ids, ends, alone, others = ids[:0], ends[:0], alone[:0], np.arange(len(texts))
         found = encode([texts[i].decode() for i in others])
         sizes = np.concatenate([np.diff(ends, prepend=0), np.array([len(x) for x in found], np.int64)])
-        hashes = np.concatenate([self.known, hashes[alone], hashes[others]])
-        place = np.concatenate([self.place, np.arange(len(sizes), dtype=np.int32) + np.int32(len(self.begin) - 1)])
+        hashes = np.concatenate([hashes[alone], hashes[others]])
         order = np.argsort(hashes)
-        self.known, self.place = hashes[order], place[order]
+        at = np.searchsorted(self.known, hashes[order])
+        self.known, self.place = np.insert(self.known, at, hashes[order]), np.insert(self.place, at, order + len(self.begin) - 1)
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
         self.ids_of = np.concatenate([self.ids_of, ids, np.fromiter(chain.from_iterable(found), np.uint32)])
 
     def encode(self, part: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a slice, how many each has)."""
         found = words(part)
+        letter = _letters(found.data)
         middle = found.end.copy()
         for _ in range(3):
-            middle -= (middle > found.start + 1) & _PUNCTUATION[found.data[middle - 1]]
-        middle = np.where(_PLAIN[found.data[middle - 1]], middle, found.end)
+            middle -= (middle > found.start + 1) & self.is_tail[found.data[middle - 1]]
+        middle = np.where(letter[middle - 1] | _DIGIT[found.data[middle - 1]], middle, found.end)
         tail = np.flatnonzero(middle < found.end)
         # Words and their tails in order: the tail of word i comes right behind it.
         start, end = np.insert(found.start, tail + 1, middle[tail]), np.insert(middle, tail + 1, found.end[tail])
@@ -245,7 +288,7 @@ class WordTokenizer:
         if len(new):
             data = found.data.tobytes()
             low, high = start[first[new]], end[first[new]]
-            strange = np.r_[0, np.cumsum(~_letters(found.data))]
+            strange = np.r_[0, np.cumsum(~letter)]
             self.learn(distinct[new], [data[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)], strange[high] == strange[low])
             known = self.look_up(distinct)
         place = known[index]

@@ -75,6 +75,19 @@ def test_ids_are_those_of_whole_texts(spark):
         start += len(ids)
 
 
+def test_words_before_signs_and_words_of_letters_are_encoded_once():
+    texts = ["stung### ëä%%% Stung ËÄ, stung", "foo|> <|endoftext|> x<|endoftext|>### é<|startoftext|>. foo|", "ÀÖØÞß ÿ×÷ Ã\u0338 e\u0301### é' don't' 'S a's$ =\u0338", "É12## 12ÿ*** \u0130## µ## ª. ſ~~~~~"]
+    whole, own = Tokenizer.from_file(TOKENIZER), simple8b.WordTokenizer(TOKENIZER)
+    (part,) = slices(pa.array(texts[:1]))
+    own.encode(part)
+    assert len(own.known) == 6  # stung, ###, ëä, %%%, ËÄ and the comma; the signs are no part of a word
+    own.forget()
+    for some in ([t] for t in texts):
+        (part,) = slices(pa.array(some))
+        assert own.encode(part)[0].tolist() == whole.encode(some[0], add_special_tokens=False).ids
+    assert own.plain.encode("andhathha").ids == whole.encode("Andhathha", add_special_tokens=False).ids
+
+
 # Near duplicates
 
 

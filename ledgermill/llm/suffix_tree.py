@@ -315,6 +315,8 @@ def _tokens(depth: int) -> list[str]:
 _RUNS_HELD, _SENT = 1 << 21, 1 << 16
 #: Bits of a run that candidates are counted by; runs that share them are told apart by the exact count.
 _CANDIDATE = np.uint64((1 << 40) - 1)
+#: Bits that such a key leaves free.
+_SPARE = np.uint64(24)
 
 
 def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -419,32 +421,151 @@ def _named(k: int):
     return run
 
 
-def _frequent(rows: DataFrame, base: DataFrame, depth: int, least: int) -> DataFrame:
-    """(k, tokens, n) of the runs that `rows` have at least `least` times.
+#: Tokens for each bucket of counts, and rows that a task holds before it sends them.
+_BUCKET = 1 << 20
+_PACKED = "bucket int, packed binary"
+
+
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of 64-bit numbers by their bytes of equal weight, of which the high ones take little room."""
+    head = np.array([len(columns), *map(len, columns)], np.int64).tobytes()
+    return head + pa.compress(b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns), "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes) -> list[np.ndarray]:
+    """The columns of `_pack`."""
+    head = 8 * (int(np.frombuffer(packed[:8], np.int64)[0]) + 1)
+    ends = np.cumsum(np.frombuffer(packed[8:head], np.int64)) * 8
+    raw = np.frombuffer(pa.decompress(packed[head:], int(ends[-1]), "zstd"), np.uint8)
+    return [np.ascontiguousarray(c.reshape(8, -1).T).view(np.uint64).ravel() for c in np.split(raw, ends[:-1])]
+
+
+def _short(tokens: list[np.ndarray], known: Lookup) -> list[np.ndarray]:
+    """Each token's place among the known ones, from 3 on; 0 is none, 1 others, which follow as they are, 2 start or end."""
+    every = np.concatenate(tokens)
+    place = (every != 0).astype(np.uint64)
+    hit, where = known(every)
+    place[hit] = where + 3
+    place[every == EDGE] = 2
+    return [*np.split(place, len(tokens)), every[place == 1]]
+
+
+def _long(places: list[np.ndarray], known: Lookup) -> list[np.ndarray]:
+    """The tokens of `_short`."""
+    *places, others = places
+    place = np.concatenate(places)
+    every, listed = np.where(place == 2, EDGE, np.uint64(0)), place > 2
+    every[listed] = known.keys[place[listed].astype(np.int64) - 3]
+    every[place == 1] = others
+    return np.split(every, len(places))
+
+
+def _by_range(keys: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order of what the keys are mixed to, bucket in this order); a single key stands for itself."""
+    mixed = keys[0] << _SPARE if len(keys) == 1 else np.zeros(len(keys[0]), np.uint64)
+    for key in keys if len(keys) > 1 else []:
+        mixed = mix(mixed * _STEP + key)
+    order = np.argsort(mixed)
+    return order, ((mixed[order] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
+def _dealt(counted, keys: list[str], buckets: int, known=None):
+    """Rows (keys, n) of the function `counted`, packed for each bucket. Buckets are ranges of the mixed keys.
+
+    Single keys are sent as differences of sorted values, tokens by their places among the known ones.
+    """
+
+    def packed(n: np.ndarray, *own: np.ndarray) -> bytes:
+        if not known:
+            return _pack([n, np.diff(own[0], prepend=np.uint64(0))])
+        *places, others = _short(own, known.value)
+        if not len(others):  # their order is that of the places
+            order = np.argsort(places[0] << np.uint64(32) | places[1])
+            n, places = n[order], [c[order] for c in places]
+            places[0] = np.diff(places[0], prepend=np.uint64(0))
+        return _pack([n, *places, others])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def sent() -> pa.RecordBatch:
+            n, *own = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order, bucket = _by_range(own, buckets)
+            columns = [c[order] for c in (n, *own)]
+            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            parts = [packed(*(c[a:b] for c in columns)) for a, b in zip(first, [*first[1:], len(bucket)], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(parts, pa.binary())], names=["bucket", "packed"])
+
+        for batch in counted(batches):
+            if batch.num_rows:
+                held.append([batch.column(c).to_numpy().view(np.uint64) for c in ["n", *keys]])
+            if sum(len(h[0]) for h in held) >= _BUCKET:
+                yield sent()
+        if held:
+            yield sent()
+
+    return run
+
+
+def _summed(keys: list[str], least: int, known=None):
+    """(keys, n) of the rows of a bucket that are there at least `least` times in all."""
+
+    def unpacked(packed: bytes) -> list[np.ndarray]:
+        n, *own = _unpack(packed)
+        if not known:
+            return [n, np.cumsum(own[0], dtype=np.uint64)]
+        if not len(own[-1]):
+            own[0] = np.cumsum(own[0], dtype=np.uint64)
+        return [n, *_long(own, known.value)]
+
+    def run(table: pa.Table) -> pa.Table:
+        n, *own = (np.concatenate(x) for x in zip(*(unpacked(x.as_py()) for x in table.column("packed")), strict=True))
+        order, _ = _by_range(own, 1)
+        n, own = n[order].view(np.int64), [c[order] for c in own]
+        first = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in own], axis=0)])
+        n = np.add.reduceat(n, first)
+        first, n = first[n >= least], n[n >= least]
+        return pa.table([*(pa.array(c[first].view(np.int64)) for c in own), pa.array(n)], names=[*keys, "n"])
+
+    return run
+
+
+def _counts(rows: DataFrame, counted, keys: list[str], buckets: int, least: int, known=None) -> DataFrame:
+    """(keys, n) of what the function `counted` counts in `rows` at least `least` times; moved in packed form."""
+    spec = f"{', '.join(f'{c} bigint' for c in keys)}, n bigint"
+    return rows.mapInArrow(_dealt(counted, keys, buckets, known), _PACKED).groupBy("bucket").applyInArrow(_summed(keys, least, known), spec)
+
+
+def _frequent(rows: DataFrame, base: DataFrame, known, tokens: int, depth: int, least: int) -> DataFrame:
+    """(k, tokens, n) of the runs that `rows` have at least `least` times; `known` is a broadcast lookup of frequent words.
 
     A run is no more frequent than the two that are one shorter. So each length is first counted by few bits among
-    runs whose shorter ones may be frequent, and what remains is counted exactly.
+    runs whose shorter ones may be frequent, and what remains is counted exactly. A bucket has a bounded share of the
+    tokens, so their number grows with the input.
     """
-    context, bitmaps = rows.sparkSession.sparkContext, []
+    spark, bitmaps, own = rows.sparkSession, [], _tokens(depth)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), tokens // _BUCKET)
     below = _bitmap(base.where(F.col("n") >= least).select("key"))
     for k in range(1, depth + 1):
-        sent = context.broadcast(below)
-        counted = rows.mapInArrow(_candidates(k, sent), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-        below = _bitmap(counted.where(F.col("n") >= least).select("key"))
+        sent = spark.sparkContext.broadcast(below)
+        below = _bitmap(_counts(rows, _candidates(k, sent), ["key"], buckets, least).select("key"))
         bitmaps.append(below)
         sent.unpersist()
-    own = _tokens(depth)
-    runs = rows.mapInArrow(_learned(depth, context.broadcast(bitmaps)), f"k tinyint, {', '.join(f'{c} bigint' for c in own)}, n bigint")
-    runs = runs.groupBy("k", *own).agg(F.sum("n").alias("n"))
-    return stored(runs.where(F.col("n") >= least))
+    runs = _counts(rows, _learned(depth, spark.sparkContext.broadcast(bitmaps)), own, buckets, least, known)
+    # Words have other fingerprints than 0, the mark of a run's end.
+    k = sum((F.col(c) != 0).cast("int") for c in own[1:])
+    with arrow_rows(spark, _SENT):
+        return stored(runs.select(k.cast("tinyint").alias("k"), *own, "n"))
 
 
-def _modelled(rows: DataFrame, base: DataFrame, tokens: int, depth: int, least: int, divergence: float) -> list[DataFrame]:
+def _modelled(rows: DataFrame, base: DataFrame, known, tokens: int, depth: int, least: int, divergence: float) -> list[DataFrame]:
     """Stored tables (key, n, term, is_context): retained contexts and their listed runs, from `rows` (text).
 
-    `base` (key, n, p) has the count and the base probability of each training token, the end token included.
+    `base` (key, n, p) has the count and the base probability of each training token, the end token included;
+    `known` is a broadcast lookup of frequent words.
     """
-    runs, shorter, entries, used = _frequent(rows, base, depth, least), base, [], []
+    runs, shorter, entries, used = _frequent(rows, base, known, tokens, depth, least), base, [], []
     for k in range(1, depth + 1):
         own = runs.where(F.col("k") == k).mapInArrow(_named(k), _RUNS)
         own = own.join(shorter.select(F.col("key").alias("up"), F.col("p").alias("q")), "up")
@@ -560,12 +681,6 @@ def scores(docs: DataFrame, depth: int = DEPTH, limit: int = MOST, divergence: f
     p = (F.col("train") + 1) / F.lit(total)
     edge = F.lit(int(np.array([EDGE]).view(np.int64)[0]))
     base = counted.where("train > 0").select(F.when(F.col("kind") == 1, edge).otherwise(F.col("key")).alias("key"), F.col("train").alias("n"), p.alias("p"))
-    parts = _modelled(rows.where("not held_out").select("text"), base, max(train, 1), depth, least, divergence)
-    entries = parts[0]
-    for more in parts[1:]:
-        entries = entries.unionByName(more)
-    retained = entries.where("is_context").count()
-    often = often_enough(entries, "n", limit)
 
     def ordered(frame: DataFrame, value: str) -> tuple[Lookup, np.ndarray]:
         table = frame.select("key", value).toArrow()
@@ -575,6 +690,14 @@ def scores(docs: DataFrame, depth: int = DEPTH, limit: int = MOST, divergence: f
     own_words = counted.where(F.col("kind") == 0)
     is_heavy = often_enough(own_words, "n", limit)
     lookup, n = ordered(own_words.where(is_heavy), "train")
+    frequent = spark.sparkContext.broadcast(lookup)
+    parts = _modelled(rows.where("not held_out").select("text"), base, frequent, max(train, 1), depth, least, divergence)
+    frequent.unpersist()
+    entries = parts[0]
+    for more in parts[1:]:
+        entries = entries.unionByName(more)
+    retained = entries.where("is_context").count()
+    often = often_enough(entries, "n", limit)
     known, terms = ordered(entries.where(often), "term")
     others = entries.where(~often)
     model = spark.sparkContext.broadcast((lookup, n, known, terms, _bitmap(others), end, total))

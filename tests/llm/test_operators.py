@@ -552,6 +552,31 @@ def test_runs_are_sent_by_their_tokens(spark):
         assert {(r["key"], r["context"], r["up"], r["size"]): r["n"] for r in named} == fingerprints
 
 
+@pytest.mark.parametrize("n_known", [0, 3, 100])
+def test_counts_are_moved_packed(spark, n_known):
+    texts = random_texts(15, 200) + ["the same line of words again and again"] * 9
+    rows, own, expected = frame(spark, texts).select("text").repartition(3), suffix_tree._tokens(3), Counter()
+    for t in texts:
+        ws = [int(suffix_tree.EDGE), *(one_hash(w) for w in (t or "").encode().lower().split()), int(suffix_tree.EDGE)]
+        for k in (1, 2, 3):
+            expected.update(tuple(ws[i - j] for j in range(k + 1)) + (0,) * (3 - k) for i in range(k, len(ws)))
+    words_ = sorted({w for run in expected for w in run} - {0, int(suffix_tree.EDGE)})[:n_known]
+    known = spark.sparkContext.broadcast(suffix_tree.Lookup(np.array(words_, np.uint64)))
+    everything = spark.sparkContext.broadcast([np.full(suffix_tree.BITS // 64, -1, np.int64).view(np.uint64)] * 3)
+    got = suffix_tree._counts(rows, suffix_tree._learned(3, everything), own, 5, 4, known).collect()
+    assert {tuple(r[c] % 2**64 for c in own): r["n"] for r in got} == {run: n for run, n in expected.items() if n >= 4}
+    assert len(got) == sum(n >= 4 for n in expected.values()) > 20
+    singles = suffix_tree._counts(rows, suffix_tree._candidates(2, spark.sparkContext.broadcast(everything.value[0])), ["key"], 7, 4).collect()
+    assert sorted(r["n"] for r in singles) == sorted(n for run, n in expected.items() if n >= 4 and run[2] and not run[3])
+
+
+@given(st.lists(st.lists(st.integers(0, 2**64 - 1), max_size=30), min_size=1, max_size=4))
+@settings(max_examples=100, deadline=None)
+def test_packed_columns_come_back(columns):
+    columns = [np.array(c, np.uint64) for c in columns]
+    assert [c.tolist() for c in suffix_tree._unpack(suffix_tree._pack(columns))] == [c.tolist() for c in columns]
+
+
 def test_rare_contexts_are_kept_whatever_the_corpus(spark):
     rnd = np.random.default_rng(12)
     noise = [" ".join(f"z{x}" for x in rnd.integers(0, 3000, 60)) for _ in range(900)]

@@ -134,7 +134,10 @@ class Lookup:
     """
 
     def __init__(self, keys: np.ndarray) -> None:
-        self.keys = np.unique(keys)
+        self._of(np.unique(keys))
+
+    def _of(self, keys: np.ndarray) -> None:
+        self.keys = keys
         bits = max(16, int(np.ceil(np.log2(len(self.keys) + 1))) + 4)
         self.mask = np.uint64((1 << bits) - 1)
         self.some = np.zeros(1 << bits, bool)
@@ -143,6 +146,12 @@ class Lookup:
         self.shift = np.uint64(64 - bits)
         self.first = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
+    def __getstate__(self) -> np.ndarray:
+        """The keys alone: a broadcast is a file on every executor, and the rest is made anew from them."""
+        return self.keys
+
+    __setstate__ = _of
+
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(indexes of keys that are in the set, their places there)."""
         hits = np.flatnonzero(self.some[keys & self.mask])
@@ -551,12 +560,15 @@ def _frequent(rows: DataFrame, base: DataFrame, known, tokens: int, depth: int,
         sent = spark.sparkContext.broadcast(below)
         below = _bitmap(_counts(rows, _candidates(k, sent), ["key"], buckets, least).select("key"))
         bitmaps.append(below)
-        sent.unpersist()
-    runs = _counts(rows, _learned(depth, spark.sparkContext.broadcast(bitmaps)), own, buckets, least, known)
+        sent.destroy()
+    sent = spark.sparkContext.broadcast(bitmaps)
+    runs = _counts(rows, _learned(depth, sent), own, buckets, least, known)
     # Words have other fingerprints than 0, the mark of a run's end.
     k = sum((F.col(c) != 0).cast("int") for c in own[1:])
     with arrow_rows(spark, _SENT):
-        return stored(runs.select(k.cast("tinyint").alias("k"), *own, "n"))
+        runs = stored(runs.select(k.cast("tinyint").alias("k"), *own, "n"))
+    sent.destroy()
+    return runs
 
 
 def _modelled(rows: DataFrame, base: DataFrame, known, tokens: int, depth: int, least: int, divergence: float) -> list[DataFrame]:
@@ -692,7 +704,7 @@ def scores(docs: DataFrame, depth: int = DEPTH, limit: int = MOST, divergence: f
     lookup, n = ordered(own_words.where(is_heavy), "train")
     frequent = spark.sparkContext.broadcast(lookup)
     parts = _modelled(rows.where("not held_out").select("text"), base, frequent, max(train, 1), depth, least, divergence)
-    frequent.unpersist()
+    frequent.destroy()
     entries = parts[0]
     for more in parts[1:]:
         entries = entries.unionByName(more)

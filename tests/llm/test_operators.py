@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import re
 import textwrap
 import zlib
@@ -198,6 +199,14 @@ def test_places_of_keys(keys, n):
     assert (np.unique(known)[place] == asked[hit]).all()
 
 
+def test_a_lookup_is_sent_as_its_keys():
+    known = suffix_tree.Lookup(np.random.default_rng(3).integers(0, 2**63, 5000).astype(np.uint64))
+    sent = pickle.dumps(known)
+    again = pickle.loads(sent)
+    assert len(sent) < 9 * 5000 and sorted(vars(again)) == sorted(vars(known))
+    assert all(np.array_equal(x, vars(known)[name]) for name, x in vars(again).items())
+
+
 def test_runs_are_looked_up_after_contexts_that_may_be_retained():
     text, none, bitmap = "a b c a b", suffix_tree.Lookup(np.zeros(0, np.uint64)), np.zeros(suffix_tree.BITS // 64, np.uint64)
     part = next(slices(pa.array([text])))

@@ -430,7 +430,7 @@ def _named(k: int):
     return run
 
 
-#: Tokens for each bucket of counts, and rows that a task holds before it sends them.
+#: Tokens for each bucket of counts, and keys that a task holds before it packs them.
 _BUCKET = 1 << 20
 _PACKED = "bucket int, packed binary"
 
@@ -498,10 +498,11 @@ def _dealt(counted, keys: list[str], buckets: int, known=None):
         held: list[list[np.ndarray]] = []
 
         def sent() -> pa.RecordBatch:
-            n, *own = (np.concatenate(x) for x in zip(*held, strict=True))
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
             held.clear()
-            order, bucket = _by_range(own, buckets)
-            columns = [c[order] for c in (n, *own)]
+            order, bucket = _by_range(columns[1:], buckets)
+            for i, c in enumerate(columns):
+                columns[i] = c[order]
             first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             parts = [packed(*(c[a:b] for c in columns)) for a, b in zip(first, [*first[1:], len(bucket)], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(parts, pa.binary())], names=["bucket", "packed"])
@@ -509,7 +510,7 @@ def _dealt(counted, keys: list[str], buckets: int, known=None):
         for batch in counted(batches):
             if batch.num_rows:
                 held.append([batch.column(c).to_numpy().view(np.uint64) for c in ["n", *keys]])
-            if sum(len(h[0]) for h in held) >= _BUCKET:
+            if sum(len(h[0]) for h in held) * len(keys) >= _BUCKET:
                 yield sent()
         if held:
             yield sent()
